@@ -29,10 +29,12 @@ class TermTable:
     total: int
 
     @staticmethod
-    def of(frame: DataFrame) -> TermTable:
+    def of(frame: DataFrame, extra: Column | None = None) -> TermTable:
+        """Measures a table; ``extra`` is the bytes of a row beyond its term and plain numbers."""
+        chars = F.octet_length("term")
         seen = frame.agg(
             F.count("*").alias("rows"),
-            F.sum(F.octet_length("term")).alias("chars"),
+            F.sum(chars if extra is None else chars + extra).alias("chars"),
             F.sum("df").alias("total"),
         )
         return TermTable.measured(frame, seen.first().asDict())
@@ -58,15 +60,17 @@ class TermTable:
         joined by shuffle. Common terms would then send a large part of the corpus to one task,
         so each term gets as many salts as it has shares of ``1 / HOT_SHARE`` of all rows, and its
         row is copied once for each. Less than ``HOT_SHARE`` terms can have more than one salt,
-        which bounds both the copies and the list of salts that is broadcast.
+        which bounds both the copies and the list of salts that is broadcast. Rows without a term
+        match nothing and are scattered.
         """
         if self.size <= limit:
             return rows.join(F.broadcast(self.frame.drop(*drop)), "term", how)
         salts = self._salts()
         hot = self.frame.select("term", salts.alias("salts")).where("salts > 1")
+        unmatched = F.when(F.col("term").isNull(), HOT_SHARE).otherwise(1)
         salted = rows.join(F.broadcast(hot), "term", "left").withColumn(
             "salt",
-            F.pmod(F.xxhash64(spread), F.coalesce(F.col("salts"), F.lit(1))).cast("int"),
+            F.pmod(F.xxhash64(spread), F.coalesce(F.col("salts"), unmatched)).cast("int"),
         )
         copies = self.frame.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         return salted.drop("salts").join(copies.drop(*drop), ["term", "salt"], how).drop("salt")

@@ -136,9 +136,10 @@ def transform(
     return weigh(count_terms(corpus, analyze), vocabulary)
 
 
-def sorted_rows(weighted: DataFrame) -> DataFrame:
-    """Row form with the entries of each document in term order."""
-    return weighted.withColumn("entries", F.sort_array("entries"))
+def rows_from_triples(triples: DataFrame) -> DataFrame:
+    """Matrix cells ``(doc_id, idx, w)`` as one row of ``(idx, w)`` in column order each."""
+    cells = F.sort_array(F.collect_list(F.struct("idx", "w")))
+    return triples.groupBy("doc_id").agg(cells.alias("row"))
 
 
 def dense_size_gb(rows: Column, columns: Column) -> Column:

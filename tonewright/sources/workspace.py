@@ -25,6 +25,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+def new_name() -> str:
+    return uuid.uuid4().hex
+
+
 def materialize(frame: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
     """Writes a frame as a table and reads it back.
 
@@ -33,6 +37,6 @@ def materialize(frame: DataFrame, name: str, schema: StructType | None = None) -
     reading; it must describe the same columns.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{new_name()}"
     frame.write.parquet(path)
     return spark.read.schema(schema or frame.schema).parquet(path)
