@@ -125,9 +125,8 @@ def stopword_filtered(spark, sf):
 
 def stem_vocabulary(spark, sf):
     words = text.drop_stop_words(text.tokens(F.col("text")))
-    distinct = (
-        tables.read_documents(spark, sf).select(F.explode(words).alias("token")).distinct()
-    )
+    exploded = tables.read_documents(spark, sf).select(F.explode_outer(words).alias("token"))
+    distinct = exploded.where("token IS NOT NULL").distinct()
     return distinct.select("token", stem.stem_word(F.col("token")).alias("stem"))
 
 

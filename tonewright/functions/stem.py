@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tonewright.functions.binding import let
 from tonewright.functions.wordlists import IRREGULAR_STEMS
 
 # A ``y`` counts as a vowel after a consonant and as a consonant elsewhere. The alternatives never
@@ -216,10 +217,14 @@ def finish(word: Column, stemmed: Column) -> Column:
 
 def stem_array(words: Column) -> Column:
     """Stem of every element of an array of lower-cased words."""
-    stems = words
-    for step in STEPS:
-        stems = F.transform(stems, step)
-    return F.zip_with(words, stems, finish)
+
+    def stems(bound: Column) -> Column:
+        stemmed = bound
+        for step in STEPS:
+            stemmed = F.transform(stemmed, step)
+        return F.zip_with(bound, stemmed, finish)
+
+    return let(words, stems)
 
 
 def stem_word(word: Column) -> Column:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tonewright.functions.binding import let
 from tonewright.functions.stem import stem_array
 from tonewright.functions.wordlists import (
     ASCII_SPACE,
@@ -112,9 +113,12 @@ def unigrams(text: Column) -> Column:
 
 def adjacent_pairs(words: Column) -> Column:
     """Neighbours joined by a space."""
-    return F.transform(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)),
+    return let(
+        words,
+        lambda ws: F.transform(
+            F.slice(ws, F.lit(1), F.greatest(F.size(ws) - 1, F.lit(0))),
+            lambda w, i: F.concat(w, F.lit(" "), F.get(ws, i + 1)),
+        ),
     )
 
 

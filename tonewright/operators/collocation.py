@@ -16,13 +16,12 @@ def count_pairs(corpus: DataFrame) -> DataFrame:
     Every term occurrence gives one row, the last one of a sentence with a NULL follower, so the
     counts of single terms can be had from this table without reading the text again.
     """
-    sentence = corpus.select(F.explode(sentence_terms(F.col("text"))).alias("terms"))
+    sentence = corpus.select(F.explode_outer(sentence_terms(F.col("text"))).alias("terms"))
     pairs = F.transform(
         "terms", lambda t, i: F.struct(t.alias("first"), F.get("terms", i + 1).alias("second"))
     )
-    return sentence.select(F.inline(pairs)).groupBy("first", "second").agg(
-        F.count("*").alias("n_pair")
-    )
+    rows = sentence.select(F.inline_outer(pairs)).where("first IS NOT NULL")
+    return rows.groupBy("first", "second").agg(F.count("*").alias("n_pair"))
 
 
 def count_singles(pairs: DataFrame) -> DataFrame:

@@ -14,46 +14,63 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonewright.functions.binding import let
 from tonewright.functions.text import Analyzer, analyzer
 from tonewright.operators.term_table import TermTable
 from tonewright.sources.workspace import materialize
 
 
-def _runs(ordered: Column) -> Column:
-    """First position of each distinct value in a sorted array."""
+def count_array(terms: Column) -> Column:
+    """Distinct elements of an array with their counts, from the runs of its sorted form.
+
+    Intermediate arrays are bound to lambda variables with :func:`let`. Were they columns, the
+    optimizer could copy their whole computation into the lambdas that look things up in them,
+    and repeat it for every element.
+    """
+    return let(F.sort_array(terms), _count_sorted)
+
+
+def _count_sorted(ordered: Column) -> Column:
     placed = F.transform(ordered, lambda t, i: F.struct(t.alias("term"), i.alias("at")))
-    return F.filter(
+    starts = F.filter(
         placed, lambda r: (r["at"] == 0) | (F.get(ordered, r["at"] - 1) != r["term"])
     )
 
+    def lengths(runs: Column) -> Column:
+        def count(run: Column, i: Column) -> Column:
+            end = F.coalesce(F.get(runs, i + 1)["at"], F.size(ordered))
+            return F.struct(
+                run["term"].alias("term"), (end - run["at"]).cast("bigint").alias("tf")
+            )
+
+        return F.transform(runs, count)
+
+    return let(starts, lengths)
+
 
 def count_terms(corpus: DataFrame, analyze: str | Analyzer = "unigram") -> DataFrame:
     """Counts the terms of each document within its row, without a shuffle."""
-    ordered = corpus.withColumn("terms", F.sort_array(analyzer(analyze)(F.col("text"))))
-    runs = ordered.drop("text").withColumn("runs", _runs(F.col("terms")))
-    following = lambda i: F.get(F.col("runs"), i + 1)["at"]
-    counts = F.transform(
-        "runs",
-        lambda r, i: F.struct(
-            r["term"].alias("term"),
-            (F.coalesce(following(i), F.size("terms")) - r["at"]).cast("bigint").alias("tf"),
-        ),
-    )
-    return runs.withColumn("counts", counts).drop("terms", "runs")
+    counts = count_array(analyzer(analyze)(F.col("text")))
+    return corpus.withColumn("counts", counts).drop("text")
 
 
 def explode_counts(counted: DataFrame, outer: bool = False) -> DataFrame:
     """One row for each term of a document; ``outer`` keeps documents without terms."""
-    explode = F.explode_outer if outer else F.explode
-    rows = counted.withColumn("count", explode("counts"))
-    return rows.select(*_keys(counted, "counts"), "count.term", "count.tf")
+    return _explode(counted, "counts", "tf", outer)
 
 
 def explode_entries(weighted: DataFrame, outer: bool = False) -> DataFrame:
     """Long form of a weighted corpus: one row for each non-zero weight."""
-    explode = F.explode_outer if outer else F.explode
-    rows = weighted.withColumn("entry", explode("entries"))
-    return rows.select(*_keys(weighted, "entries"), "entry.term", "entry.w")
+    return _explode(weighted, "entries", "w", outer)
+
+
+def _explode(frame: DataFrame, values: str, number: str, outer: bool) -> DataFrame:
+    # A plain explode makes the optimizer test the array for emptiness below the scan's
+    # projections, where it is computed a second time. Dropping the empty rows afterwards does not.
+    rows = frame.withColumn("item", F.explode_outer(values)).select(
+        *_keys(frame, values), "item.term", f"item.{number}"
+    )
+    return rows if outer else rows.where("term IS NOT NULL")
 
 
 def _keys(frame: DataFrame, values: str) -> list[str]:
@@ -63,7 +80,7 @@ def _keys(frame: DataFrame, values: str) -> list[str]:
 def document_frequency(counted: DataFrame) -> DataFrame:
     """Number of documents that hold each term."""
     return (
-        counted.select(F.explode("counts.term").alias("term"))
+        explode_counts(counted.select("counts"))
         .groupBy("term")
         .agg(F.count("*").alias("df"))
     )
