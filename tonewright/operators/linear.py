@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from math import sqrt
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonewright.operators.scoring import score_entries
@@ -90,22 +90,18 @@ def fit_gradient_descent(
                 (F.col("old") * (1 - rate * reg) - rate * F.col("gradient")).alias("coef"),
             )
         )
-        change = Observation()
+        written = materialize(updated, f"{loss}-{k}")
         moved = F.col("coef") - F.col("old")
-        observed = updated.observe(
-            change,
+        change = written.agg(
             F.count("*").alias("rows"),
             F.sum(F.octet_length("term")).alias("chars"),
             F.sum("df").alias("total"),
-            F.sum(moved * moved).alias("moved"),
-            F.sum(F.col("coef") * F.col("coef")).alias("length"),
-        )
-        written = materialize(observed, f"{loss}-{k}").select("term", "df", "coef")
-        table = TermTable.measured(written, change.get)
+            F.coalesce(F.sum(moved * moved), F.lit(0.0)).alias("moved"),
+            F.coalesce(F.sum(F.col("coef") * F.col("coef")), F.lit(0.0)).alias("length"),
+        ).first()
+        table = TermTable.measured(written.select("term", "df", "coef"), change.asDict())
         taken = k
-        if k > 1 and sqrt(change.get["moved"] or 0.0) < tolerance * max(
-            sqrt(change.get["length"] or 0.0), 1.0
-        ):
+        if k > 1 and sqrt(change["moved"]) < tolerance * max(sqrt(change["length"]), 1.0):
             break
     rows.unpersist()
     return LinearModel(table, taken)
