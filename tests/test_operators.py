@@ -3,6 +3,9 @@ from collections import Counter
 
 import pytest
 from pyspark.ml.classification import NaiveBayes
+from pyspark.mllib.classification import LogisticRegressionWithSGD, SVMWithSGD
+from pyspark.mllib.linalg import SparseVector
+from pyspark.mllib.regression import LabeledPoint
 from pyspark.sql import functions as F
 
 from tonewright.functions import text
@@ -137,6 +140,24 @@ def test_gradient_descent(corpus, fitted, loss):
     assert model.steps == 4 and got == pytest.approx(dict(expected))
 
 
+@pytest.mark.parametrize(
+    "loss, library", [("hinge", SVMWithSGD), ("logistic", LogisticRegressionWithSGD)]
+)
+def test_gradient_descent_equals_the_library(spark, corpus, fitted, loss, library):
+    vocabulary, weighted = fitted
+    index = {r["term"]: r["idx"] for r in vectors.index_terms(vocabulary).frame.collect()}
+    labels = {r["doc_id"]: r["label"] for r in corpus.collect()}
+    points = [
+        LabeledPoint(labels[d], SparseVector(len(index), {index[t]: w for t, w in x.items()}))
+        for d, x in as_dict(weighted).items()
+    ]
+    rdd = spark.sparkContext.parallelize(points, 2)
+    expected = library.train(rdd, iterations=6, step=1.0, regParam=0.01, intercept=False)
+    model = linear.fit_gradient_descent(weighted, loss, iterations=6)
+    for r in model.table.frame.collect():
+        assert r["coef"] == pytest.approx(expected.weights[index[r["term"]]], abs=1e-12)
+
+
 def test_gradient_descent_stops_when_settled(fitted):
     model = linear.fit_gradient_descent(fitted[1], "logistic", iterations=9, tolerance=10.0)
     assert model.steps == 2
@@ -172,7 +193,11 @@ def test_committee_equals_dense_models(corpus, fitted, rounds):
     vocabulary, weighted = fitted
     bucket = {1: 0, 2: 0, 3: 1, 4: 1, 5: 2, 6: 4, 7: 4}
     bucketed = weighted.withColumn(
-        "bucket", F.element_at(F.create_map(*(F.lit(x) for p in bucket.items() for x in p)), F.col("doc_id").cast("int"))
+        "bucket",
+        F.element_at(
+            F.create_map(*(F.lit(x) for p in bucket.items() for x in p)),
+            F.col("doc_id").cast("int"),
+        ),
     )
     trained = committee.fit_committee(bucketed, vocabulary, models=4, rounds=rounds)
     assert sorted(trained.members) == [0, 1, 2]

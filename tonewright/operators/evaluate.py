@@ -14,5 +14,7 @@ def accuracy(predicted: DataFrame) -> DataFrame:
     """Share of predictions equal to the label; NULL when there is nothing to compare."""
     hit = (F.col("prediction").cast("double") == F.col("label")).cast("double")
     return predicted.agg(
-        F.count("*").alias("n_test"), F.sum(hit.cast("bigint")).alias("n_correct"), F.avg(hit).alias("accuracy")
+        F.count("*").alias("n_test"),
+        F.sum(hit.cast("bigint")).alias("n_correct"),
+        F.avg(hit).alias("accuracy"),
     )
