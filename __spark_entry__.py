@@ -452,6 +452,8 @@ def queries() -> dict[str, Query]:
         "svm_one_step_accuracy": _linear_accuracy("hinge", 1),
         "svm_gd3": _linear("hinge", 3),
         "logreg_gd3": _linear("logistic", 3),
+        "svm_gd3_accuracy": _linear_accuracy("hinge", 3),
+        "logreg_gd3_accuracy": _linear_accuracy("logistic", 3),
         "svm_gd3_predict_unlabeled": _linear_predictions("hinge", 3),
         "logreg_gd3_predict_unlabeled": _linear_predictions("logistic", 3),
         "svm_gd100": _linear("hinge", 100),

@@ -301,7 +301,9 @@ def _bucket(key: str, k: int) -> str:
 _TRAIN = f"{_bucket('doc_id', 100)} < 60"
 
 
-def _weight_ctes(source: str = _LABELED, analyze: str = "unigram", fit: str = "label IS NOT NULL") -> Ctes:
+def _weight_ctes(
+    source: str = _LABELED, analyze: str = "unigram", fit: str = "label IS NOT NULL"
+) -> Ctes:
     """Weights ``w`` of all documents, with the vocabulary of those that ``fit`` selects."""
     return [
         *_term_ctes(source, analyze),
@@ -681,6 +683,13 @@ ORACLES: dict[str, str] = {
         _margin_ctes(_descent_ctes(_weight_ctes(), "hinge", 1, _TRAIN), 1),
         _accuracy(f"NOT {_TRAIN}"),
     ),
+    **{
+        f"{name}_gd3_accuracy": _sql(
+            _margin_ctes(_descent_ctes(_weight_ctes(), loss, 3, _TRAIN), 3),
+            _accuracy(f"NOT {_TRAIN}"),
+        )
+        for name, loss in (("svm", "hinge"), ("logreg", "logistic"))
+    },
     "svm_gd3": _coefficients("hinge", 3),
     "logreg_gd3": _coefficients("logistic", 3),
     **{
