@@ -32,6 +32,14 @@ from tonewright.operators import (  # noqa: E402
 from tonewright.plans import holdout, train_predict, vote  # noqa: E402
 from tonewright.sources import files, tables, workspace  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from tonewright.llm import queries as llm_queries
+except ImportError as missing:
+    if (missing.name or "").split(".")[0] != "corpus_pipeline" and missing.name != "tonewright.llm":
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMALL = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -408,6 +416,13 @@ def entry(spark: SparkSession) -> DataFrame:
     return nb_predict_unlabeled(spark, SMALL)
 
 
+def _llm_queries() -> dict[str, Query]:
+    """The operators for training data, if their package is there."""
+    if llm_queries is None:
+        return {}
+    return llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
 def queries() -> dict[str, Query]:
     """One query for each operator."""
     return {
@@ -469,9 +484,12 @@ def queries() -> dict[str, Query]:
         "hard_vote": hard_vote,
         "voted_accuracy": voted_accuracy,
         "resubstitution_accuracy": resubstitution_accuracy,
-    }
+    } | _llm_queries()
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for each query that has a form in SQL."""
-    return dict(ORACLES)
+    if llm_queries is None:
+        return dict(ORACLES)
+    piped = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return ORACLES | llm_queries.ORACLES | piped
