@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonewright.llm import bpe_automaton, packing, sharding
+from tonewright.llm import bpe_automaton, near_duplicates, packing, sharding
+from tonewright.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
@@ -40,6 +42,10 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_documents(spark, sf))
+
+
 def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     placed, _ = sharding.shard_records(_documents(spark, sf), shards=24)
     return placed.select(
@@ -58,6 +64,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op7_bpe": op7_bpe,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_sharding": op10_sharding,
 }
 
