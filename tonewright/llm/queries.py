@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonewright.llm import bpe_automaton, near_duplicates, packing, sharding
+from tonewright.llm import bpe_automaton, near_duplicates, packing, sharding, suffix_dedup
 from tonewright.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,13 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(_documents(spark, sf))
+    return cleaned.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     coded = bpe_automaton.encode_decode(_documents(spark, sf))
     return coded.select(
@@ -63,6 +70,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op7_bpe": op7_bpe,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_sharding": op10_sharding,
