@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonewright.llm import bpe_automaton, near_duplicates, packing, sharding, suffix_dedup
+from tonewright.llm import (
+    bpe_automaton,
+    language_id,
+    near_duplicates,
+    packing,
+    sharding,
+    suffix_dedup,
+)
 from tonewright.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +46,16 @@ def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf: str) -> DataFrame:
+    found = language_id.identify(_documents(spark, sf).select("doc_id", "text", "lang"))
+    return found.select(
+        "doc_id",
+        language_id.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("identified.lang").alias("lang_pred"),
+        F.col("identified.score").alias("score"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     coded = bpe_automaton.encode_decode(_documents(spark, sf))
     return coded.select(
@@ -71,6 +88,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_language": op4_language,
     "op7_bpe": op7_bpe,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_sharding": op10_sharding,
