@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tonewright.llm import (
     bpe_automaton,
+    exact_search,
     language_id,
     near_duplicates,
     packing,
+    pii,
+    quality,
     sharding,
     suffix_dedup,
 )
@@ -56,6 +59,28 @@ def op4_language(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    judged, _ = quality.judge(_documents(spark, sf))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "votes",
+        "quality",
+    )
+
+
+def op6_exact_search(spark: SparkSession, sf: str) -> DataFrame:
+    ship(spark)
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return exact_search.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     coded = bpe_automaton.encode_decode(_documents(spark, sf))
     return coded.select(
@@ -66,6 +91,16 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find(_documents(spark, sf))
+    return found.select(
+        "doc_id",
+        *(pii.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS[: pii.BASE]),
+        F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates.near_duplicates(_documents(spark, sf))
 
@@ -89,7 +124,10 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_language": op4_language,
+    "op5_quality": op5_quality,
+    "op6_exact_search": op6_exact_search,
     "op7_bpe": op7_bpe,
+    "op8_pii": op8_pii,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_sharding": op10_sharding,
 }
