@@ -62,3 +62,50 @@ def fit(
         if moved < 1e-9:
             break
     return model
+
+
+@dataclass(frozen=True)
+class ConditionalModel:
+    """Prior of the positive class, and how often each labeler casts each vote for either class."""
+
+    prior: float
+    rates: tuple[dict[str, tuple[float, float]], ...]
+
+    def posterior(self, votes: str) -> float:
+        odds = log(self.prior / (1 - self.prior))
+        for vote, rate in zip(votes, self.rates, strict=True):
+            yes, no = rate[vote]
+            odds += log(yes / no)
+        return 1 / (1 + exp(-max(-500.0, min(500.0, odds))))
+
+
+def fit_conditional(patterns: dict[str, int], labelers: int, rounds: int = 300) -> ConditionalModel:
+    """Fits vote rates by class, so that a labeler that says the same of nearly all tells little.
+
+    Starts from the number of votes against, which fixes the meaning of the classes: none is
+    nearly sure for, two or more are nearly sure against. Rates are smoothed by one pseudo-vote.
+    Without patterns the model is indifferent.
+    """
+    total = sum(patterns.values())
+    ordered = sorted(patterns.items())
+    chance = {v: {0: 0.98, 1: 0.6}.get(v.count(NO), 0.05) for v in patterns}
+    model = ConditionalModel(0.5, ({v: (1.0, 1.0) for v in (NO, ABSTAIN, YES)},) * labelers)
+    for _ in range(rounds if total else 0):
+        yes = sum(n * chance[v] for v, n in ordered)
+        rates = []
+        for i in range(labelers):
+            rate = {}
+            for vote in (NO, ABSTAIN, YES):
+                cast = [(n, chance[v]) for v, n in ordered if v[i] == vote]
+                rate[vote] = (
+                    (sum(n * p for n, p in cast) + 1) / (yes + 3),
+                    (sum(n * (1 - p) for n, p in cast) + 1) / (total - yes + 3),
+                )
+            rates.append(rate)
+        model = ConditionalModel(min(0.999, max(0.001, yes / total)), tuple(rates))
+        new = {v: model.posterior(v) for v in patterns}
+        moved = max(abs(new[v] - chance[v]) for v in patterns)
+        chance = new
+        if moved < 1e-9:
+            break
+    return model

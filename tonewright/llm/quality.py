@@ -2,7 +2,7 @@
 
 Each rule looks at counts of the whole text and votes for good, for bad, or not at all. Vote
 patterns are counted over all documents; expectation-maximisation on these counts estimates how
-reliable each rule is, and a document is kept if it passes the base rules and its posterior chance
+often each rule casts each vote on good and on bad documents, and a document is kept if it passes the base rules and its posterior chance
 of being good is at least one half. No single rule of the model can throw a document out.
 
 Defined results: null and empty texts have no words and fail the base rules; repeated rows get
@@ -32,11 +32,14 @@ COUNTS = (
     "n_distinct_words",
     "n_letter_words",
     "n_ends",
-    "n_chars",
+    "n_symbol_words",
+    "n_other_chars",
 )
 _LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
 _WIDE = re.compile(rb"[\x80-\xbf]")
 _END = re.compile(rb"[.!?]")
+_PUNCTUATION = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+_USUAL = b".,;:!?'\"()-"
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -66,6 +69,7 @@ def counts_of(text: str | None) -> tuple[int, ...]:
     words = body.split()
     joined = b"".join(words)
     plain = len(joined) - (0 if joined.isascii() else len(_WIDE.findall(joined)))
+    symbols = len(joined) - len(joined.translate(None, SYMBOLS))
     lines = [line for line in body.split(b"\n") if line.strip(b" \t\r\v\f")]
     distinct = set(words)
     lettered = {w for w in distinct if _LETTER.search(w)}
@@ -73,14 +77,15 @@ def counts_of(text: str | None) -> tuple[int, ...]:
     return (
         len(words),
         plain,
-        len(joined) - len(joined.translate(None, SYMBOLS)),
+        symbols,
         len(lines) - len(set(lines)),
         repeated_words(words),
         len(lines),
         len(distinct),
         n_lettered,
         len(_END.findall(joined)),
-        len(text or ""),
+        sum(len(w) != len(w.translate(None, SYMBOLS)) for w in words) if symbols else 0,
+        len(joined) - len(joined.translate(None, _PUNCTUATION)) - (len(joined) - len(joined.translate(None, _USUAL))),
     )
 
 
@@ -110,6 +115,8 @@ def rules() -> dict[str, tuple[Column, Column]]:
     variety = F.col("n_distinct_words") / F.sqrt(words)
     letters = F.col("n_letter_words") / words
     ends = F.col("n_ends") / words
+    symbol_words = F.col("n_symbol_words") / words
+    others = F.col("n_other_chars") / F.greatest(F.col("word_chars"), F.lit(1))
     several = F.col("n_lines") >= 4
     return {
         "length": (F.col("n_words") >= 80, F.col("n_words") < 50),
@@ -119,6 +126,8 @@ def rules() -> dict[str, tuple[Column, Column]]:
         "repetition": (repeat <= 0.1, repeat > 0.3),
         "variety": (variety >= 3, variety < 1.5),
         "letters": (letters >= 0.9, letters < 0.7),
+        "symbol_words": (symbol_words <= 0.01, symbol_words > 0.05),
+        "other_characters": (others <= 0.01, others > 0.05),
         "sentences": ((ends >= 0.02) & (ends <= 0.35), (ends == 0) | (ends > 0.6)),
     }
 
@@ -141,7 +150,7 @@ def measure(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_count, schema).withColumn("votes", votes())
 
 
-def judge(docs: DataFrame, least: float = 0.5) -> tuple[DataFrame, label_model.LabelModel]:
+def judge(docs: DataFrame, least: float = 0.5) -> tuple[DataFrame, label_model.ConditionalModel]:
     """Counts, votes, ``base_failed``, ``quality`` and ``kept`` of all documents, and the model.
 
     The patterns number three for each rule at most, multiplied, whatever the number of documents,
@@ -150,7 +159,7 @@ def judge(docs: DataFrame, least: float = 0.5) -> tuple[DataFrame, label_model.L
     spark = docs.sparkSession
     measured = materialize(measure(docs), "counts")
     patterns = {r["votes"]: r["count"] for r in measured.groupBy("votes").count().collect()}
-    model = label_model.fit(patterns, len(rules()), prior=0.8)
+    model = label_model.fit_conditional(patterns, len(rules()))
     posteriors = [(p, model.posterior(p)) for p in sorted(patterns)]
     table = spark.createDataFrame(posteriors, "votes string, quality double")
     judged = measured.join(F.broadcast(table), "votes", "left").withColumn("base_failed", base_failed())
