@@ -17,6 +17,7 @@ from tonewright.llm import (
     quality,
     sharding,
     suffix_dedup,
+    tool_calls,
 )
 from tonewright.llm.shipping import ship
 
@@ -49,6 +50,22 @@ def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    calls, results = tool_calls.calls_of_turns(turns)
+    formatted = tool_calls.format_calls(calls, results, tool_calls.turn_schemas(spark))
+    return formatted.select(
+        "conv_id",
+        "call_id",
+        "order_turn",
+        "order_step",
+        "in_cycle",
+        "status",
+        F.array_join("errors", "|").alias("errors"),
+        F.sha2(F.col("json").cast("binary"), 256).alias("json_sha256"),
+    )
+
+
 def op4_language(spark: SparkSession, sf: str) -> DataFrame:
     found = language_id.identify(_documents(spark, sf).select("doc_id", "text", "lang"))
     return found.select(
@@ -123,6 +140,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_tool_calls": op3_tool_calls,
     "op4_language": op4_language,
     "op5_quality": op5_quality,
     "op6_exact_search": op6_exact_search,
