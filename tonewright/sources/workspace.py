@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,14 +32,38 @@ def new_name() -> str:
     return uuid.uuid4().hex
 
 
-def materialize(frame: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that :func:`materialize` writes inside, at the end.
+
+    Whatever is to be read afterwards has to be written inside as ``lasting``, so that it depends on
+    none of them; a lasting table belongs to the scope around this one, if there is one. Only
+    tables made by this library below the shared folder are deleted.
+    """
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(own)
+        for path in own:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialize(
+    frame: DataFrame, name: str, schema: StructType | None = None, lasting: bool = False
+) -> DataFrame:
     """Writes a frame as a table and reads it back.
 
     This cuts the lineage in a way that outlives lost executors, stores the data by column, and
     lets later scans prune columns and push filters down. ``schema`` replaces the stored schema on
-    reading; it must describe the same columns.
+    reading; it must describe the same columns. ``lasting``: see :func:`temporary`.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{name}-{new_name()}"
+    scopes = _SCOPES[:-1] if lasting else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
     frame.write.parquet(path)
     return spark.read.schema(schema or frame.schema).parquet(path)
