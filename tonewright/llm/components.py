@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonewright.sources.workspace import materialize
+from tonewright.sources.workspace import materialize, temporary
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,17 +30,21 @@ def components(links: DataFrame) -> DataFrame:
     folder, which cuts the lineage, and the number of rounds grows with the logarithm of the
     longest path. Nothing but a count and a checksum goes to the driver.
     """
-    ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = materialize(ordered.distinct(), "edges")
-    seen = None
-    while True:
-        check = edges.agg(
-            F.count("*").alias("n"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"),
-        ).first()
-        if (check["n"], check["sum"]) == seen or not check["n"]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
-            )
-        seen = (check["n"], check["sum"])
-        edges = materialize(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+    spark = links.sparkSession
+    with temporary(spark):
+        ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        edges = materialize(ordered.distinct(), "edges")
+        seen = None
+        while True:
+            check = edges.agg(
+                F.count("*").alias("n"),
+                F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"),
+            ).first()
+            if (check["n"], check["sum"]) == seen or not check["n"]:
+                break
+            seen = (check["n"], check["sum"])
+            edges = materialize(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+        named = edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
+            edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
+        )
+        return materialize(named, "components", lasting=True)

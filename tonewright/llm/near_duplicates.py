@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tonewright.llm.components import components
-from tonewright.sources.workspace import materialize
+from tonewright.sources.workspace import materialize, temporary
 
 WORDS = 5
 RETAINED = 16
@@ -274,11 +274,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_shingles bigint, node bigint, retained array<bigint>"
     classes = materialize(rows.mapInArrow(_classes, schema), "classes")
-    found = materialize(components(links_of(rows, classes)), "components")
-    least = classes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = least.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    by_label = named.groupBy("label").agg(F.min("least").alias("component"))
-    owner = materialize(named.join(by_label, "label").select("node", "component"), "owners")
+    with temporary(docs.sparkSession):
+        found = components(links_of(rows, classes))
+        least = classes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
+        named = least.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        by_label = named.groupBy("label").agg(F.min("least").alias("component"))
+        owner = named.join(by_label, "label").select("node", "component")
+        owner = materialize(owner, "owners", lasting=True)
     out = classes.select("doc_id", "n_shingles", "node").join(owner, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(

@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonewright.llm import label_model
-from tonewright.sources.workspace import materialize
 
 #: In the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -171,7 +170,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             found = candidates(text, base_spans(text))
             out.append([dict(zip(names, c, strict=True)) for c in found])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["doc_id", "found"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["row", "found"])
 
 
 def train(patterns: list[tuple[str, int, int]], rounds: int = 300) -> tuple[label_model.LabelModel, list[float]]:
@@ -210,19 +209,27 @@ def accepted(weights: list[float], least: float = 0.8) -> list[int]:
     ]
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """``doc_id, base, spans`` of all documents: arrays of ``(kind, start, end)``."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    found = materialize(rows.mapInArrow(_find, f"doc_id {kind}, found {_SCHEMA}"), "candidates")
-    counted = found.select(F.explode("found").alias("c")).groupBy("c.votes", "c.features").count()
+def _found(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    rows = docs.select(F.struct(*carry).alias("row"), F.col("text").cast("string").alias("text"))
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(_find, f"row {kind}, found {_SCHEMA}")
+
+
+def find(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``row`` (the carried columns), ``base`` and ``spans``: arrays of ``(kind, start, end)``.
+
+    The texts are scanned twice, to train and to decide, and not stored or shuffled.
+    """
+    seen = _found(docs, ("doc_id",)).select(F.explode("found").alias("c"))
+    counted = seen.groupBy("c.votes", "c.features").count()
     _, weights = train([tuple(r) for r in counted.collect()])  # at most 3^6 * 2^10 patterns
-    codes = F.array(*(F.lit(f) for f in accepted(weights))) if accepted(weights) else F.array().cast("array<int>")
+    codes = F.lit([-1, *accepted(weights)])
+    found = _found(docs, carry)
     plain = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
     base = F.transform(F.filter("found", lambda c: c["base"]), plain)
     taken = F.filter("found", lambda c: c["base"] | F.array_contains(codes, c["features"]))
     return found.select(
-        "doc_id", F.array_sort(base).alias("base"), F.array_sort(F.transform(taken, plain)).alias("spans")
+        "row", F.array_sort(base).alias("base"), F.array_sort(F.transform(taken, plain)).alias("spans")
     )
 
 

@@ -46,7 +46,7 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = suffix_dedup.remove_repeats(_documents(spark, sf))
     return cleaned.select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
@@ -111,7 +111,7 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find(_documents(spark, sf))
     return found.select(
-        "doc_id",
+        "row.doc_id",
         *(pii.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS[: pii.BASE]),
         F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         pii.listed(F.col("spans")).alias("spans"),

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonewright.sources.workspace import materialize
+from tonewright.sources.workspace import materialize, temporary
 
 LENGTH = 50
 GRAM = 16
@@ -399,40 +399,36 @@ def _sort_bucket(table: pa.Table) -> pa.Table:
     return _runs_of(ids[which], keys[which], begin, begin + runs[:, 2] + LENGTH - 1)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for begin in range(0, whole.num_rows, 1024):
             batch = whole.slice(begin, 1024)
             sizes, removed, spans, kept = [], [], [], []
             for text, parts in zip(_utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                sizes.append(len(text))
                 pairs = np.frombuffer(b"".join(parts or []), np.int32).reshape(-1, 2)
-                if not len(pairs):
-                    removed.append(0)
-                    spans.append(0)
-                    kept.append(text)
-                    continue
                 pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
                 reach = np.maximum.accumulate(pairs[:, 1])
                 head = np.ones(len(pairs), dtype=bool)
                 head[1:] = pairs[1:, 0] > reach[:-1]
                 first = np.flatnonzero(head)
                 lows = pairs[first, 0]
-                highs = reach[np.append(first[1:], len(pairs)) - 1]
+                highs = reach[np.append(first[1:], len(pairs)) - 1] if len(pairs) else lows
+                sizes.append(len(text))
                 removed.append(int((highs - lows).sum()))
                 spans.append(len(first))
                 at, rest = 0, []
                 for low, high in zip(lows.tolist(), highs.tolist(), strict=True):
                     rest.append(text[at:low])
                     at = high
-                kept.append(b"".join([*rest, text[at:]]))
+                body = b"".join([*rest, text[at:]])
+                kept.append(body.decode(errors="ignore") if as_text else body)
             long = pa.int64()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(sizes, long), pa.array(removed, long),
-                    pa.array(spans, long), pa.array(kept, pa.binary()),
+                    pa.array(spans, long), pa.array(kept, pa.string() if as_text else pa.binary()),
                 ],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+                ["row", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
 
@@ -458,16 +454,23 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     return runs.groupBy("id", "key").agg(F.collect_list("runs").alias("parts"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of all documents."""
-    runs = materialize(removed_runs(docs), "runs")
+def remove_repeats(
+    docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), as_text: bool = False
+) -> DataFrame:
+    """``row`` (the carried columns), ``n_bytes, n_removed, n_spans, kept`` (the remaining bytes).
+
+    As text, ``kept`` goes without what is left of a character of which bytes were removed.
+    """
+    with temporary(docs.sparkSession):
+        runs = materialize(removed_runs(docs), "runs", lasting=True)
     rows = docs.select(
-        "doc_id",
+        F.struct(*carry).alias("row"),
         F.col("text").cast("string").alias("text"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("id"),
         F.xxhash64("text").alias("key"),
     )
-    met = rows.join(runs, ["id", "key"], "left").select("doc_id", "text", "parts")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-    return met.mapInArrow(_cut, schema)
+    met = rows.join(runs, ["id", "key"], "left").select("row", "text", "parts")
+    kind = rows.schema["row"].dataType.simpleString()
+    body = "string" if as_text else "binary"
+    schema = f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {body}"
+    return met.mapInArrow(partial(_cut, as_text=as_text), schema)
