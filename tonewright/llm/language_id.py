@@ -84,7 +84,7 @@ class Parser:
         return symbols[keep], bool((symbols != 0).any())
 
     def _table(self, sample: list[int], base: int) -> np.ndarray:
-        """The automaton as a table: twice the offset of the next state, plus 1 if a phrase ends."""
+        """The automaton as a table: twice the offset of the next state, plus 1 if a phrase begins."""
         link, length, moves = [-1], [0], [{}]
         last = 0
         for c in sample:
@@ -114,9 +114,9 @@ class Parser:
         for c, to in moves[0].items():
             root[c] = base + to
         table = np.tile(root * self.size * 2 + 1, (len(moves), 1))
-        for state, arcs in enumerate(moves):
+        for state, arcs in enumerate(moves[1:], 1):  # at the root, any symbol begins a phrase
             table[state, list(arcs)] = (np.array(list(arcs.values()), dtype=np.int64) + base) * self.size * 2
-        table[:, self.size - 1] = base * self.size * 2  # padding ends nothing
+        table[:, self.size - 1] = base * self.size * 2  # padding begins nothing
         return table
 
     def parse(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -142,7 +142,7 @@ class Parser:
                 move = self.table.take(state + symbols)
                 count += move & 1
                 state = move >> 1
-        phrases = np.add.reduceat(counts, first, axis=1) + 1
+        phrases = np.add.reduceat(counts, first, axis=1)
         bits = phrases * np.array(self.bits)[:, None]
         best = (bits / sizes).argmin(axis=0)
         gap = np.minimum(bits - bits.min(axis=0), 1000.0)

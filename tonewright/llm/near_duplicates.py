@@ -9,15 +9,18 @@ are in both with at least that chance each, so no shared value among 16 has a ch
 and an estimate below its bound (7.5 standard deviations) one below 1e-12. Sets smaller than a
 sketch are compared exactly.
 
-*No list is expanded into pairs.* A long list means a passage or a large group of copies. Its
-members are listed anew under their larger sketches, rarest values first, as many as any linked
-pair must share one of: a common passage then no longer brings documents together. In each list
-all members meet one hub; only lists whose members are still in different components after that
-bring forth further pairs, and only between components.
+*No list is expanded into pairs.* A shared passage brings unrelated documents into one list. Sets
+that share a retained value are therefore listed anew under their sketches, rarest values first, as
+many as any linked pair must share one of: a passage then no longer brings documents together unless
+it is about half of them. In each list all members meet one hub, the set whose values are the most
+common, which is the middle of a group of copies. Lists whose members are then still in different
+components bring forth further pairs only between components, and only where the values that no
+other set of these lists has leave room for the similarity.
 
 Defined results: null and empty texts have the empty set and are linked with nothing; texts of
 fewer than five words are one shingle; repeated rows share their class; a null ``doc_id`` never
-represents a component unless all of its ids are null, and then its rows are kept.
+represents a component unless all of its ids are null, and then its rows are kept. Classes and texts
+are known by 64 bits of a hash.
 """
 
 from __future__ import annotations
@@ -38,9 +41,7 @@ from tonewright.sources.workspace import materialize, temporary
 WORDS = 5
 RETAINED = 16
 SKETCH = 128
-#: Lists longer than this are replaced by rare-first lists.
-LONG = 32
-#: Bits of the filter for nodes, 4 MB whatever the input; collisions only let more rows through.
+#: Bits of the filter for texts, 4 MB whatever the input; collisions only let more rows through.
 FILTER_BITS = 1 << 25
 _KNOWN: dict[bytes, int] = {}
 _MOST = 500_000
@@ -92,52 +93,33 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for begin in range(0, whole.num_rows, 2000):
             batch = whole.slice(begin, 2000)
-            sets = [shingle_hashes(text) for text in batch.column(1).to_pylist()]
+            sets = [shingle_hashes(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                    _lists([s[:RETAINED] for s in sets]),
+                    _lists([s[:SKETCH] for s in sets]),
                 ],
-                ["doc_id", "n_shingles", "node", "retained"],
+                ["doc_id", "text_key", "n_shingles", "node", "sketch"],
             )
 
 
-def _chosen(
-    batches: Iterator[pa.RecordBatch], bits: bytes, want: str
-) -> Iterator[pa.RecordBatch]:
-    """Sketches or texts of the nodes whose bit is set."""
+def _chosen(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[pa.RecordBatch]:
+    """Rows whose bit is set, without looking at the texts."""
     mask = np.frombuffer(bits, dtype=np.uint8)
-    for whole in batches:
-        for begin in range(0, whole.num_rows, 2000):
-            nodes, sizes, sketches, texts = [], [], [], []
-            for text in whole.column(0).slice(begin, 2000).to_pylist():
-                hashes = shingle_hashes(text)
-                if not len(hashes):
-                    continue
-                node = node_of(hashes)
-                at = node & (FILTER_BITS - 1)
-                if mask[at >> 3] >> (at & 7) & 1:
-                    nodes.append(node)
-                    sizes.append(len(hashes))
-                    sketches.append(hashes[:SKETCH])
-                    texts.append(text)
-            found = [pa.array(nodes, pa.int64())]
-            if want == "sketch":
-                found += [pa.array(sizes, pa.int64()), _lists(sketches)]
-                yield pa.RecordBatch.from_arrays(found, ["node", "n", "sketch"])
-            else:
-                found.append(pa.array(texts, pa.string()))
-                yield pa.RecordBatch.from_arrays(found, ["node", "text"])
-
-
-def _of_nodes(docs: DataFrame, nodes: DataFrame, want: str) -> DataFrame:
-    """One sketch or text for each node: read again from the documents, filtered where they are
-    read by a bitmap of bounded size, then exactly by a join."""
-    at = F.col("node").bitwiseAND(F.lit(FILTER_BITS - 1))
+    for batch in batches:
+        at = batch.column(0).to_numpy(zero_copy_only=False) & (FILTER_BITS - 1)
+        yield batch.filter(pa.array((mask[at >> 3] >> (at & 7)) & 1 == 1))
+
+
+def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``node, text`` for ``keys(node, text_key)``, one text for each: read again from the documents,
+    filtered where they are read by a bitmap of bounded size, then exactly by a join."""
+    at = F.col("text_key").bitwiseAND(F.lit(FILTER_BITS - 1))
     parts = (
-        nodes.select((at / 32768).cast("int").alias("part"), (at % 32768).alias("bit"))
+        keys.select((at / 32768).cast("int").alias("part"), (at % 32768).alias("bit"))
         .groupBy("part")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
         .collect()  # at most FILTER_BITS / 32768 rows of 4 KB
@@ -145,14 +127,20 @@ def _of_nodes(docs: DataFrame, nodes: DataFrame, want: str) -> DataFrame:
     bits = bytearray(FILTER_BITS // 8)
     for row in parts:
         bits[row["part"] * 4096 : (row["part"] + 1) * 4096] = row["bits"]
-    schema = "node bigint, n bigint, sketch array<bigint>" if want == "sketch" else "node bigint, text string"
-    chosen = docs.select(F.col("text").cast("string")).mapInArrow(
-        partial(_chosen, bits=bytes(bits), want=want), schema
+    chosen = docs.select("text_key", "text").mapInArrow(
+        partial(_chosen, bits=bytes(bits)), "text_key bigint, text string"
     )
-    # Equal texts are common, and a first aggregation where they are read keeps one of each.
-    columns = [c for c in chosen.columns if c != "node"]
-    one = chosen.groupBy("node").agg(*(F.first(c).alias(c) for c in columns))
-    return materialize(one.join(nodes.select("node"), "node", "left_semi"), want)
+    # equal texts are common: a first aggregation where they are read keeps one of each
+    one = chosen.groupBy("text_key").agg(F.first("text").alias("text"))
+    return materialize(one.join(keys, "text_key").select("node", "text"), "texts")
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for begin in range(0, whole.num_rows, 2000):
+            batch = whole.slice(begin, 2000)
+            sets = [shingle_hashes(text) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(sets)], ["node", "whole"])
 
 
 def least_overlap(n: Column) -> Column:
@@ -170,33 +158,33 @@ def least_overlap(n: Column) -> Column:
     ).cast("int")
 
 
-def _list_heads(postings: DataFrame) -> DataFrame:
-    """Size and hub of each list with two members or more; partial sums come first."""
-    heads = postings.groupBy("value").agg(F.count("*").alias("size"), F.min("node").alias("hub"))
-    return heads.where("size > 1")
-
-
-def _members(postings: DataFrame) -> DataFrame:
-    return postings.join(_list_heads(postings), "value")
-
-
-def _rare_first(sketches: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Lists under the rarest values of the sketches: any linked pair shares one of them.
+def rare_first(sketches: DataFrame) -> DataFrame:
+    """Lists ``(value, node, hub)`` under the rarest values: any linked pair shares one of them.
 
     Of a sketch with at least ``c`` values in common with each linked one, all but ``c - 1`` are
-    listed. The order is the same for all sketches, by number of sketches and value.
+    listed. The order is the same for all sketches: by number of sketches that hold the value, then
+    by value. Values that only one sketch holds come first and need no list.
     """
-    held = sketches.join(nodes, "node", "left_semi")
-    size = F.size("sketch")
-    values = materialize(
-        held.select("node", (size - least_overlap(F.col("n")) + 1).alias("listed"), F.explode("sketch").alias("value")),
-        "sketch-values",
-    )
+    values = sketches.select("node", F.explode("sketch").alias("value"))
     counts = values.groupBy("value").count().where("count > 1")
-    order = Window.partitionBy("node").orderBy(F.coalesce("count", F.lit(1)), "value")
-    ranked = values.join(counts, "value", "left").withColumn("place", F.row_number().over(order))
-    listed = ranked.where("place <= listed AND count > 1").select("value", "node")
-    return _members(materialize(listed, "rare-postings"))
+    shared = materialize(values.join(counts, "value"), "shared-values")
+    order = Window.partitionBy("node").orderBy("count", "value")
+    every = Window.partitionBy("node")
+    ranked = shared.select(
+        "node",
+        "value",
+        F.row_number().over(order).alias("place"),
+        F.count("*").over(every).alias("shared"),
+        F.sum("count").over(every).alias("common"),
+    ).join(sketches.select("node", "n", F.size("sketch").alias("size")), "node")
+    listed = ranked.where(
+        F.col("size") - F.col("shared") + F.col("place") <= F.col("size") - least_overlap(F.col("n")) + 1
+    )
+    listed = materialize(listed.select("value", "node", "common"), "listed")
+    heads = listed.groupBy("value").agg(
+        F.max(F.struct("common", "node"))["node"].alias("hub"), F.count("*").alias("size")
+    )
+    return listed.join(heads.where("size > 1"), "value").select("value", "node", "hub")
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -215,64 +203,96 @@ def estimate(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[int, np.ndarray] = {}
+
+    def of(node: int, text: str) -> np.ndarray:
+        found = known.get(node)
+        if found is None:
+            if len(known) > 2000:
+                known.clear()
+            found = known[node] = shingle_hashes(text)
+        return found
+
     for batch in batches:
-        a, b, left, right = (c.to_pylist() for c in batch.columns)
-        keep, last, first = [], None, None
-        for x, s, t in zip(a, left, right, strict=True):
-            if last != x:
-                last, first = x, shingle_hashes(s)
-            second = shingle_hashes(t)
+        keep = []
+        for x, y, s, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            first, second = of(x, s), of(y, t)
             common = len(np.intersect1d(first, second, assume_unique=True))
             keep.append(100 * common >= 75 * (len(first) + len(second) - common))
         mask = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(mask)
 
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verify(docs: DataFrame, pairs: DataFrame, keys: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    texts = _of_nodes(docs, ends.distinct(), "text")
+    texts = _texts(docs, materialize(keys.join(ends.distinct(), "node", "left_semi"), "ends"))
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return materialize(met.mapInArrow(_verified, "a bigint, b bigint"), "links")
 
 
+def _lonely(docs: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
+    """``node, lonely``: how many elements of its whole set no other of the nodes has."""
+    texts = _texts(docs, materialize(keys.join(nodes, "node", "left_semi"), "open-nodes"))
+    values = texts.mapInArrow(_sets, "node bigint, whole array<bigint>").select(
+        "node", F.explode("whole").alias("value")
+    )
+    single = values.groupBy("value").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    return single.where("n = 1").groupBy("node").agg(F.count("*").alias("lonely"))
+
+
+def _reaches(n: str, lonely: str, other: str) -> Column:
+    """Whether a set can be 0.75 similar to one of size ``other``: what they share is at most the
+    rest of the set, and their union is at least the other and the lonely elements."""
+    return 100 * (F.col(n) - F.col(lonely)) >= 75 * (F.col(other) + F.col(lonely))
+
+
 def links_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between classes whose components are those of all links."""
-    postings = classes.where("node IS NOT NULL").select("node", F.explode("retained").alias("value"))
-    members = materialize(_members(materialize(postings.distinct(), "postings")), "members")
-    sketches = _of_nodes(docs, members.select("node").distinct(), "sketch")
-    long = members.where(F.col("size") > LONG)
-    rare = _rare_first(sketches, long.select("node").distinct())
-    columns = ["value", "node", "hub"]
-    lists = materialize(
-        members.where(F.col("size") <= LONG)
-        .select(*columns, F.lit(1).alias("kind"))
-        .unionByName(rare.select(*columns, F.lit(2).alias("kind"))),
-        "lists",
+    some = classes.where("node IS NOT NULL")
+    postings = some.select("node", F.explode(F.slice("sketch", 1, RETAINED)).alias("value")).distinct()
+    postings = materialize(postings, "postings")
+    lists = postings.groupBy("value").count().where("count > 1")
+    members = materialize(postings.join(lists, "value", "left_semi").select("node").distinct(), "members")
+    sketches = some.join(members, "node", "left_semi").groupBy("node")
+    sketches = sketches.agg(
+        F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
     )
+    sketches = materialize(sketches, "sketches")
+    keys = sketches.select("node", "text_key")
+    lists = materialize(rare_first(sketches), "lists")
     star = _pairs(lists.where("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y")))
     tried = materialize(estimate(star, sketches), "star")
-    links = verify(docs, tried)
-    found = components(links)
-    labelled = lists.join(found, "node", "left").select(
-        "kind", "value", "node", F.coalesce("label", "node").alias("label")
+    links = verify(docs, tried, keys)
+    labelled = lists.join(components(links), "node", "left").select(
+        "value", "node", F.coalesce("label", "node").alias("label")
     )
     labelled = materialize(labelled, "labelled")
-    split = labelled.groupBy("kind", "value").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = labelled.join(split.where("low <> high").select("kind", "value"), ["kind", "value"], "left_semi")
-    other = open_.select("kind", "value", F.col("node").alias("y"), F.col("label").alias("other"))
-    crossed = open_.withColumnRenamed("node", "x").join(other, ["kind", "value"]).where("x < y AND label <> other")
+    split = labelled.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_ = labelled.join(split.where("low <> high").select("value"), "value", "left_semi")
+    open_ = materialize(open_, "open")
+    lonely = _lonely(docs, open_.select("node").distinct(), keys)
+    sized = open_.join(sketches.select("node", "n"), "node").join(lonely, "node", "left")
+    sized = sized.withColumn("lonely", F.coalesce("lonely", F.lit(0)))
+    # a set reaches the smallest other that its size allows, or none
+    sized = materialize(sized.where(100 * (F.col("n") - F.col("lonely")) >= 75 * F.col("n")), "sized")
+    left = sized.select("value", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), F.col("lonely").alias("ux"))
+    right = sized.select("value", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"), F.col("lonely").alias("uy"))
+    crossed = left.join(right, "value").where(
+        (F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & _reaches("nx", "ux", "ny") & _reaches("ny", "uy", "nx")
+    )
     rest = estimate(_pairs(crossed).join(tried, ["a", "b"], "left_anti"), sketches)
-    return links.unionByName(verify(docs, materialize(rest, "rest")))
+    return links.unionByName(verify(docs, materialize(rest, "rest"), keys))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of all documents."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    body = F.col("text").cast("string")
+    rows = docs.select("doc_id", F.xxhash64(body).alias("text_key"), body.alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles bigint, node bigint, retained array<bigint>"
+    schema = f"doc_id {kind}, text_key bigint, n_shingles bigint, node bigint, sketch array<bigint>"
     classes = materialize(rows.mapInArrow(_classes, schema), "classes")
     with temporary(docs.sparkSession):
         found = components(links_of(rows, classes))
