@@ -157,28 +157,38 @@ def collocations_top300(spark, sf):
 
 def _sample(k: int) -> Query:
     def query(spark, sf):
-        labels = tables.read_labels(spark, sf)
-        named = labels.withColumn("name", F.col("doc_id").cast("string"))
-        return sampling.first_per_class(named, k).select("name", "label")
+        """Ranks names only; the texts of the chosen documents come after."""
+        named = tables.read_labels(spark, sf).withColumn("name", F.col("doc_id").cast("string"))
+        documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+        chosen = sampling.with_documents(sampling.first_per_class(named, k), documents)
+        return chosen.select("name", "label", F.md5("text").alias("digest"))
 
     return query
 
 
 def union_classes(spark, sf):
     labels = tables.read_labels(spark, sf)
-    return files.union_classes(labels.where("label = 1.0"), labels.where("label = 0.0"))
+    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    classes = (tables.with_label(documents, labels.where(F.col("label") == c)) for c in (1.0, 0.0))
+    return files.union_classes(*classes).select("doc_id", "label", F.md5("text").alias("digest"))
+
+
+def _lengths(spark, sf):
+    """Lengths are taken where the texts are read, so no text is shuffled."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    return documents.select("doc_id", F.length("text").alias("n_chars"))
 
 
 def label_join(spark, sf):
-    return _labeled(spark, sf).select("doc_id", "label", F.length("text").alias("n_chars"))
+    joined = tables.with_label(_lengths(spark, sf), tables.read_labels(spark, sf))
+    return joined.select("doc_id", "label", "n_chars")
 
 
 def name_join(spark, sf):
     documents = spark.read.parquet(f"{sf}/documents.parquet")
     file_name = F.concat_ws(".", "doc_id", "source", F.lit("txt"))
     names = documents.select("doc_id", files.document_name(file_name).alias("name"))
-    rows = tables.read_documents(spark, sf).select("doc_id", F.length("text").alias("n_chars"))
-    return tables.with_name(rows, names)
+    return tables.with_name(_lengths(spark, sf), names)
 
 
 def bucket_split(spark, sf):
@@ -192,21 +202,29 @@ def bucket_split(spark, sf):
 
 
 def random_split(spark, sf):
+    """What must hold of a drawn split: each row is in one part, and in no more than one."""
     stored = workspace.materialize(tables.read_labels(spark, sf), "labels")
     train, test = split.random_split(stored)
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
+    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    drawn = parts.groupBy("doc_id").agg(F.countDistinct("part").alias("parts"))
+    judged = stored.join(drawn, "doc_id", "left")
+    return judged.agg(
+        F.count("*").alias("n_rows"),
+        F.count(F.when(F.col("parts") > 1, 1)).alias("n_both"),
+        F.count(F.when(F.col("parts").isNull(), 1)).alias("n_neither"),
     )
 
 
 def corpus_roundtrip(spark, sf):
-    """The labeled documents as one file each, read back from their folders."""
+    """The labeled documents as one file each, read back from their folders.
+
+    One file for each document is the format that is read, not a way to store a large corpus.
+    """
     folder = f"{workspace.shared_folder(spark)}/corpus-{workspace.new_name()}"
-    corpus = _labeled(spark, sf).persist()
+    corpus = workspace.materialize(_labeled(spark, sf), "corpus")
     for label, part in ((1.0, "pos"), (0.0, "neg")):
         one = corpus.where(F.col("label") == label).select("doc_id", "text")
         one.write.partitionBy("doc_id").text(f"{folder}/{part}")
-    corpus.unpersist()
     back = files.read_labeled(spark, folder)
     body = F.expr("substring(text, 1, length(text) - 1)")  # the writer ends a file with a line feed
     return back.select(
@@ -399,6 +417,12 @@ def hard_vote(spark, sf):
     return votes.select("doc_id", "label", "votes0", "votes1", "prediction")
 
 
+def committee_predict_unlabeled(spark, sf):
+    """The whole committee votes on the documents without a label, each model once."""
+    votes = vote.vote_on_unlabeled(_prepared(spark, sf))
+    return votes.select("doc_id", "votes0", "votes1", "prediction")
+
+
 def voted_accuracy(spark, sf):
     return vote.voted_accuracy(_labeled(spark, sf)).select("n_test", "n_correct", _r("accuracy"))
 
@@ -467,14 +491,12 @@ def queries() -> dict[str, Query]:
         "svm_one_step_accuracy": _linear_accuracy("hinge", 1),
         "svm_gd3": _linear("hinge", 3),
         "logreg_gd3": _linear("logistic", 3),
-        "svm_gd3_accuracy": _linear_accuracy("hinge", 3),
-        "logreg_gd3_accuracy": _linear_accuracy("logistic", 3),
-        "svm_gd3_predict_unlabeled": _linear_predictions("hinge", 3),
-        "logreg_gd3_predict_unlabeled": _linear_predictions("logistic", 3),
+        "svm_holdout_accuracy": _linear_accuracy("hinge", 100),
+        "logreg_holdout_accuracy": _linear_accuracy("logistic", 100),
+        "svm_predict_unlabeled": _linear_predictions("hinge", 100),
+        "logreg_predict_unlabeled": _linear_predictions("logistic", 100),
         "svm_gd100": _linear("hinge", 100),
         "logreg_gd100": _linear("logistic", 100),
-        "linear_svc": _estimator(estimators.linear_svc),
-        "logistic_regression": _estimator(estimators.logistic_regression),
         "random_forest": _estimator(estimators.random_forest),
         "gbt": _estimator(estimators.gradient_boosting),
         "prediction_sink": prediction_sink,
@@ -482,6 +504,7 @@ def queries() -> dict[str, Query]:
         "gnb_second_round": gnb_second_round,
         "soft_vote": soft_vote,
         "hard_vote": hard_vote,
+        "committee_predict_unlabeled": committee_predict_unlabeled,
         "voted_accuracy": voted_accuracy,
         "resubstitution_accuracy": resubstitution_accuracy,
     } | _llm_queries()

@@ -328,7 +328,7 @@ def _weight_ctes(
     ]
 
 
-_INDEX = ("indexed", "SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, df FROM vocab")
+_INDEX = ("indexed", "SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, df FROM vocab")
 
 # --- Naive Bayes --------------------------------------------------------------------------------
 
@@ -427,7 +427,7 @@ def _descent_ctes(ctes: Ctes, loss: str, steps: int, train: str = "label IS NOT
     return ctes
 
 
-def _margin_ctes(ctes: Ctes, steps: int) -> Ctes:
+def _margin_ctes(ctes: Ctes, coefficients: str) -> Ctes:
     return [
         *ctes,
         (
@@ -435,7 +435,7 @@ def _margin_ctes(ctes: Ctes, steps: int) -> Ctes:
             "SELECT *, CAST(margin > 0 AS INTEGER) AS prediction FROM ("
             "SELECT docs.doc_id, docs.label, coalesce(sum(w.w * c.coef), 0) AS margin FROM docs "
             "LEFT JOIN w ON docs.doc_id = w.doc_id "
-            f"LEFT JOIN coef{steps} c ON w.term = c.term GROUP BY docs.doc_id, docs.label)",
+            f"LEFT JOIN {coefficients} c ON w.term = c.term GROUP BY docs.doc_id, docs.label)",
         ),
     ]
 
@@ -445,7 +445,13 @@ def _coefficients(loss: str, steps: int, train: str = "label IS NOT NULL") -> st
     return _sql(ctes, f"SELECT term, round(coef, 9) AS coef FROM coef{steps}")
 
 
-def _long_descent(loss: str, steps: int = 100) -> str:
+def _long_descent(
+    loss: str,
+    select: str = "SELECT term, round(coef, 9) AS coef FROM coefs",
+    source: str = _LABELED,
+    train: str = "label IS NOT NULL",
+    steps: int = 100,
+) -> str:
     """All steps in one recursive table, with the rule that ends the descent early."""
     margins = (
         "SELECT x.doc_id, x.label, any_value(it.k) AS k, sum(x.w * it.coef) AS margin FROM x "
@@ -465,19 +471,20 @@ def _long_descent(loss: str, steps: int = 100) -> str:
         "SELECT k, term, coef, k > 1 AND sqrt(sum((coef - old) * (coef - old)) OVER ()) < "
         f"0.001 * greatest(sqrt(sum(coef * coef) OVER ()), 1) AS done FROM ({update})"
     )
-    ctes = _descent_ctes(_weight_ctes(), loss, 0)
+    ctes = _descent_ctes(_weight_ctes(source), loss, 0, train)
     body = ",\n".join(f"{name} AS MATERIALIZED ({query})" for name, query in ctes)
+    last = [("coefs", "SELECT term, coef FROM it WHERE k = (SELECT max(k) FROM it)")]
+    after = ",\n".join(f"{name} AS ({query})" for name, query in _margin_ctes(last, "coefs"))
     return (
         f"WITH RECURSIVE {body},\nit(k, term, coef, done) AS ("
-        f"SELECT 0, term, coef, false FROM coef0 UNION ALL {step})\n"
-        "SELECT term, round(coef, 9) AS coef FROM it WHERE k = (SELECT max(k) FROM it)"
+        f"SELECT 0, term, coef, false FROM coef0 UNION ALL {step}),\n{after}\n{select}"
     )
 
 
 # --- committee ----------------------------------------------------------------------------------
 
 
-def _committee_ctes(rounds: int) -> Ctes:
+def _committee_ctes(rounds: int, source: str = _LABELED) -> Ctes:
     models = "SELECT DISTINCT bucket AS model_id FROM bucketed WHERE bucket < 40"
     uses = "SELECT model_id, model_id AS bucket FROM models"
     if rounds == 2:
@@ -495,10 +502,11 @@ def _committee_ctes(rounds: int) -> Ctes:
         for c in (0, 1)
     ]
     return [
-        *_weight_ctes(),
+        *_weight_ctes(source),
         (
             "bucketed",
-            f"SELECT doc_id, label, CAST({_bucket('doc_id', 50)} AS INTEGER) AS bucket FROM docs",
+            f"SELECT doc_id, label, CAST({_bucket('doc_id', 50)} AS INTEGER) AS bucket FROM docs "
+            "WHERE label IS NOT NULL",
         ),
         ("models", models),
         ("uses", uses),
@@ -544,7 +552,7 @@ def _committee_ctes(rounds: int) -> Ctes:
     ]
 
 
-def _vote_ctes(where: str) -> Ctes:
+def _vote_ctes(where: str, source: str = _LABELED, voted: str = "bucketed") -> Ctes:
     gains = [
         f"coalesce(sum(CASE WHEN p.term IS NULL THEN -w.w * w.w / (2 * b.eps) "
         f"ELSE w.w * (p.mu{c} - w.w / 2) / p.var{c} END), 0) AS gain{c}"
@@ -556,11 +564,11 @@ def _vote_ctes(where: str) -> Ctes:
         for a, b in ((0, 1), (1, 0))
     ]
     return [
-        *_committee_ctes(2),
+        *_committee_ctes(2, source),
         (
             "gains",
             f"SELECT d.doc_id, d.label, b.model_id, b.base0, b.base1, {', '.join(gains)} "
-            f"FROM (SELECT * FROM bucketed WHERE {where}) d CROSS JOIN bases b "
+            f"FROM (SELECT * FROM {voted} WHERE {where}) d CROSS JOIN bases b "
             "LEFT JOIN w ON d.doc_id = w.doc_id "
             "LEFT JOIN params p ON p.model_id = b.model_id AND p.term = w.term "
             "GROUP BY d.doc_id, d.label, b.model_id, b.base0, b.base1",
@@ -590,10 +598,10 @@ _HARD = (
 
 def _sample(k: int) -> str:
     return (
-        "SELECT name, label FROM (SELECT CAST(doc_id AS VARCHAR) AS name, "
-        "CAST(quality AS DOUBLE) AS label, row_number() OVER "
-        "(PARTITION BY quality ORDER BY CAST(doc_id AS VARCHAR)) AS r FROM labels) "
-        f"WHERE r <= {k}"
+        "SELECT name, label, md5(text) AS digest FROM (SELECT doc_id, "
+        "CAST(doc_id AS VARCHAR) AS name, CAST(quality AS DOUBLE) AS label, row_number() OVER "
+        "(PARTITION BY quality ORDER BY CAST(doc_id AS VARCHAR)) AS r FROM labels) x "
+        f"JOIN documents d ON x.doc_id = d.doc_id WHERE r <= {k}"
     )
 
 
@@ -639,8 +647,10 @@ ORACLES: dict[str, str] = {
     "collocations_top300": _collocations(),
     "sample_k_per_class": _sample(1000),
     "sample_100_per_class": _sample(100),
-    "union_classes": "SELECT doc_id, 1.0::DOUBLE AS label FROM labels WHERE quality = 1 "
-    "UNION ALL SELECT doc_id, 0.0::DOUBLE AS label FROM labels WHERE quality = 0",
+    "union_classes": "SELECT d.doc_id, CAST(quality AS DOUBLE) AS label, md5(text) AS digest "
+    "FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality IN (0, 1)",
+    "random_split": "SELECT count(*) AS n_rows, 0::BIGINT AS n_both, 0::BIGINT AS n_neither "
+    "FROM labels",
     "label_join": "SELECT d.doc_id, CAST(quality AS DOUBLE) AS label, "
     "CAST(length(text) AS INTEGER) AS n_chars FROM documents d JOIN labels l "
     "ON d.doc_id = l.doc_id",
@@ -680,23 +690,23 @@ ORACLES: dict[str, str] = {
     "nb_holdout_accuracy_bigrams": _nb_accuracy("bigram"),
     "svm_one_step": _coefficients("hinge", 1, _TRAIN),
     "svm_one_step_accuracy": _sql(
-        _margin_ctes(_descent_ctes(_weight_ctes(), "hinge", 1, _TRAIN), 1),
+        _margin_ctes(_descent_ctes(_weight_ctes(), "hinge", 1, _TRAIN), "coef1"),
         _accuracy(f"NOT {_TRAIN}"),
     ),
     **{
-        f"{name}_gd3_accuracy": _sql(
-            _margin_ctes(_descent_ctes(_weight_ctes(), loss, 3, _TRAIN), 3),
-            _accuracy(f"NOT {_TRAIN}"),
+        f"{name}_holdout_accuracy": _long_descent(
+            loss, _accuracy(f"NOT {_TRAIN}"), train=_TRAIN
         )
         for name, loss in (("svm", "hinge"), ("logreg", "logistic"))
     },
     "svm_gd3": _coefficients("hinge", 3),
     "logreg_gd3": _coefficients("logistic", 3),
     **{
-        f"{name}_gd3_predict_unlabeled": _sql(
-            _margin_ctes(_descent_ctes(_weight_ctes(_EVERY), loss, 3), 3),
+        f"{name}_predict_unlabeled": _long_descent(
+            loss,
             "SELECT doc_id, round(margin, 6) AS margin, prediction FROM predicted "
             "WHERE label IS NULL",
+            source=_EVERY,
         )
         for name, loss in (("svm", "hinge"), ("logreg", "logistic"))
     },
@@ -726,6 +736,10 @@ ORACLES: dict[str, str] = {
         [*_vote_ctes(_HELD_OUT), _HARD],
         "SELECT doc_id, label, votes0, votes1, prediction FROM predicted",
     ),
+    "committee_predict_unlabeled": _sql(
+        [*_vote_ctes("label IS NULL", _EVERY, "docs"), _HARD],
+        "SELECT doc_id, votes0, votes1, prediction FROM predicted",
+    ),
     "voted_accuracy": _sql([*_vote_ctes(_HELD_OUT), _SOFT], _accuracy("true")),
     "resubstitution_accuracy": _sql([*_vote_ctes("true"), _HARD], _accuracy("true")),
 }

@@ -1,43 +1,23 @@
 """Classifiers of ``pyspark.ml`` with the settings of this library.
 
 They train on vectors, see :mod:`tonewright.operators.vectors`. The tree estimators bin every
-feature of every row, so their memory grows with rows times features; ``frequent_terms`` thins the
-vocabulary first where the caller accepts that.
+feature of every row, so their memory grows with rows times features.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import (
     GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
     NaiveBayes,
     RandomForestClassifier,
 )
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tonewright.operators.tfidf import Vocabulary
-from tonewright.operators.term_table import TermTable
-from tonewright.sources.workspace import materialize
 
 
 def naive_bayes(smoothing: float = 1.0) -> NaiveBayes:
     return NaiveBayes(smoothing=smoothing)
 
 
-def logistic_regression() -> LogisticRegression:
-    """Same loss and penalty as the gradient descent, run to convergence."""
-    return LogisticRegression(
-        maxIter=100, regParam=0.01, fitIntercept=False, standardization=False
-    )
-
-
-def linear_svc() -> LinearSVC:
-    """Same loss and penalty as the gradient descent, run to convergence."""
-    return LinearSVC(maxIter=100, regParam=0.01, fitIntercept=False, standardization=False)
-
-
 def random_forest(trees: int = 3, seed: int = 2) -> RandomForestClassifier:
     return RandomForestClassifier(
         numTrees=trees,
@@ -53,14 +33,6 @@ def gradient_boosting(iterations: int = 30, seed: int = 2) -> GBTClassifier:
     return GBTClassifier(maxIter=iterations, maxDepth=4, stepSize=0.1, seed=seed)
 
 
-def frequent_terms(vocabulary: Vocabulary, min_df: int) -> Vocabulary:
-    """The terms of at least ``min_df`` documents."""
-    kept = vocabulary.terms.where(F.col("df") >= min_df)
-    return Vocabulary(
-        vocabulary.documents, TermTable.of(materialize(kept, "frequent-terms"))
-    )
-
-
 def predict(model, vectors: DataFrame) -> DataFrame:
     """Predictions without the columns that only the estimator uses."""
     return model.transform(vectors).drop("features", "rawPrediction", "probability")

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from math import sqrt
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tonewright.operators.scoring import score_entries
@@ -90,16 +90,19 @@ def fit_gradient_descent(
                 (F.col("old") * (1 - rate * reg) - rate * F.col("gradient")).alias("coef"),
             )
         )
-        written = materialize(updated, f"{loss}-{k}")
         moved = F.col("coef") - F.col("old")
-        change = written.agg(
-            F.count("*").alias("rows"),
+        seen = Observation()  # taken while the table is written, so a step is one job
+        measured = updated.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
             F.sum(F.octet_length("term")).alias("chars"),
             F.sum("df").alias("total"),
             F.coalesce(F.sum(moved * moved), F.lit(0.0)).alias("moved"),
             F.coalesce(F.sum(F.col("coef") * F.col("coef")), F.lit(0.0)).alias("length"),
-        ).first()
-        table = TermTable.measured(written.select("term", "df", "coef"), change.asDict())
+        )
+        written = materialize(measured, f"{loss}-{k}")
+        change = seen.get
+        table = TermTable.measured(written.select("term", "df", "coef"), change)
         taken = k
         if k > 1 and sqrt(change["moved"]) < tolerance * max(sqrt(change["length"]), 1.0):
             break

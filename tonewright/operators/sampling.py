@@ -26,3 +26,12 @@ def first_per_class(
         .where(F.col("rank") <= k)
     )
     return ranked.drop("shard", "rank")
+
+
+def with_documents(chosen: DataFrame, documents: DataFrame) -> DataFrame:
+    """The chosen rows with their texts.
+
+    At most ``k`` rows of each class were chosen, so the texts of all others stay unread by the
+    join: the small side is the one to be sent.
+    """
+    return documents.join(F.broadcast(chosen), "doc_id")

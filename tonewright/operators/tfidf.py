@@ -160,5 +160,9 @@ def rows_from_triples(triples: DataFrame) -> DataFrame:
 
 
 def dense_size_gb(rows: Column, columns: Column) -> Column:
-    """Whole gigabytes a dense matrix of doubles would take."""
-    return F.floor(rows * columns * 8 / F.lit(float(1 << 30))).cast("bigint")
+    """Whole gigabytes a dense matrix of doubles would take.
+
+    The number of cells may exceed 64 bits, so it is a decimal.
+    """
+    cells = rows.cast("decimal(19,0)") * columns.cast("decimal(18,0)")
+    return F.floor(cells / F.lit(1 << 27).cast("decimal(10,0)")).cast("bigint")

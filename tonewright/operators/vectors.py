@@ -11,6 +11,9 @@ from tonewright.operators.term_table import TermTable
 from tonewright.operators.tfidf import Vocabulary, explode_entries
 from tonewright.sources.workspace import materialize
 
+# ``pyspark.ml`` counts columns with 32 bits; tables of terms do not.
+MOST_COLUMNS = (1 << 31) - 1
+
 
 def index_terms(vocabulary: Vocabulary) -> TermTable:
     """Column number of each term in code-point order.
@@ -27,7 +30,7 @@ def index_terms(vocabulary: Vocabulary) -> TermTable:
     )
     place = F.row_number().over(Window.partitionBy("part").orderBy("term"))
     indexed = terms.withColumn("place", place).join(F.broadcast(starts), "part")
-    index = (F.col("start") + F.col("place") - 1).cast("int")
+    index = F.col("start") + F.col("place") - 1
     return TermTable.of(
         materialize(indexed.select("term", index.alias("idx"), "df", "idf"), "term-index")
     )
@@ -40,9 +43,11 @@ def to_vectors(weighted: DataFrame, index: TermTable) -> DataFrame:
     built-in functions, and reading the written table with the vector type gives vectors without
     a Python function on the way.
     """
+    if index.rows > MOST_COLUMNS:
+        raise ValueError(f"a vector has at most {MOST_COLUMNS} columns, not {index.rows}")
     keys = [c for c in weighted.columns if c != "entries"]
     rows = index.attach(explode_entries(weighted, outer=True), drop=("df", "idf"))
-    entry = F.when(F.col("w").isNotNull(), F.struct("idx", "w"))
+    entry = F.when(F.col("w").isNotNull(), F.struct(F.col("idx").cast("int").alias("idx"), "w"))
     grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     vector = F.struct(
         F.lit(0).cast("tinyint").alias("type"),

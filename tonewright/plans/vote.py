@@ -17,7 +17,8 @@ from tonewright.operators.committee import (
     with_bucket,
 )
 from tonewright.operators.evaluate import accuracy
-from tonewright.operators.tfidf import Vocabulary, fit_transform
+from tonewright.operators.tfidf import Vocabulary, fit_transform, weigh
+from tonewright.plans.train_predict import PreparedCorpus
 from tonewright.sources.workspace import materialize
 
 
@@ -48,6 +49,14 @@ def vote_on_all(labeled: DataFrame, vote=hard_vote) -> DataFrame:
     return vote(score_members(rows, committee))
 
 
+def vote_on_unlabeled(corpus: PreparedCorpus, vote=hard_vote) -> DataFrame:
+    """Votes of the whole committee on the documents without a label."""
+    rows = materialize(with_bucket(corpus.weighted, BUCKETS), "bucketed")
+    committee = fit_committee(rows, corpus.vocabulary, TRAIN_BUCKETS)
+    unlabeled = materialize(weigh(corpus.unlabeled, corpus.vocabulary), "unlabeled-weights")
+    return vote(score_members(unlabeled, committee))
+
+
 def voted_accuracy(labeled: DataFrame) -> DataFrame:
     """Accuracy of the soft vote on the documents held out."""
     return accuracy(vote_on_holdout(labeled))
