@@ -32,10 +32,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tonewright.llm import key_filter
 from tonewright.sources.workspace import materialize, temporary
 
 LENGTH = 50
@@ -305,63 +307,74 @@ def _by_document(table: pa.Table) -> pa.Table:
 
 
 _STRETCHES = "bucket bigint, ids binary, keys binary, starts binary, anchors binary, sizes binary, bytes binary"
-_RUNS = "id bigint, key bigint, runs binary"
+_RUNS = "id bigint, key int, runs binary"
+
+
+def _squeezed(values: np.ndarray | bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(values if isinstance(values, bytes) else values.tobytes())
+
+
+def _opened(table: pa.Table, name: str, kind) -> np.ndarray:
+    """A column of compressed arrays, one after the other."""
+    parts = (zstandard.ZstdDecompressor().decompress(x) for x in table.column(name).to_pylist())
+    return np.concatenate([np.frombuffer(x, kind) for x in parts])
 
 
 def _send_stretches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Stretches of text below shared anchors by bucket, one of each for a batch.
 
-    A later copy in the batch is known to be repeated: its whole stretch goes as a removed run,
-    below the bucket -1, with the sizes of runs in ``sizes``.
+    A further copy with a larger id is known to be repeated: its whole stretch goes as a removed
+    run, below a negative bucket, with the sizes of runs in ``sizes``.
     """
-    for whole in batches:
-        for begin in range(0, whole.num_rows, 1024):
-            batch = whole.slice(begin, 1024)
-            ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            texts = _utf8(batch.column(2))
-            lows = [np.frombuffer(x, np.uint32) for x in batch.column(3).to_pylist()]
+    for batch in batches:
+        ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        met: dict[bytes, int] = {}
+        pieces: list[bytes] = []
+        sent: list[list] = [[], []]
+        order = np.argsort(ids, kind="stable")
+        for begin in range(0, batch.num_rows, 512):
+            part = order[begin : begin + 512]
+            rows = batch.take(pa.array(part))
+            texts = _utf8(rows.column(2))
+            lows = [np.frombuffer(x, np.uint32) for x in rows.column(3).to_pylist()]
             text, start, count, hashes = anchors(texts)
             mark = (text.astype(np.uint64) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
-            wanted = np.concatenate(
-                [np.uint64(i << 32) | x.astype(np.uint64) for i, x in enumerate(lows)] or [mark[:0]]
-            )
-            at = np.flatnonzero(np.isin(mark, wanted))
-            at = at[np.argsort(ids[text[at]], kind="stable")]
-            met: dict[bytes, int] = {}
-            chosen, pieces, gone = [], [], []
-            for i in at.tolist():
-                t, s = text[i], start[i]
-                piece = texts[t][s : s + count[i] + LENGTH - 1]
-                earlier = met.setdefault(piece, t)
-                if ids[earlier] < ids[t]:
-                    gone.append(i)
-                else:
-                    chosen.append(i)
+            wanted = [np.uint64(i << 32) | x.astype(np.uint64) for i, x in enumerate(lows)]
+            at = np.flatnonzero(np.isin(mark, np.concatenate([*wanted, mark[:0]])))
+            row, size = part[text[at]], count[at] + LENGTH - 1
+            gone = np.zeros(len(at), dtype=bool)
+            for i, (t, s, n) in enumerate(zip(text[at].tolist(), start[at].tolist(), size.tolist(), strict=True)):
+                piece = texts[t][s : s + n]
+                gone[i] = ids[met.setdefault(piece, row[i])] < ids[row[i]]
+                if not gone[i]:
                     pieces.append(piece)
-            chosen, gone = np.array(chosen, dtype=np.int64), np.array(gone, dtype=np.int64)
-            bucket = ((hashes[chosen] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows: list[list] = [[] for _ in range(7)]
-
-            def add(b, at, body):
-                values = (
-                    b, ids[text[at]].tobytes(), keys[text[at]].tobytes(),
-                    start[at].astype(np.int32).tobytes(), hashes[at].tobytes(),
-                    (count[at] + LENGTH - 1).astype(np.int32).tobytes(), body,
-                )
-                for column, value in zip(rows, values, strict=True):
-                    column.append(value)
-
-            for b in np.flatnonzero(np.diff(edges)):
-                take = order[edges[b] : edges[b + 1]]
-                add(int(b), chosen[take], b"".join([pieces[i] for i in take.tolist()]))
-            if len(gone):
-                # settled here; they go to buckets by number only to spread the work
-                add(-1 - int(ids[text[gone[0]]] % buckets), gone, b"")
-            long, raw = pa.int64(), pa.binary()
-            names = [c.split()[0] for c in _STRETCHES.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, long if i == 0 else raw) for i, c in enumerate(rows)], names)
+            for out, which in zip(sent, (~gone, gone), strict=True):
+                out.append((row[which], start[at][which], size[which], hashes[at][which]))
+        out: list[list] = [[] for _ in range(7)]
+
+        def add(b, row, start, size, hashes, body):
+            values = (
+                b, _squeezed(np.diff(ids[row], prepend=0)), _squeezed((keys[row] & 0x7FFFFFFF).astype(np.int32)),
+                _squeezed(start.astype(np.int32)), _squeezed(hashes.astype(np.uint32)),
+                _squeezed(size.astype(np.int32)), _squeezed(body),
+            )
+            for column, value in zip(out, values, strict=True):
+                column.append(value)
+
+        row, start, size, hashes = (np.concatenate(x) for x in zip(*sent[0], strict=True))
+        bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(edges)):
+            take = order[edges[b] : edges[b + 1]]
+            add(int(b), row[take], start[take], size[take], hashes[take], b"".join([pieces[i] for i in take.tolist()]))
+        row, start, size, hashes = (np.concatenate(x) for x in zip(*sent[1], strict=True))
+        if len(row):
+            # settled here; the bucket's number only spreads the work
+            add(-1 - int(ids[row[0]] % buckets), row, start, size, hashes, b"")
+        names = [c.split()[0] for c in _STRETCHES.split(", ")]
+        kinds = [pa.int64(), *[pa.binary()] * 6]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
 
 def _runs_of(ids: np.ndarray, keys: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Table:
@@ -376,24 +389,24 @@ def _runs_of(ids: np.ndarray, keys: np.ndarray, begin: np.ndarray, end: np.ndarr
     return pa.table(
         {
             "id": pa.array(ids[first], pa.int64()),
-            "key": pa.array(keys[first], pa.int64()),
+            "key": pa.array(keys[first], pa.int32()),
             "runs": pa.array([pairs[ends[i] : ends[i + 1]].tobytes() for i in range(len(first))], pa.binary()),
         }
     )
 
 
 def _sort_bucket(table: pa.Table) -> pa.Table:
-    def joined(name: str, kind) -> np.ndarray:
-        return np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
-
-    ids, keys = joined("ids", np.int64), joined("keys", np.int64)
-    starts, sizes = joined("starts", np.int32).astype(np.int64), joined("sizes", np.int32).astype(np.int64)
+    parts = (zstandard.ZstdDecompressor().decompress(x) for x in table.column("ids").to_pylist())
+    ids = np.concatenate([np.cumsum(np.frombuffer(x, np.int64)) for x in parts])
+    keys = _opened(table, "keys", np.int32)
+    starts = _opened(table, "starts", np.int32).astype(np.int64)
+    sizes = _opened(table, "sizes", np.int32).astype(np.int64)
     if table.column("bucket")[0].as_py() < 0:
         return _runs_of(ids, keys, starts, starts + sizes)
-    body = b"".join(table.column("bytes").to_pylist())
+    body = _opened(table, "bytes", np.uint8).tobytes()
     ends = np.cumsum(sizes)
     pieces = [body[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
-    runs = np.array(repeated_starts(pieces, joined("anchors", np.uint64), ids), dtype=np.int64)
+    runs = np.array(repeated_starts(pieces, _opened(table, "anchors", np.uint32), ids), dtype=np.int64)
     runs = runs.reshape(-1, 3)
     which, begin = runs[:, 0], starts[runs[:, 0]] + runs[:, 1]
     return _runs_of(ids[which], keys[which], begin, begin + runs[:, 2] + LENGTH - 1)
@@ -432,18 +445,24 @@ def _cut(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.Record
             )
 
 
+def _rows(docs: DataFrame, *columns) -> DataFrame:
+    """Text with the id that orders documents (null: the largest) and a hash of id and text."""
+    return docs.select(
+        *columns,
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("id"),
+        F.xxhash64("text").alias("key"),
+        F.col("text").cast("string").alias("text"),
+    )
+
+
 def removed_runs(docs: DataFrame) -> DataFrame:
     """``id, key, parts``: the removed runs of documents that have any, in parts of binary pairs.
 
-    ``id`` is the document's id or the largest integer, ``key`` a hash of its text.
+    ``id`` is the document's id or the largest integer, ``key`` the lower half of a hash of its text.
     """
-    rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("id"),
-        F.col("text").cast("string").alias("text"),
-        F.xxhash64("text").alias("key"),
-    ).where(F.octet_length("text") >= LENGTH)
+    rows = _rows(docs).where(F.octet_length("text") >= LENGTH)
     buckets = 1 << max(0, (docs.count() // 2048).bit_length())
-    met = rows.mapInArrow(partial(_send_anchors, buckets=buckets), _MET)
+    met = rows.select("id", "text", "key").mapInArrow(partial(_send_anchors, buckets=buckets), _MET)
     shared = met.groupBy("bucket").applyInArrow(_shared_anchors, _MET)
     candidates = shared.groupBy("batch").applyInArrow(_by_document, _CANDIDATES)
     candidates = materialize(candidates, "candidates")
@@ -454,23 +473,31 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     return runs.groupBy("id", "key").agg(F.collect_list("runs").alias("parts"))
 
 
+def _uncut(batches: Iterator[pa.RecordBatch], bits: bytes, as_text: bool) -> Iterator[pa.RecordBatch]:
+    """Results of the rows that have no removed run for certain."""
+    for batch in key_filter.chosen(batches, bits, present=False):
+        none = pa.nulls(batch.num_rows, pa.list_(pa.binary()))
+        yield from _cut(iter([pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), none], ["row", "text", "parts"])]), as_text)
+
+
 def remove_repeats(
-    docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), as_text: bool = False
+    docs: DataFrame, carry: tuple = ("doc_id",), as_text: bool = False
 ) -> DataFrame:
     """``row`` (the carried columns), ``n_bytes, n_removed, n_spans, kept`` (the remaining bytes).
 
-    As text, ``kept`` goes without what is left of a character of which bytes were removed.
+    As text, ``kept`` goes without what is left of a character of which bytes were removed. Documents
+    without removed runs are finished where they are read and not shuffled.
     """
     with temporary(docs.sparkSession):
         runs = materialize(removed_runs(docs), "runs", lasting=True)
-    rows = docs.select(
-        F.struct(*carry).alias("row"),
-        F.col("text").cast("string").alias("text"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("id"),
-        F.xxhash64("text").alias("key"),
-    )
-    met = rows.join(runs, ["id", "key"], "left").select("row", "text", "parts")
-    kind = rows.schema["row"].dataType.simpleString()
-    body = "string" if as_text else "binary"
+    rows = _rows(docs, F.struct(*carry).alias("row")).withColumn("key", F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    rows = rows.select(F.xxhash64("id", "key").alias("at"), "row", "text", "id", "key")
+    bits = key_filter.bits_of(runs.select(F.xxhash64("id", "key").alias("at")), "at")
+    kind, body = rows.schema["row"].dataType.simpleString(), "string" if as_text else "binary"
     schema = f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {body}"
-    return met.mapInArrow(partial(_cut, as_text=as_text), schema)
+    whole = rows.mapInArrow(partial(_uncut, bits=bits, as_text=as_text), schema)
+    some = rows.mapInArrow(
+        partial(key_filter.chosen, bits=bits), f"at bigint, row {kind}, text string, id bigint, key int"
+    )
+    met = some.join(runs, ["id", "key"], "left").select("row", "text", "parts")
+    return whole.unionByName(met.mapInArrow(partial(_cut, as_text=as_text), schema))
