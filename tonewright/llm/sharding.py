@@ -37,10 +37,10 @@ def slot_sizes(records: DataFrame) -> DataFrame:
     )
 
 
-def _deal(slots: DataFrame, loads: Column) -> DataFrame:
+def _deal(slots: DataFrame) -> DataFrame:
     """Gives the slots, largest first, to the shard with the fewest bytes so far.
 
-    One row holds all slots, whose number is a fixed parameter and doesn't grow with the records.
+    ``loads`` is the same array in all rows: the bytes that each shard has already. One row holds all slots, whose number is a fixed parameter and doesn't grow with the records.
     """
     ordered = F.sort_array(
         F.collect_list(F.struct("slot_bytes", "virtual_slot", "slot_rows")), asc=False
@@ -55,8 +55,8 @@ def _deal(slots: DataFrame, loads: Column) -> DataFrame:
             F.concat(state["shards"], F.array(least)).alias("shards"),
         )
 
-    start = F.struct(loads.alias("loads"), F.expr("cast(array() AS array<int>)").alias("shards"))
-    packed = slots.agg(ordered.alias("slots")).withColumn(
+    start = F.struct(F.col("loads"), F.expr("cast(array() AS array<int>)").alias("shards"))
+    packed = slots.agg(ordered.alias("slots"), F.first("loads").alias("loads")).withColumn(
         "dealt", F.aggregate("slots", start, place, lambda state: state["shards"])
     )
     pairs = F.explode(F.arrays_zip("slots", "dealt")).alias("pair")
@@ -66,7 +66,7 @@ def _deal(slots: DataFrame, loads: Column) -> DataFrame:
 def first_map(sizes: DataFrame, shards: int) -> DataFrame:
     """Version 1 of the map ``(version, virtual_slot, shard, slot_bytes, slot_rows)``."""
     zeros = F.array_repeat(F.lit(0).cast("bigint"), shards)
-    dealt = _deal(sizes, zeros)
+    dealt = _deal(sizes.withColumn("loads", zeros))
     return dealt.select(
         F.lit(1).alias("version"), "virtual_slot", "shard", "slot_bytes", "slot_rows"
     )
@@ -99,19 +99,13 @@ def rebalance(current: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct(F.col("shard").cast("int"), "load"))).alias("held")
     ).select(loads.alias("loads"))
     moved = judged.where("NOT stays").crossJoin(F.broadcast(held))  # one row of loads
-    dealt = _deal_with(moved)
+    dealt = _deal(moved)
     columns = ["version", "virtual_slot", "shard", "slot_bytes", "slot_rows"]
     return kept.select(columns).unionByName(
         dealt.join(F.broadcast(judged.select("virtual_slot", "version")), "virtual_slot").select(columns)
     )
 
 
-def _deal_with(moved: DataFrame) -> DataFrame:
-    loads = F.first("loads")
-    slots = moved.select("slot_bytes", "virtual_slot", "slot_rows", "loads")
-    return _deal(slots, loads)
-
-
 def place(records: DataFrame, slot_map: DataFrame) -> DataFrame:
     """Adds ``shard``, ``slot`` (place in the shard, gapless from 0) and ``map_version``.
 
