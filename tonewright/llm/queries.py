@@ -12,6 +12,7 @@ from tonewright.llm import (
     exact_search,
     language_id,
     near_duplicates,
+    oracles,
     packing,
     pii,
     quality,
@@ -150,4 +151,8 @@ QUERIES: dict[str, Query] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op6_exact_search": oracles.EXACT_SEARCH,
+    "op9_near_duplicates": oracles.NEAR_DUPLICATES,
+}
