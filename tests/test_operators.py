@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter
 
 import pytest
@@ -21,6 +22,7 @@ from tonewright.operators import (
     tfidf,
     vectors,
 )
+from tonewright.operators.term_table import TermTable
 from tonewright.plans import train_predict
 from tonewright.sources import files, workspace
 
@@ -62,17 +64,69 @@ def test_weights_equal_brute_force(corpus, fitted):
             assert sum(x * x for x in entries.values()) == pytest.approx(1)
 
 
-def test_shuffle_join_gives_the_same_as_broadcast(corpus, fitted, monkeypatch):
+@pytest.fixture
+def shuffled(spark):
+    """No join becomes a broadcast unless it is asked for."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffle_join_gives_the_same_as_broadcast(corpus, fitted, monkeypatch, shuffled):
     vocabulary, _ = fitted
     monkeypatch.setattr("tonewright.operators.term_table.HOT_SHARE", 20)
     rows = tfidf.explode_counts(tfidf.count_terms(corpus), outer=True)
-    narrow = vocabulary.table.attach(rows, limit=0)
-    assert vocabulary.terms.where(vocabulary.table._salts() > 1).count() > 0
     key = lambda r: (r["doc_id"], r["term"] or "")
     expected = sorted(vocabulary.table.attach(rows).collect(), key=key)
-    assert [r.asDict() for r in sorted(narrow.collect(), key=key)] == [
-        r.asDict() for r in expected
-    ]
+    for fitted_rows in (False, True):
+        narrow = vocabulary.table.attach(rows, limit=0, fitted=fitted_rows)
+        assert "SortMergeJoin [term" in plan_of(narrow)
+        assert [r.asDict() for r in sorted(narrow.collect(), key=key)] == [
+            r.asDict() for r in expected
+        ]
+
+
+def test_scores_by_shuffle_equal_scores_by_broadcast(corpus, fitted, monkeypatch, shuffled):
+    vocabulary, weighted = fitted
+    counted = tfidf.count_terms(corpus)
+    model = bayes.fit_naive_bayes(weighted, vocabulary)
+    results = []
+    for limit in (1 << 30, 0):
+        attach = TermTable.attach
+        monkeypatch.setattr(TermTable, "attach", lambda *a, _f=attach, _n=limit, **b: _f(*a, **b | {"limit": _n}))
+        scored = bayes.predict_counts(counted, model)
+        weighed = tfidf.weigh(counted, vocabulary)
+        assert ("SortMergeJoin [term" in plan_of(scored)) == (limit == 0)
+        results.append(
+            (
+                {r["doc_id"]: (r["prediction"], round(r["score0"], 9)) for r in scored.collect()},
+                {d: {t: round(x, 9) for t, x in e.items()} for d, e in as_dict(weighed).items()},
+            )
+        )
+        monkeypatch.undo()
+    assert results[0] == results[1]
+
+
+def test_a_term_that_only_the_scored_rows_have_is_spread(spark, fitted, monkeypatch, shuffled):
+    vocabulary, _ = fitted
+    monkeypatch.setattr("tonewright.operators.term_table.HOT_SHARE", 10)
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("strange").alias("term"))
+    seen = {}
+    joined = type(rows).join
+
+    def watched(self, other, on=None, how=None):
+        if on == ["term", "salt"]:
+            seen["salts"] = self.select("term", "salt").distinct().count()
+        return joined(self, other, on, how)
+
+    monkeypatch.setattr(type(rows), "join", watched)
+    got = vocabulary.table.attach(rows, limit=0)
+    assert seen["salts"] >= 10
+    assert got.count() == 1000 and got.where("idf IS NOT NULL").count() == 0
 
 
 def test_unseen_terms_are_dropped_before_the_length(spark, fitted):
@@ -319,3 +373,31 @@ def test_whole_job(spark, folders, classifier, options):
 
 def test_shared_folder_is_the_clusters(spark):
     assert workspace.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_temporary_tables_go_and_lasting_ones_stay(spark):
+    folder = workspace.shared_folder(spark)
+    before = set(os.listdir(folder))
+    with workspace.temporary(spark):
+        first = workspace.materialize(spark.range(3).toDF("x"), "first")
+        second = workspace.materialize(first, "second", lasting=True)
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and left.pop().startswith("second-") and second.count() == 3
+
+
+def test_a_whole_job_leaves_no_tables(spark, corpus, tmp_path):
+    folder = workspace.shared_folder(spark)
+    before = set(os.listdir(folder))
+    unlabeled = corpus.select("doc_id", F.col("doc_id").cast("string").alias("name"), "text")
+    train_predict.run(corpus, unlabeled, str(tmp_path / "lines"))
+    assert set(os.listdir(folder)) == before
+    assert spark.read.text(str(tmp_path / "lines")).count() == 7
+
+
+def test_sizes_beyond_32_and_64_bits(spark):
+    one = spark.range(1)
+    size = tfidf.dense_size_gb(F.lit(20_000_000_000), F.lit(100_000_000))
+    assert one.select(size.alias("s")).first()["s"] == 20_000_000_000 * 100_000_000 * 8 >> 30
+    table = TermTable(one, 1 << 31, 0, 0)
+    with pytest.raises(ValueError, match="columns"):
+        vectors.to_vectors(one, table)

@@ -74,7 +74,7 @@ def fit_gradient_descent(
         if table is None:
             known = rows.withColumn("coef", F.lit(0.0))
         else:
-            known = table.attach(rows)
+            known = table.attach(rows, fitted=True)
         margin = F.sum(F.col("w") * F.col("coef")).over(document)
         gradient = F.sum(F.col("w") * F.col("residual")) / n
         updated = (

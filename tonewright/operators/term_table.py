@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonewright.sources.workspace import materialize
+
 # Largest table to send to every executor, in bytes.
 BROADCAST_LIMIT = 256 << 20
 # A term in more than one of this many rows is split before a shuffle join.
@@ -53,28 +55,42 @@ class TermTable:
         how: str = "left",
         limit: int = BROADCAST_LIMIT,
         drop: tuple[str, ...] = ("df",),
+        fitted: bool = False,
     ) -> DataFrame:
         """Joins the columns of this table to rows that have a ``term``.
 
         A table within the limit is broadcast and the rows stay where they are. A larger one is
-        joined by shuffle. Common terms would then send a large part of the corpus to one task,
-        so each term gets as many salts as it has shares of ``1 / HOT_SHARE`` of all rows, and its
-        row is copied once for each. Less than ``HOT_SHARE`` terms can have more than one salt,
-        which bounds both the copies and the list of salts that is broadcast. Rows without a term
-        match nothing and are scattered.
+        joined by shuffle. Common terms would then send a large part of the rows to one task, so
+        each term gets as many salts as it has shares of ``1 / HOT_SHARE`` of the rows, and its row
+        is copied once for each. Fewer than ``HOT_SHARE`` terms can have more than one salt, which
+        bounds both the copies and the list of salts that is broadcast. Rows without a term match
+        nothing and are scattered.
+
+        The shares are counted in the rows themselves, since terms may be common there that are rare
+        or unknown in the documents of this table. ``fitted`` says that the rows are those
+        documents, so that ``df`` has the counts already.
         """
         if self.size <= limit:
             return rows.join(F.broadcast(self.frame.drop(*drop)), "term", how)
-        salts = self._salts()
-        hot = self.frame.select("term", salts.alias("salts")).where("salts > 1")
+        hot = self._hot(self.frame.select("term", F.col("df").alias("n")), self.total)
+        if not fitted:
+            counts = rows.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("n"))
+            counts = materialize(counts, "row-counts")
+            hot = self._hot(counts, counts.agg(F.sum("n")).first()[0] or 0)
         unmatched = F.when(F.col("term").isNull(), HOT_SHARE).otherwise(1)
         salted = rows.join(F.broadcast(hot), "term", "left").withColumn(
             "salt",
             F.pmod(F.xxhash64(spread), F.coalesce(F.col("salts"), unmatched)).cast("int"),
         )
-        copies = self.frame.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        return salted.drop("salts").join(copies.drop(*drop), ["term", "salt"], how).drop("salt")
+        copies = self.frame.join(F.broadcast(hot), "term", "left").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))
+        )
+        met = salted.drop("salts").join(copies.drop("salts", *drop), ["term", "salt"], how)
+        return met.drop("salt")
 
-    def _salts(self) -> Column:
-        share = max(self.total // HOT_SHARE, 1)
-        return (F.floor(F.col("df") / share) + 1).cast("int")
+    @staticmethod
+    def _hot(counts: DataFrame, total: int) -> DataFrame:
+        """Terms in more rows than one share, fewer than ``HOT_SHARE``, and their salts."""
+        share = max(total // HOT_SHARE, 1)
+        salts = (F.floor(F.col("n") / share) + 1).cast("int")
+        return counts.where(F.col("n") > share).select("term", salts.alias("salts"))

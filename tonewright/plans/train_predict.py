@@ -18,7 +18,7 @@ from tonewright.operators.tfidf import (
 from tonewright.operators import estimators, vectors
 from tonewright.sources.files import write_predictions
 from tonewright.sources.tables import with_label_if_known
-from tonewright.sources.workspace import materialize
+from tonewright.sources.workspace import materialize, temporary
 
 CLASSIFIERS = ("bayes", "svm", "logistic", "forest", "boosting")
 
@@ -91,6 +91,10 @@ def run(
     analyze: str | Analyzer = "unigram",
     **options,
 ) -> None:
-    """The whole job: two corpora in, a folder of ``name,prediction`` lines out."""
-    predicted = train_and_predict(prepare(labeled, unlabeled, analyze), classifier, **options)
-    write_predictions(predicted, output)
+    """The whole job: two corpora in, a folder of ``name,prediction`` lines out.
+
+    The tables written on the way are deleted once the lines are there.
+    """
+    with temporary(labeled.sparkSession):
+        predicted = train_and_predict(prepare(labeled, unlabeled, analyze), classifier, **options)
+        write_predictions(predicted, output)
