@@ -12,10 +12,13 @@ sketch are compared exactly.
 *No list is expanded into pairs.* A shared passage brings unrelated documents into one list. Sets
 that share a retained value are therefore listed anew under their sketches, rarest values first, as
 many as any linked pair must share one of: a passage then no longer brings documents together unless
-it is about half of them. In each list all members meet one hub, the set whose values are the most
-common, which is the middle of a group of copies. Lists whose members are then still in different
-components bring forth further pairs only between components, and only where the values that no
-other set of these lists has leave room for the similarity.
+it is about half of them. In each list all members meet two hubs, which the lists of a group of copies
+have in common: the set with the fewest values of its own, and the one whose values are the most
+common. Where members are still in different components, they meet another member of the list, drawn
+for each list, and what is open after that is joined over whole sets: in the order of rarity, the
+first seventh of the smaller set and the first quarter of the larger one must share an element.
+Pairs of one component are left out, and so are those for which the elements that no other open set
+has leave no room for the similarity.
 
 Defined results: null and empty texts have the empty set and are linked with nothing; texts of
 fewer than five words are one shingle; repeated rows share their class; a null ``doc_id`` never
@@ -35,14 +38,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tonewright.llm import key_filter
 from tonewright.llm.components import components
 from tonewright.sources.workspace import materialize, temporary
 
 WORDS = 5
 RETAINED = 16
 SKETCH = 128
-#: Bits of the filter for texts, 4 MB whatever the input; collisions only let more rows through.
-FILTER_BITS = 1 << 25
+#: Orders in which members are drawn: lists of a group have few drawn members between them.
+DRAWS = 16
 _KNOWN: dict[bytes, int] = {}
 _MOST = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -106,29 +110,12 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _chosen(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[pa.RecordBatch]:
-    """Rows whose bit is set, without looking at the texts."""
-    mask = np.frombuffer(bits, dtype=np.uint8)
-    for batch in batches:
-        at = batch.column(0).to_numpy(zero_copy_only=False) & (FILTER_BITS - 1)
-        yield batch.filter(pa.array((mask[at >> 3] >> (at & 7)) & 1 == 1))
-
-
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``node, text`` for ``keys(node, text_key)``, one text for each: read again from the documents,
     filtered where they are read by a bitmap of bounded size, then exactly by a join."""
-    at = F.col("text_key").bitwiseAND(F.lit(FILTER_BITS - 1))
-    parts = (
-        keys.select((at / 32768).cast("int").alias("part"), (at % 32768).alias("bit"))
-        .groupBy("part")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
-        .collect()  # at most FILTER_BITS / 32768 rows of 4 KB
-    )
-    bits = bytearray(FILTER_BITS // 8)
-    for row in parts:
-        bits[row["part"] * 4096 : (row["part"] + 1) * 4096] = row["bits"]
+    bits = key_filter.bits_of(keys, "text_key")
     chosen = docs.select("text_key", "text").mapInArrow(
-        partial(_chosen, bits=bytes(bits)), "text_key bigint, text string"
+        partial(key_filter.chosen, bits=bits), "text_key bigint, text string"
     )
     # equal texts are common: a first aggregation where they are read keeps one of each
     one = chosen.groupBy("text_key").agg(F.first("text").alias("text"))
@@ -159,7 +146,7 @@ def least_overlap(n: Column) -> Column:
 
 
 def rare_first(sketches: DataFrame) -> DataFrame:
-    """Lists ``(value, node, hub)`` under the rarest values: any linked pair shares one of them.
+    """Lists ``(value, node, hub, second)`` under the rarest values: any linked pair shares one of them.
 
     Of a sketch with at least ``c`` values in common with each linked one, all but ``c - 1`` are
     listed. The order is the same for all sketches: by number of sketches that hold the value, then
@@ -177,14 +164,16 @@ def rare_first(sketches: DataFrame) -> DataFrame:
         F.count("*").over(every).alias("shared"),
         F.sum("count").over(every).alias("common"),
     ).join(sketches.select("node", "n", F.size("sketch").alias("size")), "node")
-    listed = ranked.where(
-        F.col("size") - F.col("shared") + F.col("place") <= F.col("size") - least_overlap(F.col("n")) + 1
-    )
-    listed = materialize(listed.select("value", "node", "common"), "listed")
+    own = F.col("size") - F.col("shared")
+    listed = ranked.where(own + F.col("place") <= F.col("size") - least_overlap(F.col("n")) + 1)
+    listed = listed.select("value", "node", own.alias("own"), (F.col("common") / F.col("size")).alias("mean"))
+    listed = materialize(listed, "listed")
     heads = listed.groupBy("value").agg(
-        F.max(F.struct("common", "node"))["node"].alias("hub"), F.count("*").alias("size")
+        F.min(F.struct("own", F.xxhash64("node"), "node"))["node"].alias("hub"),
+        F.max(F.struct("mean", "node"))["node"].alias("second"),
+        F.count("*").alias("size"),
     )
-    return listed.join(heads.where("size > 1"), "value").select("value", "node", "hub")
+    return listed.join(heads.where("size > 1"), "value").select("value", "node", "hub", "second")
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -233,20 +222,50 @@ def verify(docs: DataFrame, pairs: DataFrame, keys: DataFrame) -> DataFrame:
     return materialize(met.mapInArrow(_verified, "a bigint, b bigint"), "links")
 
 
-def _lonely(docs: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
-    """``node, lonely``: how many elements of its whole set no other of the nodes has."""
-    texts = _texts(docs, materialize(keys.join(nodes, "node", "left_semi"), "open-nodes"))
+def _reaches(n: str, own: str, other: str) -> Column:
+    """Whether a set can be 0.75 similar to one of size ``other``: what they share is at most the
+    rest of the set, and their union is at least the other and the set's own elements."""
+    return 100 * (F.col(n) - F.col(own)) >= 75 * (F.col(other) + F.col(own))
+
+
+def _crossed(docs: DataFrame, open_: DataFrame, keys: DataFrame) -> DataFrame:
+    """Pairs of different labels that may be similar, over whole sets of ``open_(node, label)``."""
+    texts = _texts(docs, materialize(keys.join(open_, "node", "left_semi"), "open-nodes"))
     values = texts.mapInArrow(_sets, "node bigint, whole array<bigint>").select(
-        "node", F.explode("whole").alias("value")
+        "node", F.size("whole").alias("n"), F.explode("whole").alias("value")
+    )
+    values = materialize(values, "open-values")
+    counts = values.groupBy("value").count().where("count > 1")
+    order = Window.partitionBy("node").orderBy("count", "value")
+    placed = values.join(counts, "value").select(
+        "node",
+        "n",
+        "value",
+        F.row_number().over(order).alias("place"),
+        (F.col("n") - F.count("*").over(Window.partitionBy("node"))).alias("own"),
+    )
+    place = F.col("own") + F.col("place")
+    longer = placed.where(place <= F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1)
+    longer = materialize(longer.join(open_, "node"), "open-postings")
+    shorter = longer.where(place <= F.col("n") - F.ceil(F.col("n") * 6 / 7) + 1)
+    left = shorter.select("value", *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "own", "label")))
+    right = longer.select("value", *(F.col(c).alias(f"{c}_y") for c in ("node", "n", "own", "label")))
+    sized = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y")))
+    met = left.join(right, "value").where(
+        (F.col("label_x") != F.col("label_y")) & sized & _reaches("n_x", "own_x", "n_y") & _reaches("n_y", "own_y", "n_x")
     )
-    single = values.groupBy("value").agg(F.count("*").alias("n"), F.min("node").alias("node"))
-    return single.where("n = 1").groupBy("node").agg(F.count("*").alias("lonely"))
+    return _pairs(met.select(F.col("node_x").alias("x"), F.col("node_y").alias("y")))
 
 
-def _reaches(n: str, lonely: str, other: str) -> Column:
-    """Whether a set can be 0.75 similar to one of size ``other``: what they share is at most the
-    rest of the set, and their union is at least the other and the lonely elements."""
-    return 100 * (F.col(n) - F.col(lonely)) >= 75 * (F.col(other) + F.col(lonely))
+def _open_lists(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """Lists ``(value, node, label)`` whose members are in several components."""
+    labelled = lists.join(components(links), "node", "left").select(
+        "value", "node", F.coalesce("label", "node").alias("label")
+    )
+    labelled = materialize(labelled, "labelled")
+    split = labelled.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_ = labelled.join(split.where("low <> high").select("value"), "value", "left_semi")
+    return materialize(open_, "open")
 
 
 def links_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -254,8 +273,8 @@ def links_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     some = classes.where("node IS NOT NULL")
     postings = some.select("node", F.explode(F.slice("sketch", 1, RETAINED)).alias("value")).distinct()
     postings = materialize(postings, "postings")
-    lists = postings.groupBy("value").count().where("count > 1")
-    members = materialize(postings.join(lists, "value", "left_semi").select("node").distinct(), "members")
+    shared = postings.groupBy("value").count().where("count > 1")
+    members = materialize(postings.join(shared, "value", "left_semi").select("node").distinct(), "members")
     sketches = some.join(members, "node", "left_semi").groupBy("node")
     sketches = sketches.agg(
         F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
@@ -263,28 +282,23 @@ def links_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     sketches = materialize(sketches, "sketches")
     keys = sketches.select("node", "text_key")
     lists = materialize(rare_first(sketches), "lists")
-    star = _pairs(lists.where("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y")))
-    tried = materialize(estimate(star, sketches), "star")
+    hubs = lists.select(F.col("node").alias("x"), F.explode(F.array("hub", "second")).alias("y"))
+    tried = materialize(estimate(_pairs(hubs.where("x <> y")), sketches), "star")
     links = verify(docs, tried, keys)
-    labelled = lists.join(components(links), "node", "left").select(
-        "value", "node", F.coalesce("label", "node").alias("label")
-    )
-    labelled = materialize(labelled, "labelled")
-    split = labelled.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = labelled.join(split.where("low <> high").select("value"), "value", "left_semi")
-    open_ = materialize(open_, "open")
-    lonely = _lonely(docs, open_.select("node").distinct(), keys)
-    sized = open_.join(sketches.select("node", "n"), "node").join(lonely, "node", "left")
-    sized = sized.withColumn("lonely", F.coalesce("lonely", F.lit(0)))
-    # a set reaches the smallest other that its size allows, or none
-    sized = materialize(sized.where(100 * (F.col("n") - F.col("lonely")) >= 75 * F.col("n")), "sized")
-    left = sized.select("value", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), F.col("lonely").alias("ux"))
-    right = sized.select("value", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"), F.col("lonely").alias("uy"))
-    crossed = left.join(right, "value").where(
-        (F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & _reaches("nx", "ux", "ny") & _reaches("ny", "uy", "nx")
+
+    open_ = _open_lists(lists, links)
+    drawn = open_.groupBy("value").agg(
+        F.min(F.struct(F.xxhash64("node", F.pmod("value", F.lit(DRAWS))), "node", "label")).alias("hub")
     )
-    rest = estimate(_pairs(crossed).join(tried, ["a", "b"], "left_anti"), sketches)
-    return links.unionByName(verify(docs, materialize(rest, "rest"), keys))
+    apart = open_.join(drawn, "value").where("label <> hub.label")
+    more = _pairs(apart.select(F.col("node").alias("x"), F.col("hub.node").alias("y")))
+    more = materialize(estimate(more.join(tried, ["a", "b"], "left_anti"), sketches), "drawn")
+    links = links.unionByName(verify(docs, more, keys))
+
+    open_ = _open_lists(open_.select("value", "node"), links)
+    rest = _crossed(docs, open_.select("node", "label").distinct(), keys)
+    rest = rest.join(tried.unionByName(more), ["a", "b"], "left_anti")
+    return links.unionByName(verify(docs, materialize(estimate(rest, sketches), "rest"), keys))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
