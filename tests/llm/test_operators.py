@@ -448,6 +448,33 @@ def test_personal_data(spark):
             assert r.masked is None
 
 
+def test_overlapping_spans_are_masked_whole(spark):
+    draw = np.random.default_rng(17)
+    cases = [("10.0.0.0 4111 1111 1111 1111", None), ("+1 415 555 0123@x.com", None)]
+    cases = [(t, sorted(pii.base_spans(t))) for t, _ in cases]
+    for _ in range(200):
+        text = "".join(draw.choice(list("abé🎉 1"), 30))
+        starts = draw.integers(0, 29, draw.integers(0, 7))
+        cases.append((text, sorted((int(draw.integers(0, 5)), int(s), int(min(30, s + draw.integers(1, 12)))) for s in starts)))
+    frame = spark.createDataFrame(
+        [(i, t, s) for i, (t, s) in enumerate(cases)], "i int, text string, spans array<struct<kind: int, start: int, end: int>>"
+    )
+    got = {r.i: r.m for r in frame.select("i", pii.masked(F.col("text"), F.col("spans")).alias("m")).collect()}
+    for i, (text, spans) in enumerate(cases):
+        by, out, last = {}, "", None
+        for n, (kind, start, end) in enumerate(sorted(spans, key=lambda x: (x[1], -x[2], x[0]))):
+            for at in range(start, end):
+                by.setdefault(at, (n, kind))
+        for at, c in enumerate(text):
+            if at not in by:
+                out += c
+            elif by[at] != last:
+                out += f"[{pii.KINDS[by[at][1]].upper()}]"
+            last = by.get(at)
+        assert got[i] == out
+    assert got[0] == "[IP][CARD]" and got[1] == "[PHONE][EMAIL]"
+
+
 def test_personal_data_in_nothing(no_docs):
     assert pii.find(no_docs).count() == 0
 

@@ -246,8 +246,9 @@ def count_of(spans: Column, kind: str) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping spans, the first
-    and longest. Positions are code points, as in Spark's own strings."""
+    """The text with each span replaced by its kind in brackets. What sticks out of a span that is
+    replaced already is replaced by its own kind; spans inside others leave no mark. Positions are
+    code points, as in Spark's own strings."""
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     by_start = F.array_sort(
         F.transform(spans, lambda c: F.struct(c["start"].alias("s"), (-c["end"]).alias("e"), c["kind"].alias("k")))
@@ -259,7 +260,7 @@ def masked(text: Column, spans: Column) -> Column:
         new = F.struct(
             F.concat(done["out"], gap, F.element_at(names, c["k"] + 1)).alias("out"), (-c["e"]).alias("at")
         )
-        return F.when(c["s"] >= done["at"], new).otherwise(done)
+        return F.when(-c["e"] > done["at"], new).otherwise(done)
 
     rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(by_start, state, step, rest))
