@@ -22,10 +22,8 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
-    judged = near_duplicates.near_duplicates(docs)
-    gone = judged.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    """One row of each group of near duplicates stays, one with the smallest id."""
+    return near_duplicates.representatives(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from tests.llm.conftest import words
 from tests.llm.test_operators import components_by_hand, cut_by_hand
 from tonewright.llm import language_id
 
@@ -31,6 +34,22 @@ def test_stages(spark, docs):
     assert {r.doc_id for r in last.select("doc_id").collect()} == {r.doc_id for r in fourth.collect()}
 
 
+def test_near_duplicates_go_by_row(spark):
+    """A null id or an id shared with a copy takes no other text along; of equal rows one stays."""
+    text = {c: " ".join(words(ord(c), 40)) for c in "abcdefg"}
+    rows = [(1, text["a"]), (None, text["a"]), (None, text["b"]), (2, text["a"]), (2, text["c"])]
+    rows += [(3, text["d"])] * 3 + [(None, text["e"])] * 2 + [(4, text["f"]), (4, text["f"] + " x"), (None, None)]
+    rows += [(None, text["g"]), (None, text["g"] + " y")]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id bigint, text string, label string, row string")
+    second = corpus_pipeline.STAGES[1][1](spark, frame.repartition(3), "")
+    assert second.columns == frame.columns
+    got = Counter((r.doc_id, (r.text or "")[: len(text["f"])]) for r in second.collect() if r.doc_id == 4)
+    assert got == {(4, text["f"]): 1}
+    got = Counter((r.doc_id, r.text) for r in second.collect() if r.doc_id != 4 and not (r.text or "").startswith(text["g"]))
+    assert got == Counter([(1, text["a"]), (None, text["b"]), (2, text["c"]), (3, text["d"]), (None, text["e"]), (None, None)])
+    assert second.where(F.col("text").startswith(text["g"])).count() == 1
+
+
 def test_empty_table(spark, no_docs):
     docs = no_docs
     for _, stage in corpus_pipeline.STAGES:

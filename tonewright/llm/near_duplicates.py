@@ -301,8 +301,12 @@ def links_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return links.unionByName(verify(docs, materialize(estimate(rest, sketches), "rest"), keys))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of all documents."""
+def judged(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, n_shingles, node, label, component_id, kept`` of all documents.
+
+    ``text_key`` is ``xxhash64`` of the text, ``node`` the class of its set and ``label`` tells
+    components apart, also those without an id.
+    """
     body = F.col("text").cast("string")
     rows = docs.select("doc_id", F.xxhash64(body).alias("text_key"), body.alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -313,10 +317,46 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         least = classes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
         named = least.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
         by_label = named.groupBy("label").agg(F.min("least").alias("component"))
-        owner = named.join(by_label, "label").select("node", "component")
+        owner = named.join(by_label, "label").select("node", "label", "component")
         owner = materialize(owner, "owners", lasting=True)
-    out = classes.select("doc_id", "n_shingles", "node").join(owner, "node", "left")
+    out = classes.select("doc_id", "text_key", "n_shingles", "node").join(owner, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return out.select(
+        "doc_id", "text_key", "n_shingles", "node", "label", component.alias("component_id")
+    ).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of all documents."""
+    return judged(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """All columns of one row of each component, and of all rows with the empty set.
+
+    It is a row with the smallest id (null only if there is no other), of these one with the smallest
+    ``text_key``, and of rows with the same id and text the first by their other columns.
+    """
+    rows = materialize(judged(docs), "judged").where("node IS NOT NULL")
+    key = ["doc_id", "text_key"]
+    alike = rows.where("kept").groupBy("label", *key).agg(F.count("*").alias("rows"))
+    first = alike.groupBy("label").agg(F.min(F.struct("text_key", "doc_id", "rows")).alias("first"))
+    first = materialize(first.select("first.*"), "first-rows")
+
+    def met(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+        on = left["doc_id"].eqNullSafe(right["__id"]) & (left["text_key"] == right["__key"])
+        return left.join(right, on, how)
+
+    gone = met(rows.select(key).distinct(), first, "left_anti")
+    again = first.where("rows > 1").select(key)
+    others = F.to_json(F.struct(F.lit(0).alias("0"), *(c for c in docs.columns if c not in ("doc_id", "text"))))
+    own = docs.select(
+        F.struct(*docs.columns).alias("row"), others.alias("others"), "doc_id",
+        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
+    )
+    single = met(own, gone.unionByName(again), "left_anti").select("row")
+    one = met(own, again, "left_semi").groupBy(key).agg(F.min_by("row", "others").alias("row")).select("row")
+    return single.unionByName(one).select("row.*")
