@@ -13,12 +13,12 @@ from tonewright.sources.workspace import materialize, temporary
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: those that are null or have no letter."""
+    """Drops documents that are null or have no letter, whether or not any document is labelled."""
     samples = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"))))
     judged = docs.select(
         F.struct(*docs.columns).alias("row"), language_id.language(F.col("text"), samples).alias("found")
     )
-    return judged.where(F.col("found.lang") != language_id.UNKNOWN).select("row.*")
+    return judged.where("found.letter").select("row.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

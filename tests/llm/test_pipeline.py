@@ -34,6 +34,14 @@ def test_stages(spark, docs):
     assert {r.doc_id for r in last.select("doc_id").collect()} == {r.doc_id for r in fourth.collect()}
 
 
+def test_documents_without_labels_stay(spark, docs):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.STAGES[0][1](spark, unlabelled, "")
+    assert kept.columns == docs.columns
+    expected = Counter((r.doc_id, r.text) for r in docs.collect() if r.text and any(c.isalpha() for c in r.text))
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == expected and len(expected) > 100
+
+
 def test_near_duplicates_go_by_row(spark):
     """A null id or an id shared with a copy takes no other text along; of equal rows one stays."""
     text = {c: " ".join(words(ord(c), 40)) for c in "abcdefg"}

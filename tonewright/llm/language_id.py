@@ -119,14 +119,15 @@ class Parser:
         table[:, self.size - 1] = base * self.size * 2  # padding begins nothing
         return table
 
-    def parse(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and score of each text. The score is the share of the best language if each
-        bit of code length halves the odds."""
+    def parse(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+        """Language and score of each text, and whether it has a letter. The score is the share of
+        the best language if each bit of code length halves the odds."""
         found = [self._symbols(t or "") for t in texts]
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        letters = [letter for _, letter in found]
         rows = [i for i, (s, letter) in enumerate(found) if letter]
         if not rows or not self.names:
-            return names, scores
+            return names, scores, letters
         sizes = np.array([len(found[i][0]) for i in rows])
         blocks = -(-sizes // BLOCK)
         first = np.cumsum(blocks) - blocks
@@ -149,7 +150,7 @@ class Parser:
         share = 1.0 / np.exp2(-gap).sum(axis=0)
         for i, b, s in zip(rows, best, share, strict=True):
             names[i], scores[i] = self.names[b], float(s)
-        return names, scores
+        return names, scores, letters
 
 
 def held_out(doc_id: Column) -> Column:
@@ -182,19 +183,21 @@ def fit(labelled: DataFrame) -> dict[str, str]:
 
 
 def language(text: Column, samples: dict[str, str]) -> Column:
-    """``struct(lang, score)`` of a text."""
+    """``struct(lang, score, letter)`` of a text; ``letter`` also holds where nothing is labelled."""
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, letter boolean")
     def parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         parser = Parser.of(samples)
         for series in batches:
             names: list[str] = []
             scores: list[float] = []
+            letters: list[bool] = []
             for begin in range(0, len(series), 1000):
                 found = parser.parse(series.iloc[begin : begin + 1000].tolist())
                 names += found[0]
                 scores += found[1]
-            yield pd.DataFrame({"lang": names, "score": scores})
+                letters += found[2]
+            yield pd.DataFrame({"lang": names, "score": scores, "letter": letters})
 
     return parsed(text.cast("string"))
 
