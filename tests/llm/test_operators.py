@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -131,6 +132,22 @@ def test_suffix_dedup_with_many_buckets_and_small_batches(docs, monkeypatch):
     assert got == cut_by_hand(met)
 
 
+def test_a_phrase_in_many_surroundings_is_spread(spark, monkeypatch):
+    """Its strings meet below their own hashes: no bucket gets them all, and the result is exact."""
+    phrase = "all rights reserved, "
+    rows = [(i, " ".join(words(3000 + i, 6)) + phrase + " ".join(words(7000 + i // 2, 12)), "en") for i in range(400)]
+    rows += [(1000 + i, f"{i} " + "-" * 90 + phrase + f" {i}", "en") for i in range(60)] + [(None, t, "en") for _, t, _ in rows[:5]]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    monkeypatch.setattr(suffix_dedup, "HOT", 40)
+    got = suffix_dedup.remove_repeats(frame).collect()
+    assert Counter((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got) == cut_by_hand(rows)
+    below = Counter()
+    for r in suffix_dedup.sent_stretches(frame).where("bucket >= 0").select("anchors").collect():
+        below.update(np.frombuffer(zstandard.ZstdDecompressor().decompress(r.anchors), np.uint32).tolist())
+    # of an equal string, each batch sends the 41 places of one document at most
+    assert sum(below.values()) > 2000 and max(below.values()) <= 5 * 41
+
+
 def test_refinement_separates_exactly_fifty_bytes():
     draw = np.random.default_rng(3)
     text = bytes(draw.integers(97, 99, 400, dtype=np.uint8)) * 3

@@ -18,7 +18,11 @@ share, and only strings whose anchor occurs in two documents or more are sent to
    stretches are settled at once, the others by refinement.
 3. The removed runs meet their documents.
 
-The number of buckets grows with the rows, so a bucket's size stays the same.
+The number of buckets grows with the rows, so the number of anchors of a bucket stays the same. An
+anchor with more than ``HOT`` stretches (a short phrase in many different surroundings) would fill
+its bucket alone: its strings are sent one by one, each below a hash of its own ``LENGTH`` bytes, which
+equal strings share, and one of each for a batch. Hot anchors are known by a bitmap of bounded size;
+an anchor that only shares a bit with one is split as well, everywhere, with the same result.
 
 Defined results: a null text counts as empty; texts shorter than ``LENGTH`` keep all bytes; a null
 ``doc_id`` comes after all others; rows with the same id never remove each other's bytes, and equal
@@ -32,6 +36,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -43,6 +48,8 @@ from tonewright.sources.workspace import materialize, temporary
 LENGTH = 50
 GRAM = 16
 BATCH = 8192
+#: Stretches below one anchor, as all batches met them, from which its strings are sent one by one.
+HOT = 2048
 LAST = np.iinfo(np.int64).max
 _ODD = 0x9E3779B97F4A7C15
 
@@ -206,7 +213,7 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
     """For each bucket the anchors met, and for each batch its documents, below a bucket of its own.
 
     ``index`` and ``low`` tell the document and the lower half of the hash of an anchor; ``known``
-    is 1 if the batch met the anchor in several documents.
+    is twice the number of its stretches, plus 1 if the batch met the anchor in several documents.
     """
     number = TaskContext.get().partitionId() << 24
     for whole in batches:
@@ -217,6 +224,7 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
             hashes = np.concatenate([f[3] for f in found])
             order = np.lexsort((index, hashes))
             hashes, index = hashes[order], index[order]
+            many = np.unique(hashes, return_counts=True)[1]
             fresh = np.ones(len(hashes), dtype=bool)
             fresh[1:] = (hashes[1:] != hashes[:-1]) | (index[1:] != index[:-1])
             hashes, index = hashes[fresh], index[fresh]
@@ -227,6 +235,7 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
             again |= ~head
             low = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            known_as = 2 * np.minimum(many, 0x7FFF)[np.cumsum(head) - 1] + again
             sent = np.flatnonzero(head)
             sent = sent[np.argsort(bucket[sent], kind="stable")]
             edges = np.searchsorted(bucket[sent], np.arange(buckets + 1))
@@ -246,7 +255,7 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
                 at = sent[edges[b] : edges[b + 1]]
                 add(
                     int(b), number, b"", b"", index[at].tobytes(), low[at].tobytes(),
-                    again[at].astype(np.uint8).tobytes(),
+                    known_as[at].astype(np.uint16).tobytes(),
                 )
             number += 1
             long, raw = pa.int64(), pa.binary()
@@ -255,29 +264,40 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names)
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """Of a bucket, the anchors that several batches sent; rows about batches pass through."""
+def _shared_anchors(table: pa.Table, hot: int) -> pa.Table:
+    """Of a bucket, the anchors that several batches sent; rows about batches pass through.
+
+    A row below a negative batch has the anchors with more than ``hot`` stretches.
+    """
     if table.column("bucket")[0].as_py() < 0:
         return table
     index = [np.frombuffer(x, np.uint16) for x in table.column("index").to_pylist()]
     low = [np.frombuffer(x, np.uint32) for x in table.column("low").to_pylist()]
-    known = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("known").to_pylist()])
+    known = np.concatenate([np.frombuffer(x, np.uint16) for x in table.column("known").to_pylist()])
     row = np.repeat(np.arange(len(low)), [len(x) for x in low])
     index, low = np.concatenate(index), np.concatenate(low)
-    _, inverse, count = np.unique(low, return_inverse=True, return_counts=True)
-    back = (count[inverse] > 1) & (known == 0)
+    own, inverse, count = np.unique(low, return_inverse=True, return_counts=True)
+    many = own[np.bincount(inverse, weights=known >> 1, minlength=len(own)) > hot]
+    back = (count[inverse] > 1) & (known & 1 == 0)
     row, index, low = row[back], index[back], low[back]
     edges = np.searchsorted(row, np.arange(table.num_rows + 1))
     cut = [slice(edges[i], edges[i + 1]) for i in range(table.num_rows)]
-    empty = pa.array([b""] * table.num_rows, pa.binary())
+    bucket, batch = table.column("bucket").to_pylist(), table.column("batch").to_pylist()
+    index, low = [index[c].tobytes() for c in cut], [low[c].tobytes() for c in cut]
+    if len(many):
+        bucket.append(bucket[0])
+        batch.append(-1 - bucket[0])
+        index.append(b"")
+        low.append(many.tobytes())
+    empty = pa.array([b""] * len(bucket), pa.binary())
     return pa.table(
         {
-            "bucket": table.column("bucket"),
-            "batch": table.column("batch"),
+            "bucket": pa.array(bucket, pa.int64()),
+            "batch": pa.array(batch, pa.int64()),
             "docs": empty,
             "keys": empty,
-            "index": pa.array([index[c].tobytes() for c in cut], pa.binary()),
-            "low": pa.array([low[c].tobytes() for c in cut], pa.binary()),
+            "index": pa.array(index, pa.binary()),
+            "low": pa.array(low, pa.binary()),
             "known": empty,
         }
     )
@@ -287,8 +307,16 @@ _CANDIDATES = "id bigint, key bigint, low binary"
 
 
 def _by_document(table: pa.Table) -> pa.Table:
-    """The shared anchors of each document of a batch."""
+    """The shared anchors of each document of a batch; hot anchors have no ``id``."""
     rows = table.to_pylist()
+    if rows[0]["batch"] < 0:
+        return pa.table(
+            {
+                "id": pa.nulls(len(rows), pa.int64()),
+                "key": pa.nulls(len(rows), pa.int64()),
+                "low": pa.array([r["low"] for r in rows], pa.binary()),
+            }
+        )
     about = next(r for r in rows if r["bucket"] < 0)
     docs, keys = np.frombuffer(about["docs"], np.int64), np.frombuffer(about["keys"], np.int64)
     index = np.concatenate([np.frombuffer(r["index"], np.uint16) for r in rows])
@@ -320,12 +348,23 @@ def _opened(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, kind) for x in parts])
 
 
-def _send_stretches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Stretches of text below shared anchors by bucket, one of each for a batch.
+def _hot_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        low = [np.frombuffer(x, np.uint32) for x in batch.column(0).to_pylist()]
+        at = np.concatenate([*low, np.empty(0, np.uint32)]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(at)], ["at"])
+
+
+def _send_stretches(
+    batches: Iterator[pa.RecordBatch], buckets: int, bits: bytes
+) -> Iterator[pa.RecordBatch]:
+    """Stretches of text below shared anchors by bucket, one of each for a batch; below the hot
+    anchors of ``bits``, their strings.
 
     A further copy with a larger id is known to be repeated: its whole stretch goes as a removed
     run, below a negative bucket, with the sizes of runs in ``sizes``.
     """
+    mask = np.frombuffer(bits, dtype=np.uint8)
     for batch in batches:
         ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         met: dict[bytes, int] = {}
@@ -342,14 +381,37 @@ def _send_stretches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator
             wanted = [np.uint64(i << 32) | x.astype(np.uint64) for i, x in enumerate(lows)]
             at = np.flatnonzero(np.isin(mark, np.concatenate([*wanted, mark[:0]])))
             row, size = part[text[at]], count[at] + LENGTH - 1
-            gone = np.zeros(len(at), dtype=bool)
+            bit = (hashes[at] & np.uint64(key_filter.BITS - 1)).astype(np.int64)
+            hot = (mask[bit >> 3] >> (bit & 7)) & 1 == 1
+            gone, split = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
+            single: list[tuple[int, int, int, int]] = []
+            lost: list[tuple[int, int, int, int]] = []
+            strings: list[bytes] = []
             for i, (t, s, n) in enumerate(zip(text[at].tolist(), start[at].tolist(), size.tolist(), strict=True)):
                 piece = texts[t][s : s + n]
                 gone[i] = ids[met.setdefault(piece, row[i])] < ids[row[i]]
-                if not gone[i]:
+                if gone[i]:
+                    continue
+                if not hot[i]:
                     pieces.append(piece)
-            for out, which in zip(sent, (~gone, gone), strict=True):
+                    continue
+                split[i], own, until = True, int(row[i]), -1
+                for first in range(s, s + n - LENGTH + 1):
+                    string = piece[first - s : first - s + LENGTH]
+                    if ids[met.setdefault(string, own)] >= ids[own]:
+                        strings.append(string)
+                        single.append((own, first, LENGTH, xxhash.xxh3_64_intdigest(string)))
+                    elif until == first:
+                        lost[-1] = (own, lost[-1][1], lost[-1][2] + 1, 0)
+                        until = first + 1
+                    else:
+                        lost.append((own, first, LENGTH, 0))
+                        until = first + 1
+            pieces += strings
+            for out, which, more in zip(sent, (~gone & ~split, gone), (single, lost), strict=True):
                 out.append((row[which], start[at][which], size[which], hashes[at][which]))
+                if more:
+                    out.append(tuple(np.array(c, k) for c, k in zip(zip(*more), (np.int64,) * 3 + (np.uint64,), strict=True)))
         out: list[list] = [[] for _ in range(7)]
 
         def add(b, row, start, size, hashes, body):
@@ -455,21 +517,32 @@ def _rows(docs: DataFrame, *columns) -> DataFrame:
     )
 
 
-def removed_runs(docs: DataFrame) -> DataFrame:
-    """``id, key, parts``: the removed runs of documents that have any, in parts of binary pairs.
+def sent_stretches(docs: DataFrame) -> DataFrame:
+    """What is to be sorted, by bucket: the stretches below shared anchors, in compressed arrays."""
+    hot = HOT
+
+    def shared_anchors(table: pa.Table) -> pa.Table:
+        return _shared_anchors(table, hot)
 
-    ``id`` is the document's id or the largest integer, ``key`` the lower half of a hash of its text.
-    """
     rows = _rows(docs).where(F.octet_length("text") >= LENGTH)
     buckets = 1 << max(0, (docs.count() // 2048).bit_length())
     met = rows.select("id", "text", "key").mapInArrow(partial(_send_anchors, buckets=buckets), _MET)
-    shared = met.groupBy("bucket").applyInArrow(_shared_anchors, _MET)
+    shared = met.groupBy("bucket").applyInArrow(shared_anchors, _MET)
     candidates = shared.groupBy("batch").applyInArrow(_by_document, _CANDIDATES)
     candidates = materialize(candidates, "candidates")
-    one = candidates.groupBy("id", "key").agg(F.first("low").alias("low"))
+    many = candidates.where("id IS NULL").select("low").mapInArrow(_hot_anchors, "at bigint")
+    bits = key_filter.bits_of(many, "at")
+    one = candidates.where("id IS NOT NULL").groupBy("id", "key").agg(F.first("low").alias("low"))
     texts = rows.join(one, ["id", "key"]).select("id", "key", "text", "low")
-    stretches = texts.mapInArrow(partial(_send_stretches, buckets=buckets), _STRETCHES)
-    runs = stretches.groupBy("bucket").applyInArrow(_sort_bucket, _RUNS)
+    return texts.mapInArrow(partial(_send_stretches, buckets=buckets, bits=bits), _STRETCHES)
+
+
+def removed_runs(docs: DataFrame) -> DataFrame:
+    """``id, key, parts``: the removed runs of documents that have any, in parts of binary pairs.
+
+    ``id`` is the document's id or the largest integer, ``key`` the lower half of a hash of its text.
+    """
+    runs = sent_stretches(docs).groupBy("bucket").applyInArrow(_sort_bucket, _RUNS)
     return runs.groupBy("id", "key").agg(F.collect_list("runs").alias("parts"))
 
 
