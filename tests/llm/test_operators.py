@@ -246,6 +246,22 @@ def test_turns_become_calls(spark):
     }
 
 
+def test_no_turn_is_lost(spark):
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "b"), (1, 0, "user", "b"), (1, 1, "assistant", "r"), (1, 2, "user", "c"), (1, 2, "user", "d")]
+    rows += [(None, 0, "user", "n"), (None, 0, "user", "n"), (2, None, "user", "t"), (None, 1, "assistant", "m"), (3, 0, None, "x"), (None, 5, None, "y")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = tool_calls.format_turns(turns, tool_calls.turn_schemas(spark)).collect()
+    text = lambda r: (json.loads(r.json)["arguments"].get("text"), json.loads(r.json)["result"])
+    assert Counter((r.conv_id, r.call_id, r.status, r.order_turn, r.order_step, text(r)) for r in got) == Counter([
+        (1, "1-0", "linked", 0, 0, ("a", "r")), (1, "1-0", "conflict", 0, 0, ("b", None)),
+        (1, "1-2", "unanswered", 2, 0, ("c", None)), (1, "1-2", "conflict", 2, 0, ("d", None)),
+        (None, None, "no id", 0, 0, ("n", None)), (None, None, "no id", 0, 0, ("n", None)),
+        (2, None, "no id", None, None, ("t", None)), (None, None, "no id", None, None, (None, "m")),
+        (3, "3-0", "no role", None, None, (None, "x")), (None, None, "no role", None, None, (None, "y")),
+    ])
+    assert all(list(r.errors) == (["missing after"] if r.conv_id == 2 else []) for r in got if r.order_turn is not None or r.conv_id == 2)
+
+
 # --- language -----------------------------------------------------------------------------------
 
 

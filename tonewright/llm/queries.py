@@ -53,8 +53,7 @@ def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf}/conversations.parquet")
-    calls, results = tool_calls.calls_of_turns(turns)
-    formatted = tool_calls.format_calls(calls, results, tool_calls.turn_schemas(spark))
+    formatted = tool_calls.format_turns(turns, tool_calls.turn_schemas(spark))
     return formatted.select(
         "conv_id",
         "call_id",

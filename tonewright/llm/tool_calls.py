@@ -16,14 +16,16 @@ calls are marked and no longer moved. A conversation is never gathered in one ro
 unknown names. *Serialisation.* JSON has its keys sorted, no white space, and numbers in one form.
 
 Defined results: null arguments count as ``{}``; text that isn't a JSON object is ``malformed``;
-null ids link with nothing; repeated rows of a call count as one; empty tables give no rows.
+repeated rows of a call with both ids count as one; empty tables give no rows. Of different calls
+with the same ids the first by turn, name, arguments and dependencies is linked, the others are rows
+with the status ``conflict``. Calls and results with a null id link with nothing: ``format_all`` gives
+each a row with the status ``no id``, and ``format_turns`` each turn with a null role one with ``no role``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tonewright.sources.workspace import materialize
 
@@ -38,6 +40,8 @@ TYPES = {
     "null": ("VOID",),
 }
 _KEY = ["conv_id", "call_id"]
+_NAMED = "conv_id IS NOT NULL AND call_id IS NOT NULL"
+_COLUMNS = ["turn", "name", "arguments", "depends_on"]
 
 
 def canonical(json: Column) -> Column:
@@ -45,16 +49,23 @@ def canonical(json: Column) -> Column:
     return F.to_json(F.try_parse_json(json))
 
 
-def _one_of_each(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    first = Window.partitionBy(*by).orderBy(*order)
-    return rows.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
+def _content() -> Column:
+    return F.struct(*_COLUMNS)
+
+
+def conflicts(calls: DataFrame) -> DataFrame:
+    """Different calls with ids that another one before them has; a row for each."""
+    both = calls.where(_NAMED).groupBy(*_KEY).agg(F.min(_content()).alias("first"), F.max(_content()).alias("last"))
+    several = both.where("NOT (first <=> last)").select(*_KEY, "first")
+    others = calls.join(several, _KEY).where(~_content().eqNullSafe(F.col("first")))
+    return others.select(calls.columns).dropDuplicates()
 
 
 def link(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Calls with ``result``, ``result_turn`` and ``status``: linked, repeated, early, unanswered or
     orphan. The first result by turn counts; ``early`` results stand before their call."""
-    asked = _one_of_each(calls.where("conv_id IS NOT NULL AND call_id IS NOT NULL"), _KEY, ["turn", "name", "arguments"])
-    known = results.where("conv_id IS NOT NULL AND call_id IS NOT NULL")
+    asked = calls.where(_NAMED).groupBy(*_KEY).agg(F.min(_content()).alias("call")).select(*_KEY, "call.*")
+    known = results.where(_NAMED)
     first = known.groupBy(*_KEY).agg(
         F.min(F.struct("result_turn", "result")).alias("first"),
         F.countDistinct("result_turn", "result").alias("answers"),
@@ -174,20 +185,73 @@ def _json_string(value: Column) -> Column:
     return F.substring(whole, 6, F.length(whole) - 6)
 
 
-def format_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """All calls and orphan results: place, status, errors and canonical JSON.
+def _apart(calls: DataFrame, places: DataFrame, schemas: DataFrame) -> DataFrame:
+    """Calls that link with nothing, with ``status``: place behind what they depend on, and errors.
+
+    No call can depend on them, so that one join finds their places.
+    """
+    rows = materialize(calls.withColumn("__row", F.monotonically_increasing_id()), "apart")
+    edges = rows.select("__row", "conv_id", F.explode(F.array_distinct("depends_on")).alias("call_id"))
+    after = F.struct(F.col("order_turn").alias("turn"), (F.col("order_step") + 1).alias("step"))
+    least = edges.join(places.where("NOT in_cycle"), _KEY).groupBy("__row").agg(F.max(after).alias("least"))
+    alone = rows.select(F.col("__row").alias("conv_id"), F.lit("").alias("call_id"), F.lit(0).alias("turn"), "name", "arguments")
+    errors = validate(alone, schemas).select(F.col("conv_id").alias("__row"), "errors")
+    own = F.struct(F.col("turn").cast("bigint").alias("turn"), F.lit(0).cast("bigint").alias("step"))
+    at = F.when(F.col("turn").isNotNull(), F.greatest(own, F.coalesce("least", own)))
+    return rows.join(least, "__row", "left").join(errors, "__row", "left").select(
+        *_KEY, *_COLUMNS, "status", at["turn"].alias("order_turn"), at["step"].alias("order_step"),
+        F.when(F.col("turn").isNotNull(), F.lit(False)).alias("in_cycle"), "errors",
+    )
+
+
+def _results_apart(results: DataFrame, status: str) -> DataFrame:
+    return results.select(*_KEY, "result_turn", "result", F.lit(status).alias("status"))
+
+
+def _with_json(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("json", serialise(F.col("name"), F.col("call_id"), F.col("arguments"), F.col("result")))
+
+
+def format_all(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
+    """All calls and orphan results, also those with a null id: place, status, errors and canonical
+    JSON.
 
     ``calls`` has ``conv_id, call_id, turn, name, arguments, depends_on``; ``results`` has ``conv_id,
     call_id, result_turn, result``.
     """
-    columns = [*_KEY, "turn", "name", "arguments", "depends_on"]
-    linked = materialize(
-        link(calls.select(columns), results.select(*_KEY, "result_turn", "result")), "linked"
+    calls = calls.select(*_KEY, *_COLUMNS)
+    results = results.select(*_KEY, "result_turn", "result")
+    linked = materialize(link(calls, results), "linked")
+    places = order(linked)
+    found = linked.join(places, _KEY, "left").join(validate(linked, schemas), _KEY, "left")
+    nameless = calls.where(f"NOT ({_NAMED})").withColumn("status", F.lit("no id"))
+    apart = conflicts(calls).withColumn("status", F.lit("conflict")).unionByName(nameless)
+    lost = _results_apart(results.where(f"NOT ({_NAMED})"), "no id")
+    found = found.unionByName(_apart(apart, places, schemas), allowMissingColumns=True)
+    return _with_json(found.unionByName(lost, allowMissingColumns=True))
+
+
+def format_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
+    """``format_all`` without the calls and results that have a null id."""
+    return format_all(calls, results, schemas).where(_NAMED)
+
+
+def format_turns(turns: DataFrame, schemas: DataFrame) -> DataFrame:
+    """``format_all`` of the calls and results of turns, and the turns with a null role."""
+    formatted = format_all(*calls_of_turns(turns), schemas)
+    turn = F.col("turn").cast("bigint")
+    silent = turns.where("role IS NULL").select(
+        "conv_id", _turn_name(turn).alias("call_id"), turn.alias("result_turn"), F.col("text").alias("result")
     )
-    found = linked.join(order(linked), _KEY, "left").join(validate(linked, schemas), _KEY, "left")
-    return found.withColumn(
-        "json", serialise(F.col("name"), F.col("call_id"), F.col("arguments"), F.col("result"))
+    silent = _results_apart(silent, "no role").withColumns(
+        {c: F.lit(None).cast(formatted.schema[c].dataType) for c in ("name", "arguments")}
     )
+    return formatted.unionByName(_with_json(silent), allowMissingColumns=True)
+
+
+def _turn_name(turn: Column) -> Column:
+    """The id of a call: null if the conversation or the turn is."""
+    return F.concat(F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
 
 
 def calls_of_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -197,7 +261,7 @@ def calls_of_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     the turn before it; a turn of the assistant is the result of the call one turn earlier.
     """
     turn = F.col("turn").cast("bigint")
-    name_of = lambda t: F.concat_ws("-", "conv_id", t.cast("string"))
+    name_of = _turn_name
     conv = F.col("conv_id")
     asked = turns.where("role IN ('user', 'system')")
     arguments = F.to_json(F.struct(F.col("text").alias("text"), turn.alias("after"), F.col("role").alias("from")))
