@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 from tonewright.llm import (
     bpe_automaton,
     exact_search,
+    importance,
     language_id,
     near_duplicates,
     oracles,
     packing,
+    periodic_runs,
     pii,
     quality,
     sharding,
     suffix_dedup,
+    token_files,
     tool_calls,
 )
 from tonewright.llm.shipping import ship
+from tonewright.sources import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +141,39 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{workspace.shared_folder(spark)}/token-files-{workspace.new_name()}"
+    token_files.write(_documents(spark, sf), folder)
+    return token_files.read(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def op12_importance(spark: SparkSession, sf: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf}/benchmark.parquet")
+    drawn = importance.resample(_documents(spark, sf), target)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf).select("doc_id", "text")
+    docs = docs.withColumn("text", periodic_runs.planted(F.col("doc_id"), F.col("text")))
+    found = periodic_runs.find_runs(docs)
+    first = F.array_sort("runs", periodic_runs.longest_first).getItem(0)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id", "runs", "collapsed", F.when(F.size("runs") > 0, first).alias("longest")
+    ).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *(F.col(f"longest.{c}").alias(c) for c in ("start", "length", "period")),
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -148,10 +185,15 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_sharding": op10_sharding,
+    "op11_token_files": op11_token_files,
+    "op12_importance": op12_importance,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
     "op2_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op6_exact_search": oracles.EXACT_SEARCH,
     "op9_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op12_importance": oracles.IMPORTANCE,
+    "op13_periodic_runs": oracles.PERIODIC_RUNS,
 }
