@@ -44,3 +44,15 @@ def docs(spark):
 @pytest.fixture(scope="session")
 def no_docs(docs):
     return docs.limit(0)
+
+
+@pytest.fixture(scope="session")
+def small_tables(spark, docs, tmp_path_factory):
+    """A folder of tables as queries read them, with the corpus above as documents."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    target = [(i, " ".join(words(s, n))) for i, (s, n) in enumerate([(1, 50), (2, 30), (104, 40)])]
+    spark.createDataFrame([*target, (None, None)], "item_id bigint, text string").write.parquet(
+        f"{folder}/benchmark.parquet"
+    )
+    return folder

@@ -275,7 +275,7 @@ def collapse(text: bytes, runs: list[Run]) -> bytes:
 
 
 def find_runs(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_words, runs (start, length, period), collapsed (UTF-8)`` of every document."""
+    """``doc_id, runs (start, length, period), collapsed (UTF-8)`` of every document."""
     rows = docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed binary"
