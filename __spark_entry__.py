@@ -27,6 +27,7 @@ from tonewright.operators import (  # noqa: E402
     sampling,
     split,
     tfidf,
+    trees,
     vectors,
 )
 from tonewright.plans import holdout, train_predict, vote  # noqa: E402
@@ -371,12 +372,38 @@ def _linear_predictions(loss: str, iterations: int) -> Query:
     return query
 
 
-def _estimator(make: Callable) -> Query:
+def _tree_holdout(kind: str, **options) -> Query:
     def query(spark, sf):
-        stored = holdout.weighted_corpus(_labeled(spark, sf))
-        return holdout.estimator_predictions(*stored, make).select(
-            "doc_id", "label", "prediction"
-        )
+        fitted, weighted = holdout.weighted_corpus(_labeled(spark, sf))
+        predicted = holdout.tree_predictions(fitted, weighted, kind, **options)
+        return predicted.select("doc_id", "label", _r("score"), "prediction")
+
+    return query
+
+
+def _tree_nodes(kind: str, **options) -> Query:
+    """The model as a table, trained on the documents that aren't held out."""
+
+    def query(spark, sf):
+        fitted, weighted = holdout.weighted_corpus(_labeled(spark, sf))
+        train = weighted.where(split.is_train(F.col("doc_id")))
+        return trees.tree_table(holdout.fit_trees(fitted, train, kind, **options), weighted)
+
+    return query
+
+
+def _tree_accuracy(kind: str, **options) -> Query:
+    def query(spark, sf):
+        measured = holdout.tree_accuracy(_labeled(spark, sf), kind, **options)
+        return measured.select("n_test", "n_correct", _r("accuracy"))
+
+    return query
+
+
+def _tree_unlabeled(kind: str, **options) -> Query:
+    def query(spark, sf):
+        predicted = train_predict.train_and_predict(_prepared(spark, sf), kind, **options)
+        return predicted.select("doc_id", _r("score"), "prediction")
 
     return query
 
@@ -497,8 +524,15 @@ def queries() -> dict[str, Query]:
         "logreg_predict_unlabeled": _linear_predictions("logistic", 100),
         "svm_gd100": _linear("hinge", 100),
         "logreg_gd100": _linear("logistic", 100),
-        "random_forest": _estimator(estimators.random_forest),
-        "gbt": _estimator(estimators.gradient_boosting),
+        "random_forest": _tree_holdout("forest"),
+        "forest_nodes": _tree_nodes("forest"),
+        "forest_accuracy": _tree_accuracy("forest"),
+        "forest_300_accuracy": _tree_accuracy("forest", trees=300),
+        "forest_predict_unlabeled": _tree_unlabeled("forest"),
+        "gbt": _tree_holdout("boosting"),
+        "gbt_nodes_3": _tree_nodes("boosting", iterations=3),
+        "gbt_accuracy": _tree_accuracy("boosting"),
+        "gbt_predict_unlabeled": _tree_unlabeled("boosting"),
         "prediction_sink": prediction_sink,
         "gnb_bucket_stats": gnb_bucket_stats,
         "gnb_second_round": gnb_second_round,

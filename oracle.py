@@ -7,6 +7,7 @@ shorter ways, so that the two can disagree.
 
 from __future__ import annotations
 
+import math
 import re
 
 from tonewright.functions.stem import STEP2_SUFFIXES, STEP3_SUFFIXES, STEP4_SUFFIXES
@@ -481,6 +482,156 @@ def _long_descent(
     )
 
 
+# --- trees --------------------------------------------------------------------------------------
+
+_HEX28 = "CAST('0x' || substr(md5({0}), {1}, 7) AS BIGINT)"
+_BINNED = (
+    "b",
+    "SELECT doc_id, term, 31 - least(30, greatest(0, CAST(floor(-4 * log2(w) + 0.137) AS INTEGER))) "
+    f"AS bin, {_HEX28.format('term', 1)} AS h FROM w",
+)
+# Gain of sending (n, s) of a node's (all_n, all_s) to the right.
+_GAIN = (
+    "CAST(floor(((all_s - s) / {0} * ((all_s - s) / {0}) / (all_n - n) + s / {0} * (s / {0}) / n "
+    "- all_s / {0} * (all_s / {0}) / all_n) * 1e6) AS BIGINT)"
+)
+
+
+def _best_split(hist: str, totals: str, keys: str, scale: str) -> str:
+    """Best (term, bin) for each node: running sums from the highest bin, compared in whole steps."""
+    window = f"OVER (PARTITION BY {keys}, term ORDER BY bin DESC)"
+    on = " AND ".join(f"r.{k} = t.{k}" for k in keys.split(", "))
+    nodes = ", ".join(f"r.{k}" for k in keys.split(", "))
+    return (
+        f"SELECT {keys}, term, bin, n, s FROM (SELECT *, {_GAIN.format(scale)} AS gain FROM ("
+        f"SELECT {nodes}, term, bin, r.n, r.s, t.n AS all_n, t.s AS all_s FROM (SELECT {keys}, term, bin, "
+        f"CAST(sum(n) {window} AS BIGINT) AS n, CAST(sum(s) {window} AS BIGINT) AS s FROM {hist}) r "
+        f"JOIN {totals} t ON {on}) WHERE n > 0 AND all_n > n) WHERE gain > 0 "
+        f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY gain DESC, term, bin) = 1"
+    )
+
+
+def _forest_ctes(train: str, trees: int = 3, source: str = _LABELED, depth: int = 4) -> Ctes:
+    """Trees level by level; every document walks along, those of the sample are counted."""
+    bounds, total, share = [], 0.0, math.exp(-1)
+    for k in range(8):
+        total += share
+        bounds.append(math.floor(total * 2**32))
+        share /= k + 1
+    u = "CAST('0x' || substr(md5('2:' || tree || ':' || doc_id), 1, 8) AS BIGINT)"
+    copies = " + ".join(f"CAST({u} >= {bound} AS INTEGER)" for bound in bounds)
+    ctes = [
+        *_weight_ctes(source),
+        _BINNED,
+        ("draw", "SELECT CAST(floor(2147483647::HUGEINT * ceil(sqrt(count(*))) / count(*)) AS BIGINT) AS below FROM vocab"),
+        (
+            "place0",
+            f"SELECT tree, doc_id, label, 0 AS node, CASE WHEN {train} THEN {copies} ELSE 0 END AS n "
+            f"FROM docs, (SELECT range AS tree FROM range({trees}))",
+        ),
+    ]
+    for k in range(depth):
+        ctes += [
+            (
+                f"totals{k}",
+                "SELECT tree, node, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * label) AS BIGINT) AS s, "
+                f"1 + {_HEX28.format("'2:' || tree || ':' || node", 1)} AS a, "
+                f"{_HEX28.format("'2:' || tree || ':' || node", 8)} AS c FROM place{k} GROUP BY tree, node",
+            ),
+            (
+                f"hist{k}",
+                "SELECT p.tree, p.node, term, bin, sum(p.n) AS n, CAST(sum(p.n * label) AS BIGINT) AS s "
+                f"FROM place{k} p JOIN totals{k} t ON p.tree = t.tree AND p.node = t.node "
+                "JOIN b ON p.doc_id = b.doc_id, draw WHERE p.n > 0 AND (a * h + c) % 2147483647 < below "
+                "GROUP BY p.tree, p.node, term, bin",
+            ),
+            (f"best{k}", _best_split(f"hist{k}", f"totals{k}", "tree, node", "1.0")),
+            (
+                f"place{k + 1}",
+                "SELECT p.tree, p.doc_id, p.label, CASE WHEN x.term IS NULL THEN p.node ELSE "
+                "2 * p.node + 1 + CAST(coalesce(b.bin, 0) >= x.bin AS INTEGER) END AS node, p.n "
+                f"FROM place{k} p LEFT JOIN best{k} x ON p.tree = x.tree AND p.node = x.node "
+                "LEFT JOIN b ON p.doc_id = b.doc_id AND x.term = b.term",
+            ),
+        ]
+    return [
+        *ctes,
+        (
+            "leaves",
+            "SELECT tree, node, 2 * sum(n * label) > sum(n) AS one "
+            f"FROM place{depth} GROUP BY tree, node",
+        ),
+        (
+            "predicted",
+            "SELECT *, CAST(score > " + f"{trees / 2}" + " AS INTEGER) AS prediction FROM ("
+            "SELECT p.doc_id, p.label, CAST(count(*) FILTER (one) AS DOUBLE) AS score "
+            f"FROM place{depth} p JOIN leaves l ON p.tree = l.tree AND p.node = l.node "
+            "GROUP BY p.doc_id, p.label)",
+        ),
+    ]
+
+
+def _forest_nodes(train: str) -> str:
+    """Nodes of all levels with their totals, and the split of those that have one."""
+    levels = [f"SELECT tree, node, n, s, {k} AS k FROM totals{k}" for k in range(4)]
+    last = (
+        "SELECT tree, node, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * label) AS BIGINT) AS s, 4 AS k "
+        "FROM place4 GROUP BY tree, node"
+    )
+    splits = " UNION ALL ".join(f"SELECT tree, node, term, bin FROM best{k}" for k in range(4))
+    ctes = [
+        *_forest_ctes(train),
+        ("all_nodes", " UNION ALL ".join([*levels, last])),
+        ("splits", splits),
+    ]
+    return _sql(
+        ctes,
+        "SELECT CAST(x.tree AS INTEGER) AS tree, CAST(x.node AS INTEGER) AS node, term, "
+        "CAST(bin AS INTEGER) AS bin, x.n, x.s FROM (SELECT DISTINCT tree, node, n, s FROM all_nodes) x "
+        "LEFT JOIN splits ON x.tree = splits.tree AND x.node = splits.node",
+    )
+
+
+def _boosted(select: str, train: str, source: str = _LABELED, rounds: int = 30, depth: int = 4) -> str:
+    """A recursive table of documents: a step divides the nodes of a level, or ends a round.
+
+    ``log`` rows of a finished tree are not kept; ``margin`` is the sum of the leaves so far.
+    """
+    steps = depth + 1
+    units = (
+        f"CAST(floor(CASE WHEN k < {steps} THEN 2 * label - 1 ELSE 4 * (2 * label - 1) / "
+        "(1 + exp(2 * (2 * label - 1) * margin)) END * 1000000 + 0.5) AS BIGINT)"
+    )
+    rate = f"CASE WHEN k < {steps} THEN 1.0::DOUBLE ELSE 0.1::DOUBLE END"
+    step = (
+        f"WITH r AS (SELECT *, CASE WHEN train THEN {units} END AS s FROM it WHERE k < {rounds * steps}), "
+        "totals AS (SELECT node, count(*) AS n, CAST(sum(s) AS BIGINT) AS s FROM r WHERE train GROUP BY node), "
+        "hist AS (SELECT node, term, bin, count(*) AS n, sum(s) AS s FROM r JOIN b ON r.doc_id = b.doc_id "
+        f"WHERE train AND k % {steps} < {depth} GROUP BY node, term, bin), "
+        f"best AS ({_best_split('hist', 'totals', 'node', '1000000.0')}) "
+        "SELECT k + 1, r.doc_id, label, train, "
+        f"CASE WHEN k % {steps} = {depth} THEN margin + {rate} * (t.s / 1000000.0::DOUBLE / t.n) ELSE margin END, "
+        f"CASE WHEN k % {steps} = {depth} THEN 0 WHEN x.term IS NULL THEN r.node "
+        "ELSE 2 * r.node + 1 + CAST(coalesce(b.bin, 0) >= x.bin AS INTEGER) END "
+        "FROM r JOIN totals t ON r.node = t.node LEFT JOIN best x ON r.node = x.node "
+        "LEFT JOIN b ON r.doc_id = b.doc_id AND x.term = b.term"
+    )
+    body = ",\n".join(
+        f"{name} AS MATERIALIZED ({query})" for name, query in [*_weight_ctes(source), _BINNED]
+    )
+    return (
+        f"WITH RECURSIVE {body},\nit(k, doc_id, label, train, margin, node) AS ("
+        f"SELECT 0, doc_id, label, {train}, 0.0::DOUBLE, 0 FROM docs UNION ALL ({step})),\n"
+        "predicted AS (SELECT *, margin AS score, CAST(margin > 0 AS INTEGER) AS prediction FROM it "
+        f"WHERE k = {rounds * steps})\n{select}"
+    )
+
+
+_SCORED = "SELECT doc_id, label, round(score, 6) AS score, prediction FROM predicted"
+_SCORED_UNLABELED = (
+    "SELECT doc_id, round(score, 6) AS score, prediction FROM predicted WHERE label IS NULL"
+)
+
 # --- committee ----------------------------------------------------------------------------------
 
 
@@ -712,6 +863,16 @@ ORACLES: dict[str, str] = {
     },
     "svm_gd100": _long_descent("hinge"),
     "logreg_gd100": _long_descent("logistic"),
+    "random_forest": _sql(_forest_ctes(_TRAIN), f"{_SCORED} WHERE NOT {_TRAIN}"),
+    "forest_nodes": _forest_nodes(_TRAIN),
+    "forest_accuracy": _sql(_forest_ctes(_TRAIN), _accuracy(f"NOT {_TRAIN}")),
+    "forest_300_accuracy": _sql(_forest_ctes(_TRAIN, 300), _accuracy(f"NOT {_TRAIN}")),
+    "forest_predict_unlabeled": _sql(
+        _forest_ctes("label IS NOT NULL", source=_EVERY), _SCORED_UNLABELED
+    ),
+    "gbt": _boosted(f"{_SCORED} WHERE NOT train", _TRAIN),
+    "gbt_accuracy": _boosted(_accuracy("NOT train"), _TRAIN),
+    "gbt_predict_unlabeled": _boosted(_SCORED_UNLABELED, "label IS NOT NULL", _EVERY),
     "prediction_sink": _sql(
         _bayes_ctes(_weight_ctes(_EVERY)),
         "SELECT doc_id || ',' || CASE WHEN prediction = 1 THEN '1.0' ELSE '0.0' END AS line "

@@ -363,7 +363,7 @@ def test_whole_job(spark, folders, classifier, options):
         **options,
     )
     lines = {r["value"] for r in spark.read.text(output).collect()}
-    one, zero = ("1", "0") if classifier in ("svm", "logistic") else ("1.0", "0.0")
+    one, zero = ("1.0", "0.0") if classifier == "bayes" else ("1", "0")
     assert {line.split(",")[0] for line in lines} >= {"pos", "6"}
     if classifier in ("bayes", "svm", "logistic"):
         assert {f"pos,{one}", f"6,{zero}"} <= lines

@@ -1,16 +1,11 @@
-"""Classifiers of ``pyspark.ml`` with the settings of this library.
+"""The classifier of ``pyspark.ml`` that the tests and the vector query compare with.
 
-They train on vectors, see :mod:`tonewright.operators.vectors`. The tree estimators bin every
-feature of every row, so their memory grows with rows times features.
+It trains on vectors, see :mod:`tonewright.operators.vectors`.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import (
-    GBTClassifier,
-    NaiveBayes,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import DataFrame
 
 
@@ -18,21 +13,6 @@ def naive_bayes(smoothing: float = 1.0) -> NaiveBayes:
     return NaiveBayes(smoothing=smoothing)
 
 
-def random_forest(trees: int = 3, seed: int = 2) -> RandomForestClassifier:
-    return RandomForestClassifier(
-        numTrees=trees,
-        maxDepth=4,
-        maxBins=32,
-        impurity="gini",
-        featureSubsetStrategy="auto",
-        seed=seed,
-    )
-
-
-def gradient_boosting(iterations: int = 30, seed: int = 2) -> GBTClassifier:
-    return GBTClassifier(maxIter=iterations, maxDepth=4, stepSize=0.1, seed=seed)
-
-
 def predict(model, vectors: DataFrame) -> DataFrame:
     """Predictions without the columns that only the estimator uses."""
     return model.transform(vectors).drop("features", "rawPrediction", "probability")

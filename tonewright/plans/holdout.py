@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonewright.functions.text import Analyzer
-from tonewright.operators import estimators, vectors
 from tonewright.operators.bayes import fit_naive_bayes, predict
 from tonewright.operators.evaluate import accuracy
 from tonewright.operators.linear import fit_gradient_descent, predict_linear
 from tonewright.operators.split import is_train
 from tonewright.operators.tfidf import Vocabulary, count_terms, fit_vocabulary, weigh
+from tonewright.operators.trees import TreeModel, fit_boosting, fit_forest, predict_trees
 from tonewright.sources.workspace import materialize
 
 
@@ -48,12 +46,19 @@ def linear_predictions(weighted: DataFrame, loss: str, iterations: int) -> DataF
     return predict_linear(weighted.where(~train), model)
 
 
-def estimator_predictions(
-    vocabulary: Vocabulary, weighted: DataFrame, estimator: Callable
+def fit_trees(vocabulary: Vocabulary, weighted: DataFrame, kind: str, **options) -> TreeModel:
+    if kind == "forest":
+        return fit_forest(weighted, vocabulary.size, **options)
+    return fit_boosting(weighted, **options)
+
+
+def tree_predictions(
+    vocabulary: Vocabulary, weighted: DataFrame, kind: str, **options
 ) -> DataFrame:
+    """Predictions of a ``forest`` or of ``boosting`` for the documents held out."""
     train = is_train(F.col("doc_id"))
-    stored = vectors.to_vectors(weighted, vectors.index_terms(vocabulary))
-    return estimators.predict(estimator().fit(stored.where(train)), stored.where(~train))
+    model = fit_trees(vocabulary, weighted.where(train), kind, **options)
+    return predict_trees(weighted.where(~train), model)
 
 
 def bayes_accuracy(
@@ -73,11 +78,12 @@ def linear_accuracy(
     return accuracy(linear_predictions(weighted, loss, iterations))
 
 
-def estimator_accuracy(
+def tree_accuracy(
     labeled: DataFrame,
-    estimator: Callable,
+    kind: str,
     analyze: str | Analyzer = "unigram",
     fit_on: str = "all",
+    **options,
 ) -> DataFrame:
     vocabulary, weighted = weighted_corpus(labeled, analyze, fit_on)
-    return accuracy(estimator_predictions(vocabulary, weighted, estimator))
+    return accuracy(tree_predictions(vocabulary, weighted, kind, **options))

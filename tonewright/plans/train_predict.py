@@ -15,7 +15,8 @@ from tonewright.operators.tfidf import (
     fit_vocabulary,
     weigh,
 )
-from tonewright.operators import estimators, vectors
+from tonewright.operators.trees import predict_trees
+from tonewright.plans.holdout import fit_trees
 from tonewright.sources.files import write_predictions
 from tonewright.sources.tables import with_label_if_known
 from tonewright.sources.workspace import materialize, temporary
@@ -75,12 +76,8 @@ def train_and_predict(
         )
     if classifier not in CLASSIFIERS:
         raise ValueError(f"no such classifier: {classifier}")
-    make = estimators.random_forest if classifier == "forest" else estimators.gradient_boosting
-    index = vectors.index_terms(corpus.vocabulary)
-    model = make(**options).fit(vectors.to_vectors(corpus.weighted, index))
-    if drop_empty:
-        unlabeled = unlabeled.where("size(entries) > 0")
-    return estimators.predict(model, vectors.to_vectors(unlabeled, index))
+    model = fit_trees(corpus.vocabulary, corpus.weighted, classifier, **options)
+    return predict_trees(unlabeled, model, drop_empty)
 
 
 def run(
