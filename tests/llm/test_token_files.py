@@ -40,7 +40,7 @@ def joined(encoder, texts):
     return out
 
 
-@pytest.mark.parametrize("block", [8 << 20, 60])
+@pytest.mark.parametrize("block", [4 << 20, 60])
 def test_encoder_equals_the_tokenizer(monkeypatch, block):
     monkeypatch.setattr(part_encoder, "BLOCK", block)
     encoder = part_encoder.PartEncoder(public_tokenizers.path("word_bpe_49k.json"))

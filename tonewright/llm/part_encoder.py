@@ -14,7 +14,7 @@ import pyarrow as pa
 #: Entries of each memory, and characters of a part or word that is worth remembering.
 _MOST, _LONGEST = 600_000, 64
 #: Characters of text that are worked on at once; longer texts are taken in parts.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Characters whose kind is the same in all versions of Unicode, and whose lower case neither
 #: depends on neighbours nor combines with them: ASCII and Latin letters.
 _PLAIN = re.compile("[\\t\\n\\r -~À-ÖØ-öø-įı-ɏ]*")
