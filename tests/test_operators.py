@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tonewright.functions import text
 from tonewright.operators import (
+    blocks,
     bayes,
     collocation,
     committee,
@@ -212,6 +213,67 @@ def test_gradient_descent_equals_the_library(spark, corpus, fitted, loss, librar
         assert r["coef"] == pytest.approx(expected.weights[index[r["term"]]], abs=1e-12)
 
 
+def above(plan: str, scan: str) -> list[str]:
+    """Operators of a plan from its root down to the scan whose line holds ``scan``."""
+    path: list[tuple[int, str]] = []
+    for line in plan.split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        path = [p for p in path if p[0] < depth] + [(depth, line.strip())]
+        if scan in line:
+            return [name for _, name in path]
+    raise AssertionError(f"{scan} isn't in the plan")
+
+
+@pytest.mark.parametrize("loss", ["hinge", "logistic"])
+def test_descent_in_document_blocks(spark, corpus, fitted, loss, monkeypatch):
+    """Beyond the limit the corpus isn't moved again: nothing is exchanged between its scan and the
+    partial sums of the gradient."""
+    plans = []
+    store = blocks.DocumentBlocks.store
+
+    def seen(self, coefficients):
+        plans.append(coefficients._jdf.queryExecution().executedPlan().toString())
+        return store(self, coefficients)
+
+    monkeypatch.setattr(blocks.DocumentBlocks, "store", seen)
+    monkeypatch.setattr(blocks.DocumentBlocks, "ROWS", 5)
+    labels = {r["doc_id"]: r["label"] for r in corpus.collect()}
+    tables = {t.name for t in spark.catalog.listTables()}
+    model = linear.fit_gradient_descent(fitted[1], loss, iterations=4, limit=0)
+    got = {r["term"]: r["coef"] for r in model.table.frame.collect()}
+    assert model.steps == 4
+    assert got == pytest.approx(dict(brute_descent(brute_weights(corpus), labels, loss, 4)))
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    assert len(plans) == 4
+    for plan in plans[1:]:
+        path = above(plan, "block_rows")
+        assert sum("SortMergeJoin" in p for p in path) == 1 and "Broadcast" not in plan
+        exchanges = [i for i, p in enumerate(path) if "Exchange" in p]
+        partial = next(i for i, p in enumerate(path) if "partial_" in p)
+        assert len(exchanges) == 1 and exchanges[0] < partial, "\n".join(path)
+        assert not any("Exchange" in p for p in above(plan, "block_terms")[-3:])
+
+
+def test_scopes_belong_to_their_thread(spark):
+    """A table written in one thread isn't deleted by the end of another's scope."""
+    import threading
+
+    inside, ended, kept = threading.Event(), threading.Event(), []
+
+    def other():
+        inside.wait(30)
+        kept.append(workspace.materialize(spark.range(2).toDF("x"), "other"))
+        ended.set()
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    with workspace.temporary(spark):
+        inside.set()
+        ended.wait(60)
+    thread.join()
+    assert kept[0].count() == 2
+
+
 def test_gradient_descent_stops_when_settled(fitted):
     model = linear.fit_gradient_descent(fitted[1], "logistic", iterations=9, tolerance=10.0)
     assert model.steps == 2

@@ -6,11 +6,12 @@ from dataclasses import dataclass
 from math import sqrt
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tonewright.operators.blocks import DocumentBlocks
 from tonewright.operators.scoring import score_entries
-from tonewright.operators.term_table import TermTable
+from tonewright.operators.term_table import BROADCAST_LIMIT, TermTable
 from tonewright.operators.tfidf import explode_entries
 from tonewright.sources.workspace import materialize
 
@@ -49,14 +50,16 @@ def fit_gradient_descent(
     step: float = 1.0,
     reg: float = 0.01,
     tolerance: float = 0.001,
+    limit: int = BROADCAST_LIMIT,
 ) -> LinearModel:
     """Gradient descent from zero with L2 shrinkage and a step of ``step / sqrt(k)``.
 
-    The rows are kept by document for the whole training, so the sums within a document need no
-    shuffle, and an iteration moves only one partial sum for each term and task. An evicted or
-    lost part is computed again from the stored weights. Each iteration's coefficients are written
-    out, which keeps the plan at one iteration however many there are. The old coefficient travels
-    through the aggregation with the gradient, so the update takes no join of its own.
+    The rows stay with their document for the whole training, so the sums within a document need no
+    shuffle, and an iteration moves only one partial sum for each term and task. Coefficients within
+    ``limit`` bytes are broadcast to the rows; beyond it, blocks of documents get the ones that they
+    need (:class:`DocumentBlocks`). Each iteration's coefficients are written out, which keeps the plan at one iteration
+    however many there are. The old coefficient travels through the aggregation with the gradient,
+    so the update takes no join of its own.
     """
     residual = LOSSES[loss]
     stored = materialize(weighted.select("doc_id", "label", "entries"), "train")
@@ -66,18 +69,12 @@ def fit_gradient_descent(
         .sortWithinPartitions("doc_id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    document = Window.partitionBy("doc_id")
-    table = None
-    taken = 0
-    for k in range(1, iterations + 1):
-        rate = step / sqrt(k)
-        if table is None:
-            known = rows.withColumn("coef", F.lit(0.0))
-        else:
-            known = table.attach(rows, fitted=True)
+    table, blocks, sent, taken = None, None, None, 0
+
+    def updated(known: DataFrame, document: WindowSpec, rate: float) -> DataFrame:
         margin = F.sum(F.col("w") * F.col("coef")).over(document)
         gradient = F.sum(F.col("w") * F.col("residual")) / n
-        updated = (
+        return (
             known.withColumn("residual", residual(margin, F.col("label")))
             .groupBy("term")
             .agg(
@@ -90,20 +87,45 @@ def fit_gradient_descent(
                 (F.col("old") * (1 - rate * reg) - rate * F.col("gradient")).alias("coef"),
             )
         )
-        written = materialize(updated, f"{loss}-{k}")
-        moved = F.col("coef") - F.col("old")
-        change = written.agg(
-            F.count("*").alias("rows"),
-            F.sum(F.octet_length("term")).alias("chars"),
-            F.sum("df").alias("total"),
-            F.coalesce(F.sum(moved * moved), F.lit(0.0)).alias("moved"),
-            F.coalesce(F.sum(F.col("coef") * F.col("coef")), F.lit(0.0)).alias("length"),
-        ).first()
-        table = TermTable.measured(written.select("term", "df", "coef"), change.asDict())
-        taken = k
-        if k > 1 and sqrt(change["moved"]) < tolerance * max(sqrt(change["length"]), 1.0):
-            break
-    rows.unpersist()
+
+    try:
+        for k in range(1, iterations + 1):
+            rate = step / sqrt(k)
+            if blocks is not None:
+                known = blocks.send(sent, "coef", how="inner")
+                sent = blocks.store(updated(known, blocks.document(), rate))
+                written = blocks.session.table(sent.name)
+            else:
+                known = rows.withColumn("coef", F.lit(0.0))
+                if table is not None:
+                    known = rows.join(F.broadcast(table.frame.drop("df")), "term")
+                written = materialize(
+                    updated(known, Window.partitionBy("doc_id"), rate), f"{loss}-{k}"
+                )
+            moved = F.col("coef") - F.col("old")
+            change = written.agg(
+                F.count("*").alias("rows"),
+                F.sum(F.octet_length("term")).alias("chars"),
+                F.sum("df").alias("total"),
+                F.coalesce(F.sum(moved * moved), F.lit(0.0)).alias("moved"),
+                F.coalesce(F.sum(F.col("coef") * F.col("coef")), F.lit(0.0)).alias("length"),
+            ).first()
+            table = TermTable.measured(written.select("term", "df", "coef"), change.asDict())
+            taken = k
+            if k > 1 and sqrt(change["moved"]) < tolerance * max(sqrt(change["length"]), 1.0):
+                break
+            if blocks is None and table.size > limit and k < iterations:
+                rows.unpersist()
+                entries = explode_entries(stored).select("term", "doc_id", "label", "w")
+                blocks = DocumentBlocks(entries, table.total)
+                sent = blocks.store(table.frame)
+    finally:
+        rows.unpersist()
+        if blocks is not None:
+            blocks.close()
+    if blocks is not None:  # for the caller's session, without the layout
+        plain = weighted.sparkSession.read.parquet(sent.path)
+        table = TermTable.measured(plain.select("term", "df", "coef"), change.asDict())
     return LinearModel(table, taken)
 
 

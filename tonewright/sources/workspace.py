@@ -6,12 +6,15 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _LOCAL_FOLDERS: dict[str, str] = {}
-_SCOPES: list[list[str]] = []
+#: Open scopes of this thread or task, the innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,11 +44,11 @@ def temporary(spark: SparkSession) -> Iterator[None]:
     tables made by this library below the shared folder are deleted.
     """
     own: list[str] = []
-    _SCOPES.append(own)
+    before = _SCOPES.set((*_SCOPES.get(), own))
     try:
         yield
     finally:
-        _SCOPES.remove(own)
+        _SCOPES.reset(before)
         for path in own:
             place = spark._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
@@ -61,9 +64,42 @@ def materialize(
     reading; it must describe the same columns. ``lasting``: see :func:`temporary`.
     """
     spark = frame.sparkSession
+    path = _new_path(spark, name, lasting)
+    frame.write.parquet(path)
+    return spark.read.schema(schema or frame.schema).parquet(path)
+
+
+def _new_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
     path = f"{shared_folder(spark)}/{name}-{new_name()}"
-    scopes = _SCOPES[:-1] if lasting else _SCOPES
+    scopes = _SCOPES.get()[:-1] if lasting else _SCOPES.get()
     if scopes:
         scopes[-1].append(path)
-    frame.write.parquet(path)
-    return spark.read.schema(schema or frame.schema).parquet(path)
+    return path
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """A table written in buckets: its name in the catalog, and its files."""
+
+    name: str
+    path: str
+
+
+def materialize_buckets(frame: DataFrame, name: str, key: str, buckets: int) -> Buckets:
+    """Writes a frame in ``buckets`` files by the hash of ``key``, so that joins and groups that hold the
+    key together find it so, and move nothing.
+
+    Spark keeps the layout in its catalog; :func:`forget` takes the entry out again.
+    """
+    spark = frame.sparkSession
+    table = f"{name.replace('-', '_')}_{new_name()}"
+    path = _new_path(spark, name)
+    writer = frame.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer.option("path", path).saveAsTable(table)
+    return Buckets(table, path)
+
+
+def forget(spark: SparkSession, *tables: Buckets) -> None:
+    """Takes tables out of the catalog; their files stay until their scope ends."""
+    for table in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table.name}")
