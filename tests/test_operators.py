@@ -330,12 +330,44 @@ def test_committee_equals_dense_models(corpus, fitted, rounds):
         for c, expected in enumerate(gaussian(train, terms, weights[r["doc_id"]])):
             got = r[f"score{c}"]
             assert got is None if expected is None else got == pytest.approx(expected, rel=1e-5)
+    blocked = committee.score_members(bucketed, trained, limit=0).collect()
+    by_key = {(r["doc_id"], r["model_id"]): (r["score0"], r["score1"]) for r in rows}
+    for r in blocked:
+        for got, want in zip((r["score0"], r["score1"]), by_key.pop((r["doc_id"], r["model_id"]))):
+            assert got is None if want is None else got == pytest.approx(want, rel=1e-9)
+    assert not by_key
+    packed = committee.member_scores(bucketed, trained)
+    for vote in (committee.soft_vote, committee.hard_vote):
+        a, b = ({r["doc_id"]: (r["votes0"], r["votes1"], r["prediction"]) for r in vote(x).collect()} for x in (scored, packed))
+        assert a.keys() == b.keys() and all(a[d] == pytest.approx(b[d]) for d in a)
     soft = committee.soft_vote(scored).collect()
     hard = committee.hard_vote(scored).collect()
     assert all(r["votes0"] + r["votes1"] == pytest.approx(3) for r in soft)
     assert all(r["votes0"] + r["votes1"] == 3 for r in hard)
 
 
+def test_committee_in_document_blocks_moves_no_rows(spark, corpus, fitted, monkeypatch):
+    """Nothing is exchanged between the rows of the corpus and the sums by document."""
+    plans = []
+    fold = committee._folded
+
+    def seen(*args):
+        folded = fold(*args)
+        plans.append(folded._jdf.queryExecution().executedPlan().toString())
+        return folded
+
+    monkeypatch.setattr(committee, "_folded", seen)
+    vocabulary, weighted = fitted
+    bucketed = weighted.withColumn("bucket", (F.col("doc_id") % 5).cast("int"))
+    bucketed = workspace.materialize(bucketed, "bucketed")
+    trained = committee.fit_committee(bucketed, vocabulary, models=4)
+    committee.member_scores(bucketed, trained, limit=0)
+    path = above(plans[0], "block_rows")
+    assert not any("Exchange" in p for p in path) and "Broadcast" not in plans[0]
+    committee.member_scores(bucketed, trained).collect()
+    assert "explode(members" not in plans[1] and plans[1].count("Exchange hashpartitioning(doc_id") == 1
+
+
 def test_votes_tie_for_class_zero(spark):
     scored = spark.createDataFrame(
         [(1, 0, -1.0, -2.0), (1, 1, -2.0, -1.0), (2, 0, -1.0, -1.0), (3, 0, None, -1.0)],

@@ -14,8 +14,9 @@ from math import log, pi
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonewright.operators.blocks import DocumentBlocks
 from tonewright.operators.split import stable_bucket
-from tonewright.operators.term_table import TermTable
+from tonewright.operators.term_table import BROADCAST_LIMIT, TermTable
 from tonewright.operators.tfidf import Vocabulary, explode_entries
 from tonewright.sources.workspace import materialize
 
@@ -48,7 +49,8 @@ class Member:
 class Committee:
     """Members by model id, and ``table(term, df, members)`` of means and variances.
 
-    The array of a term has at most one entry for each model that saw it.
+    The array of a term has a place for each member, in the order of their ids; it is NULL for a
+    model that didn't see the term.
     """
 
     members: dict[int, Member]
@@ -148,12 +150,14 @@ def fit_committee(
         for m, counts in n.items()
     }
 
-    packed = parameters.groupBy("term").agg(
+    values = F.struct("mu0", "var0", "mu1", "var1")
+    seen = parameters.groupBy("term").agg(
         F.count("*").alias("df"),
-        F.collect_list(F.struct("model_id", "mu0", "var0", "mu1", "var1")).alias("members"),
+        F.map_from_entries(F.collect_list(F.struct("model_id", values.alias("values")))).alias("by_model"),
     )
-    table = materialize(packed, "committee")
-    return Committee(members, TermTable.of(table, extra=F.size("members") * 64))
+    places = F.array(*(F.try_element_at("by_model", F.lit(m).cast("int")) for m in sorted(members)))
+    table = materialize(seen.select("term", "df", places.alias("members")), "committee")
+    return Committee(members, TermTable.of(table, extra=F.size("members") * 8 + F.col("df") * 40))
 
 
 def _epsilon(widest: float | None) -> float:
@@ -172,87 +176,123 @@ def _bases(counts, epsilon, sums, vocabulary_size) -> tuple[float | None, float
     )
 
 
-def score_members(rows: DataFrame, committee: Committee) -> DataFrame:
-    """Log probabilities ``score0``, ``score1`` of each document by each model.
+def member_scores(
+    rows: DataFrame, committee: Committee, limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """``scores``, an array of ``(model_id, score0, score1)``: each document's log probabilities by
+    all models.
+
+    The parameters of all models come with one join on the term, packed by model, and are summed in
+    place: four sums for each model and document. So what leaves a task is one row for each
+    document, whatever the number of models. A table of parameters within ``limit`` bytes is
+    broadcast. Beyond it, blocks of documents get the parameters of their terms, and nothing is
+    exchanged between the rows and the sums.
 
-    The parameters of all models come with one join on the term. A term the model has not seen
-    takes the same form for every model, so only seen terms are spread over the models and the
-    rest follows from what is missing of the document's squared length.
+    A term the model has not seen takes the same form for every model, so it is taken from what is
+    missing of the document's squared length.
     """
     keys = [c for c in rows.columns if c != "entries"]
-    square = F.aggregate("entries", F.lit(0.0), lambda a, e: a + e["w"] * e["w"])
-    documents = rows.withColumn("square", square).withColumn("n_terms", F.size("entries"))
-    keys = [*keys, "square", "n_terms"]
-
+    ids = sorted(committee.members)
+    exploded = explode_entries(rows, outer=True)
+    if committee.table.size <= limit:
+        return _folded(committee.table.attach(exploded, limit=limit), keys, ids, committee)
+    total = rows.agg(F.sum(F.greatest(F.size("entries"), F.lit(1)))).first()[0] or 0
+    blocks = DocumentBlocks(exploded, total)
+    try:
+        known = blocks.send(blocks.store(committee.table.frame), "members")
+        scored = _folded(known, [*keys, "block"], ids, committee).drop("block")
+        return materialize(scored, "scores", lasting=True, reader=rows.sparkSession)
+    finally:
+        blocks.close()
+
+
+def _folded(known: DataFrame, keys: list[str], ids: list[int], committee: Committee) -> DataFrame:
+    """Sums of rows ``(keys, term, w, members)`` by document, as scores."""
     w = F.col("w")
-    gains = [
-        (w * (F.col(f"member.mu{c}") - w / 2) / F.col(f"member.var{c}")).alias(f"gain{c}")
-        for c in (0, 1)
-    ]
-    seen = (
-        committee.table.attach(explode_entries(documents), how="inner")
-        .withColumn("member", F.explode("members"))
-        .select(*keys, "member.model_id", *gains, "w")
-    )
-    # One row without terms for every document and model, so that none is missing.
-    nothing = F.lit(None).cast("double")
-    every = documents.select(
-        *keys,
-        F.explode(F.array(*(F.lit(m).cast("int") for m in committee.members))).alias("model_id"),
-        nothing.alias("gain0"),
-        nothing.alias("gain1"),
-        nothing.alias("w"),
-    )
-    sums = seen.unionByName(every).groupBy(*keys, "model_id").agg(
-        F.coalesce(F.sum("gain0"), F.lit(0.0)).alias("gain0"),
-        F.coalesce(F.sum("gain1"), F.lit(0.0)).alias("gain1"),
-        F.coalesce(F.sum(w * w), F.lit(0.0)).alias("seen"),
-        F.count("w").alias("n_seen"),
-    )
-    # Exactly nothing when all terms were seen: the difference would be rounding error, and it is
-    # divided by a very small number.
-    members = committee.members.items()
-    epsilon = _by_model({m: x.epsilon for m, x in members})
-    unseen = F.when(F.col("n_seen") == F.col("n_terms"), 0.0).otherwise(
-        (F.col("square") - F.col("seen")) / (2 * epsilon)
-    )
+    sums = [F.coalesce(F.sum(w * w), F.lit(0.0)).alias("square"), F.count(w).alias("n_terms")]
+    for i in range(len(ids)):
+        member = F.get("members", F.lit(i))
+        for c in (0, 1):
+            gain = w * (member[f"mu{c}"] - w / 2) / member[f"var{c}"]
+            sums.append(F.coalesce(F.sum(gain), F.lit(0.0)).alias(f"gain{c}_{i}"))
+        seen = F.when(member.isNotNull(), w)
+        sums.append(F.coalesce(F.sum(seen * seen), F.lit(0.0)).alias(f"seen_{i}"))
+        sums.append(F.count(seen).alias(f"n_seen_{i}"))
+    totals = known.groupBy(*keys).agg(*sums)
     scores = []
-    for c in (0, 1):
-        base = _by_model({m: x.base[c] for m, x in members})
-        scores.append((base + F.col(f"gain{c}") - unseen).alias(f"score{c}"))
-    drop = ("square", "n_terms")
-    return sums.select(*(k for k in keys if k not in drop), "model_id", *scores)
-
-
-def _probability(this: str, other: str) -> Column:
+    for i, m in enumerate(ids):
+        member = committee.members[m]
+        # Exactly nothing when all terms were seen: the difference would be rounding error, and it
+        # is divided by a very small number.
+        unseen = F.when(F.col(f"n_seen_{i}") == F.col("n_terms"), 0.0).otherwise(
+            (F.col("square") - F.col(f"seen_{i}")) / (2 * member.epsilon)
+        )
+        parts = [F.lit(m).cast("int").alias("model_id")]
+        for c in (0, 1):
+            base = F.lit(member.base[c]).cast("double")
+            parts.append((base + F.col(f"gain{c}_{i}") - unseen).alias(f"score{c}"))
+        scores.append(F.struct(*parts))
+    empty = "array<struct<model_id: int, score0: double, score1: double>>"
+    return totals.select(*keys, F.array(*scores).cast(empty).alias("scores"))
+
+
+def score_members(rows: DataFrame, committee: Committee, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """:func:`member_scores` with a row for each document and model."""
+    packed = member_scores(rows, committee, limit)
+    keys = [c for c in packed.columns if c != "scores"]
+    return packed.select(*keys, F.inline("scores"))
+
+
+def _probability(this: Column, other: Column) -> Column:
     """Softmax of two scores; a missing score is a probability of zero."""
     return (
-        F.when(F.col(this).isNull(), 0.0)
-        .when(F.col(other).isNull(), 1.0)
-        .otherwise(1.0 / (1.0 + F.exp(F.col(other) - F.col(this))))
+        F.when(this.isNull(), 0.0)
+        .when(other.isNull(), 1.0)
+        .otherwise(1.0 / (1.0 + F.exp(other - this)))
     )
 
 
-def soft_vote(scored: DataFrame) -> DataFrame:
-    """Sums the class probabilities of all models; class 0 wins a tie."""
+def _packed(scored: DataFrame) -> DataFrame:
+    """Rows by document and model put together by document; packed ones as they are."""
+    if "scores" in scored.columns:
+        return scored
     keys = [c for c in scored.columns if c not in ("model_id", "score0", "score1")]
-    votes = scored.groupBy(*keys).agg(
-        F.sum(_probability("score0", "score1")).alias("votes0"),
-        F.sum(_probability("score1", "score0")).alias("votes1"),
+    return scored.groupBy(*keys).agg(
+        F.collect_list(F.struct("model_id", "score0", "score1")).alias("scores")
     )
-    return votes.withColumn("prediction", _winner())
+
+
+def _voted(scored: DataFrame, zero: Column, vote) -> DataFrame:
+    """Votes are added up inside the row."""
+
+    def count(c: int) -> Column:
+        return F.aggregate("scores", zero, lambda total, m: total + vote(m, c)).alias(f"votes{c}")
+
+    votes = [count(c) for c in (0, 1)]
+    packed = _packed(scored)
+    keys = [c for c in packed.columns if c != "scores"]
+    return packed.select(*keys, *votes).withColumn("prediction", _winner())
+
+
+def soft_vote(scored: DataFrame) -> DataFrame:
+    """Sums the class probabilities of all models; class 0 wins a tie."""
+
+    def chance(member: Column, c: int) -> Column:
+        return _probability(member[f"score{c}"], member[f"score{1 - c}"])
+
+    return _voted(scored, F.lit(0.0), chance)
 
 
 def hard_vote(scored: DataFrame) -> DataFrame:
     """Counts the models that decide for each class; class 0 wins a tie, of models too."""
-    keys = [c for c in scored.columns if c not in ("model_id", "score0", "score1")]
-    for_one = F.when(F.col("score0").isNull(), True).otherwise(
-        F.coalesce(F.col("score1") > F.col("score0"), F.lit(False))
-    )
-    votes = scored.groupBy(*keys).agg(
-        F.count(F.when(~for_one, 1)).alias("votes0"), F.count(F.when(for_one, 1)).alias("votes1")
-    )
-    return votes.withColumn("prediction", _winner())
+
+    def choice(member: Column, c: int) -> Column:
+        for_one = F.when(member["score0"].isNull(), True).otherwise(
+            F.coalesce(member["score1"] > member["score0"], F.lit(False))
+        )
+        return (for_one if c else ~for_one).cast("bigint")
+
+    return _voted(scored, F.lit(0).cast("bigint"), choice)
 
 
 def _winner() -> Column:

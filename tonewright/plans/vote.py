@@ -12,7 +12,7 @@ from tonewright.operators.committee import (
     Committee,
     fit_committee,
     hard_vote,
-    score_members,
+    member_scores,
     soft_vote,
     with_bucket,
 )
@@ -40,13 +40,13 @@ def committee_of(
 def vote_on_holdout(labeled: DataFrame, vote=soft_vote, models: int = TRAIN_BUCKETS) -> DataFrame:
     """Votes on the documents of the buckets held out."""
     committee, rows = committee_of(labeled, models=models)
-    return vote(score_members(rows.where(F.col("bucket") >= models), committee))
+    return vote(member_scores(rows.where(F.col("bucket") >= models), committee))
 
 
 def vote_on_all(labeled: DataFrame, vote=hard_vote) -> DataFrame:
     """Votes on every document, those trained on too."""
     committee, rows = committee_of(labeled)
-    return vote(score_members(rows, committee))
+    return vote(member_scores(rows, committee))
 
 
 def vote_on_unlabeled(corpus: PreparedCorpus, vote=hard_vote) -> DataFrame:
@@ -54,7 +54,7 @@ def vote_on_unlabeled(corpus: PreparedCorpus, vote=hard_vote) -> DataFrame:
     rows = materialize(with_bucket(corpus.weighted, BUCKETS), "bucketed")
     committee = fit_committee(rows, corpus.vocabulary, TRAIN_BUCKETS)
     unlabeled = materialize(weigh(corpus.unlabeled, corpus.vocabulary), "unlabeled-weights")
-    return vote(score_members(unlabeled, committee))
+    return vote(member_scores(unlabeled, committee))
 
 
 def voted_accuracy(labeled: DataFrame) -> DataFrame:

@@ -55,18 +55,23 @@ def temporary(spark: SparkSession) -> Iterator[None]:
 
 
 def materialize(
-    frame: DataFrame, name: str, schema: StructType | None = None, lasting: bool = False
+    frame: DataFrame,
+    name: str,
+    schema: StructType | None = None,
+    lasting: bool = False,
+    reader: SparkSession | None = None,
 ) -> DataFrame:
     """Writes a frame as a table and reads it back.
 
     This cuts the lineage in a way that outlives lost executors, stores the data by column, and
     lets later scans prune columns and push filters down. ``schema`` replaces the stored schema on
     reading; it must describe the same columns. ``lasting``: see :func:`temporary`.
+    ``reader`` is the session that the result belongs to, if it isn't the frame's.
     """
     spark = frame.sparkSession
     path = _new_path(spark, name, lasting)
     frame.write.parquet(path)
-    return spark.read.schema(schema or frame.schema).parquet(path)
+    return (reader or spark).read.schema(schema or frame.schema).parquet(path)
 
 
 def _new_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
