@@ -216,23 +216,60 @@ def random_split(spark, sf):
     )
 
 
+def _as_files(rows: DataFrame, folder: str) -> None:
+    """One file for each row of ``doc_id, text``; the id is the first line."""
+    lead = F.concat(F.col("doc_id").cast("string"), F.lit("\n"))
+    files.write_texts(rows.select(F.concat(lead, "text").alias("text")), folder)
+
+
+def _from_files(back: DataFrame) -> DataFrame:
+    """``doc_id`` and the digest of the text, without the line feed that the writer adds."""
+    doc_id = F.substring_index("text", "\n", 1)
+    start = F.length(doc_id) + 2
+    body = F.substring(F.col("text"), start, F.length("text") - start)
+    extra = [c for c in back.columns if c not in ("doc_id", "name", "text")]
+    return back.select(doc_id.cast("bigint").alias("doc_id"), *extra, F.md5(body).alias("digest"))
+
+
 def corpus_roundtrip(spark, sf):
-    """The labeled documents as one file each, read back from their folders.
+    """The labeled documents as one file each, read back from the folders of their classes.
 
     One file for each document is the format that is read, not a way to store a large corpus.
     """
     folder = f"{workspace.shared_folder(spark)}/corpus-{workspace.new_name()}"
     corpus = workspace.materialize(_labeled(spark, sf), "corpus")
     for label, part in ((1.0, "pos"), (0.0, "neg")):
-        one = corpus.where(F.col("label") == label).select("doc_id", "text")
-        one.write.partitionBy("doc_id").text(f"{folder}/{part}")
-    back = files.read_labeled(spark, folder)
-    body = F.expr("substring(text, 1, length(text) - 1)")  # the writer ends a file with a line feed
-    return back.select(
-        F.regexp_extract("doc_id", "doc_id=([0-9]+)", 1).cast("bigint").alias("doc_id"),
-        "label",
-        F.md5(body).alias("digest"),
+        _as_files(corpus.where(F.col("label") == label), f"{folder}/{part}")
+    return _from_files(files.read_labeled(spark, folder))
+
+
+def unlabeled_folder(spark, sf):
+    """The documents without a label as files, read as the corpus that is to be predicted."""
+    folder = f"{workspace.shared_folder(spark)}/unlabeled-{workspace.new_name()}"
+    everything = tables.with_label_if_known(
+        tables.read_documents(spark, sf), tables.read_labels(spark, sf)
     )
+    _as_files(everything.where("label IS NULL"), folder)
+    back = files.read_unlabeled(spark, folder)
+    listed = files.list_files(spark, folder).select(F.col("path").alias("doc_id"), "length")
+    return _from_files(back.join(listed, "doc_id"))
+
+
+_BAD_BYTES = ("FF", "C3", "C080", "EDA080", "F0908D")
+
+
+def decoded_folder(spark, sf):
+    """All documents as files, every second one with bytes that are no UTF-8 in front; read twice,
+    with replacements and with NULL for the whole text."""
+    folder = f"{workspace.shared_folder(spark)}/bytes-{workspace.new_name()}"
+    documents = tables.read_documents(spark, sf)
+    bad = F.array(*(F.unhex(F.lit(x)) for x in _BAD_BYTES))
+    front = F.when(F.col("doc_id") % 2 == 1, F.get(bad, (F.col("doc_id") % 5).cast("int")))
+    raw = F.concat(F.coalesce(front, F.unhex(F.lit(""))), F.col("text").cast("binary"))
+    _as_files(documents.select("doc_id", raw.cast("string").alias("text")), folder)
+    whole = files.read_unlabeled(spark, folder, malformed="null")
+    whole = whole.select("doc_id", F.col("text").isNull().alias("malformed"))
+    return _from_files(files.read_unlabeled(spark, folder).join(whole, "doc_id"))
 
 
 # --- vectorizing --------------------------------------------------------------------------------
@@ -497,6 +534,8 @@ def queries() -> dict[str, Query]:
         "bucket_split": bucket_split,
         "random_split": random_split,
         "corpus_roundtrip": corpus_roundtrip,
+        "unlabeled_folder": unlabeled_folder,
+        "decoded_folder": decoded_folder,
         "term_frequency": term_frequency,
         "document_frequency": document_frequency,
         "vocabulary": vocabulary,

@@ -811,6 +811,11 @@ ORACLES: dict[str, str] = {
     f"{_bucket('doc_id', 50)} < 40 AS in_committee, {_TRAIN} AS in_train FROM documents",
     "corpus_roundtrip": "SELECT d.doc_id, CAST(quality AS DOUBLE) AS label, md5(text) AS digest "
     "FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
+    "unlabeled_folder": "SELECT doc_id, octet_length(encode(doc_id || chr(10) || text)) + 1 AS length, "
+    "md5(text) AS digest FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    # Each byte that can't go on a sequence is replaced: 1, 1, 2, 3 and 1 replacements.
+    "decoded_folder": "SELECT doc_id, doc_id % 2 = 1 AS malformed, md5(CASE WHEN doc_id % 2 = 1 THEN "
+    "repeat(chr(65533), [1, 1, 2, 3, 1][doc_id % 5 + 1]) ELSE '' END || text) AS digest FROM documents",
     "term_frequency": _sql(_weight_ctes(), "SELECT doc_id, term, tf FROM tf"),
     "document_frequency": _sql(_weight_ctes(), "SELECT term, df FROM vocab"),
     "vocabulary": _sql([*_weight_ctes(), _INDEX], "SELECT term, idx, df FROM indexed"),

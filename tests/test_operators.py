@@ -443,6 +443,37 @@ def test_readers(spark, folders):
     assert {(r["name"], r["text"]) for r in unlabeled} >= {("pos", "wonderful good"), ("6", "awful bad")}
 
 
+def test_bytes_that_are_no_text(spark, tmp_path):
+    """Malformed files are read, in either way, and no other file changes."""
+    contents = {
+        "good.txt": "naïve 日本 🎉".encode(), "empty.txt": b"", "lone.v2.txt": b"a\xffb", "cut.txt": b"ab\xe2\x82",
+        "overlong.txt": b"\xc0\x80x", "surrogate.txt": b"\xed\xa0\x80", "latin.txt": "é".encode("latin-1"),
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    del contents["empty.txt"]  # Spark's file index leaves empty files out
+    got = {r["name"]: r["text"] for r in files.read_unlabeled(spark, str(tmp_path)).collect()}
+    assert got == {n.split(".")[0]: c.decode("utf-8", "replace") for n, c in contents.items()}
+    strict = {r["name"]: r["text"] for r in files.read_unlabeled(spark, str(tmp_path), malformed="null").collect()}
+    assert {n for n, t in strict.items() if t is None} == {"lone", "cut", "overlong", "surrogate", "latin"}
+    listed = {r["name"]: r["length"] for r in files.list_files(spark, str(tmp_path)).collect()}
+    assert listed == {n.split(".")[0]: len(c) for n, c in contents.items()}
+    one = spark.createDataFrame([(b"\xe9",)], "content binary")
+    assert one.select(files.decoded(F.col("content"), "ISO-8859-1").alias("t")).first()["t"] == "é"
+    stored = files.compact(files.read_unlabeled(spark, str(tmp_path)), str(tmp_path / "table"))
+    assert stored.count() == len(contents)
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    files.write_texts(spark.range(200).select(F.col("id").cast("string").alias("text")), str(tmp_path / "many"))
+    many = [p for p in (tmp_path / "many").iterdir() if p.suffix == ".txt"]
+    assert len(many) == 200
+    raw = spark.read.format("binaryFile").load(str(tmp_path / "many"))
+    assert raw.rdd.getNumPartitions() < 50
+    back = files.read_unlabeled(spark, str(tmp_path / "many"))
+    assert sorted(int(r["text"]) for r in back.collect()) == list(range(200))
+
+
 @pytest.mark.parametrize(
     "classifier, options",
     [("bayes", {}), ("svm", {"iterations": 2}), ("logistic", {"iterations": 2}), ("forest", {}), ("boosting", {"iterations": 2})],

@@ -13,30 +13,72 @@ def document_name(file_name: Column) -> Column:
     return F.substring_index(file_name, ".", 1)
 
 
-def _read_texts(spark: SparkSession, *paths: str) -> DataFrame:
-    # ``wholetext`` has to be an argument of ``text``: its default overrides an option.
-    files = spark.read.option("recursiveFileLookup", True).text(list(paths), wholetext=True)
-    documents = files.select(
-        F.col("_metadata.file_path").alias("doc_id"),
-        document_name(F.col("_metadata.file_name")).alias("name"),
-        F.col("value").alias("text"),
-    )
+def decoded(content: Column, encoding: str = "UTF-8") -> Column:
+    """Text of a file's bytes. In UTF-8 each malformed sequence becomes U+FFFD, as the standard
+    recommends; no sequence of bytes fails the job."""
+    if encoding.upper() == "UTF-8":
+        return F.make_valid_utf8(content.cast("string"))
+    return F.decode(content, encoding)
+
+
+def is_malformed(content: Column) -> Column:
+    """Whether bytes are no UTF-8."""
+    return ~F.is_valid_utf8(content.cast("string"))
+
+
+def list_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """``path, name, length`` of all files below the paths. No file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.select("path", _name().alias("name"), "length")
+
+
+def _name() -> Column:
+    return document_name(F.element_at(F.split("path", "/"), -1))
+
+
+def _read_texts(spark: SparkSession, *paths: str, malformed: str = "replace") -> DataFrame:
+    """One document for each file, decoded from its bytes.
+
+    Spark lists the folder once and deals out whole files by their size, small ones many to a task.
+    Files that are no UTF-8 are read with their malformed sequences replaced; ``"null"`` gives them a
+    NULL text instead, so that they can be told apart and none is lost. An empty file is no document:
+    Spark's index of files leaves it out.
+    """
+    if malformed not in ("replace", "null"):
+        raise ValueError(f"malformed is 'replace' or 'null', not {malformed!r}")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    text = decoded(F.col("content"))
+    if malformed == "null":
+        text = F.when(~is_malformed(F.col("content")), text)
+    documents = files.select(F.col("path").alias("doc_id"), _name().alias("name"), text.alias("text"))
     return spread(documents, "doc_id")
 
 
-def read_labeled(spark: SparkSession, path: str) -> DataFrame:
+def read_labeled(spark: SparkSession, path: str, malformed: str = "replace") -> DataFrame:
     """Texts below ``path/pos`` with label 1.0 and below ``path/neg`` with label 0.0.
 
     One file is one document. The two classes are read apart, so a folder called ``pos`` further
     up or down the path does not decide a label.
     """
-    positive = _read_texts(spark, f"{path}/pos").withColumn("label", F.lit(1.0))
-    negative = _read_texts(spark, f"{path}/neg").withColumn("label", F.lit(0.0))
+    positive = _read_texts(spark, f"{path}/pos", malformed=malformed).withColumn("label", F.lit(1.0))
+    negative = _read_texts(spark, f"{path}/neg", malformed=malformed).withColumn("label", F.lit(0.0))
     return union_classes(positive, negative)
 
 
-def read_unlabeled(spark: SparkSession, path: str) -> DataFrame:
-    return _read_texts(spark, path)
+def read_unlabeled(spark: SparkSession, path: str, malformed: str = "replace") -> DataFrame:
+    return _read_texts(spark, path, malformed=malformed)
+
+
+def write_texts(texts: DataFrame, path: str) -> None:
+    """One file for each row of a ``text`` column (its bytes and a line feed), all in one folder."""
+    texts.select("text").write.option("maxRecordsPerFile", 1).text(path)
+
+
+def compact(documents: DataFrame, path: str) -> DataFrame:
+    """Stores documents that were read from many small files as a table, which later jobs read
+    instead: a folder of files is listed and opened once."""
+    documents.write.parquet(path)
+    return documents.sparkSession.read.parquet(path)
 
 
 def union_classes(positive: DataFrame, negative: DataFrame) -> DataFrame:
