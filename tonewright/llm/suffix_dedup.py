@@ -335,7 +335,10 @@ def _by_document(table: pa.Table) -> pa.Table:
 
 
 _STRETCHES = "bucket bigint, ids binary, keys binary, starts binary, anchors binary, sizes binary, bytes binary"
-_RUNS = "id bigint, key int, runs binary"
+_PACKED = "part bigint, ids binary, keys binary, lows binary, highs binary"
+_RUNS = "id bigint, key bigint, runs binary"
+#: Bytes of text for each bucket of anchors, and documents whose runs are put together at once.
+BUCKET_BYTES, PART = 7 << 20, 1 << 16
 
 
 def _squeezed(values: np.ndarray | bytes) -> bytes:
@@ -416,7 +419,7 @@ def _send_stretches(
 
         def add(b, row, start, size, hashes, body):
             values = (
-                b, _squeezed(np.diff(ids[row], prepend=0)), _squeezed((keys[row] & 0x7FFFFFFF).astype(np.int32)),
+                b, _squeezed(np.diff(ids[row], prepend=0)), _squeezed(keys[row].astype(np.int64)),
                 _squeezed(start.astype(np.int32)), _squeezed(hashes.astype(np.uint32)),
                 _squeezed(size.astype(np.int32)), _squeezed(body),
             )
@@ -439,11 +442,33 @@ def _send_stretches(
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
 
-def _runs_of(ids: np.ndarray, keys: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Table:
-    """Removed runs of each document as pairs of 32-bit integers."""
-    order = np.lexsort((begin, keys, ids))
-    ids, keys = ids[order], keys[order]
-    pairs = np.stack([begin[order], end[order]], axis=1).astype(np.int32)
+def _packed_runs(
+    ids: np.ndarray, keys: np.ndarray, begin: np.ndarray, end: np.ndarray, parts: int
+) -> pa.Table:
+    """Removed runs, one row for each part of the documents: a bucket meets most documents, so rows
+    for each bucket and document would grow with the square of the input."""
+    mixed = (ids.astype(np.uint64) * np.uint64(_ODD)) ^ keys.astype(np.uint64)
+    part = ((mixed * np.uint64(_ODD)) >> np.uint64(33)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    numbers, first = np.unique(part[order], return_index=True)
+    edges = np.append(first, len(order))
+    names = [c.split()[0] for c in _PACKED.split(", ")]
+    columns: list[list] = [numbers.astype(np.int64).tolist(), [], [], [], []]
+    for i in range(len(numbers)):
+        take = order[edges[i] : edges[i + 1]]
+        values = (ids[take], keys[take], begin[take].astype(np.int32), end[take].astype(np.int32))
+        for column, value in zip(columns[1:], values, strict=True):
+            column.append(_squeezed(np.ascontiguousarray(value)))
+    kinds = [pa.int64(), *[pa.binary()] * 4]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+def _by_row(table: pa.Table) -> pa.Table:
+    """Removed runs of each document of a part, as pairs of 32-bit integers."""
+    ids, keys = _opened(table, "ids", np.int64), _opened(table, "keys", np.int64)
+    pairs = np.stack([_opened(table, "lows", np.int32), _opened(table, "highs", np.int32)], axis=1)
+    order = np.lexsort((pairs[:, 0], keys, ids))
+    ids, keys, pairs = ids[order], keys[order], pairs[order]
     head = np.ones(len(ids), dtype=bool)
     head[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
     first = np.flatnonzero(head)
@@ -451,27 +476,27 @@ def _runs_of(ids: np.ndarray, keys: np.ndarray, begin: np.ndarray, end: np.ndarr
     return pa.table(
         {
             "id": pa.array(ids[first], pa.int64()),
-            "key": pa.array(keys[first], pa.int32()),
+            "key": pa.array(keys[first], pa.int64()),
             "runs": pa.array([pairs[ends[i] : ends[i + 1]].tobytes() for i in range(len(first))], pa.binary()),
         }
     )
 
 
-def _sort_bucket(table: pa.Table) -> pa.Table:
-    parts = (zstandard.ZstdDecompressor().decompress(x) for x in table.column("ids").to_pylist())
-    ids = np.concatenate([np.cumsum(np.frombuffer(x, np.int64)) for x in parts])
-    keys = _opened(table, "keys", np.int32)
+def _sort_bucket(table: pa.Table, parts: int) -> pa.Table:
+    opened = (zstandard.ZstdDecompressor().decompress(x) for x in table.column("ids").to_pylist())
+    ids = np.concatenate([np.cumsum(np.frombuffer(x, np.int64)) for x in opened])
+    keys = _opened(table, "keys", np.int64)
     starts = _opened(table, "starts", np.int32).astype(np.int64)
     sizes = _opened(table, "sizes", np.int32).astype(np.int64)
     if table.column("bucket")[0].as_py() < 0:
-        return _runs_of(ids, keys, starts, starts + sizes)
+        return _packed_runs(ids, keys, starts, starts + sizes, parts)
     body = _opened(table, "bytes", np.uint8).tobytes()
     ends = np.cumsum(sizes)
     pieces = [body[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
     runs = np.array(repeated_starts(pieces, _opened(table, "anchors", np.uint32), ids), dtype=np.int64)
     runs = runs.reshape(-1, 3)
     which, begin = runs[:, 0], starts[runs[:, 0]] + runs[:, 1]
-    return _runs_of(ids[which], keys[which], begin, begin + runs[:, 2] + LENGTH - 1)
+    return _packed_runs(ids[which], keys[which], begin, begin + runs[:, 2] + LENGTH - 1, parts)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.RecordBatch]:
@@ -525,7 +550,8 @@ def sent_stretches(docs: DataFrame) -> DataFrame:
         return _shared_anchors(table, hot)
 
     rows = _rows(docs).where(F.octet_length("text") >= LENGTH)
-    buckets = 1 << max(0, (docs.count() // 2048).bit_length())
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 << max(0, (size // BUCKET_BYTES).bit_length())
     met = rows.select("id", "text", "key").mapInArrow(partial(_send_anchors, buckets=buckets), _MET)
     shared = met.groupBy("bucket").applyInArrow(shared_anchors, _MET)
     candidates = shared.groupBy("batch").applyInArrow(_by_document, _CANDIDATES)
@@ -538,12 +564,19 @@ def sent_stretches(docs: DataFrame) -> DataFrame:
 
 
 def removed_runs(docs: DataFrame) -> DataFrame:
-    """``id, key, parts``: the removed runs of documents that have any, in parts of binary pairs.
+    """``id, key, runs``: the removed runs of documents that have any, as binary pairs.
 
-    ``id`` is the document's id or the largest integer, ``key`` the lower half of a hash of its text.
+    ``id`` is the document's id or the largest integer, ``key`` a hash of its text. Runs leave a
+    bucket as they came in, many documents to a row, and are put together by parts of the documents.
     """
-    runs = sent_stretches(docs).groupBy("bucket").applyInArrow(_sort_bucket, _RUNS)
-    return runs.groupBy("id", "key").agg(F.collect_list("runs").alias("parts"))
+    slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(slots, docs.count() // PART)
+
+    def sort_bucket(table: pa.Table) -> pa.Table:
+        return _sort_bucket(table, parts)
+
+    packed = sent_stretches(docs).groupBy("bucket").applyInArrow(sort_bucket, _PACKED)
+    return packed.groupBy("part").applyInArrow(_by_row, _RUNS)
 
 
 def _uncut(batches: Iterator[pa.RecordBatch], bits: bytes, as_text: bool) -> Iterator[pa.RecordBatch]:
@@ -563,14 +596,15 @@ def remove_repeats(
     """
     with temporary(docs.sparkSession):
         runs = materialize(removed_runs(docs), "runs", lasting=True)
-    rows = _rows(docs, F.struct(*carry).alias("row")).withColumn("key", F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    rows = _rows(docs, F.struct(*carry).alias("row"))
     rows = rows.select(F.xxhash64("id", "key").alias("at"), "row", "text", "id", "key")
     bits = key_filter.bits_of(runs.select(F.xxhash64("id", "key").alias("at")), "at")
     kind, body = rows.schema["row"].dataType.simpleString(), "string" if as_text else "binary"
     schema = f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {body}"
     whole = rows.mapInArrow(partial(_uncut, bits=bits, as_text=as_text), schema)
     some = rows.mapInArrow(
-        partial(key_filter.chosen, bits=bits), f"at bigint, row {kind}, text string, id bigint, key int"
+        partial(key_filter.chosen, bits=bits), f"at bigint, row {kind}, text string, id bigint, key bigint"
     )
-    met = some.join(runs, ["id", "key"], "left").select("row", "text", "parts")
+    met = some.join(runs, ["id", "key"], "left")
+    met = met.select("row", "text", F.when(F.col("runs").isNotNull(), F.array("runs")).alias("parts"))
     return whole.unionByName(met.mapInArrow(partial(_cut, as_text=as_text), schema))
