@@ -18,7 +18,7 @@ common. Where members are still in different components, they meet another membe
 for each list, and what is open after that is joined over whole sets: in the order of rarity, the
 first seventh of the smaller set and the first quarter of the larger one must share an element.
 Pairs of one component are left out, and so are those for which the elements that no other open set
-has leave no room for the similarity.
+has, or what the two share with a hub that both have met, leave no room for the similarity.
 
 Defined results: null and empty texts have the empty set and are linked with nothing; texts of
 fewer than five words are one shingle; repeated rows share their class; a null ``doc_id`` never
@@ -48,7 +48,7 @@ SKETCH = 128
 #: Orders in which members are drawn: lists of a group have few drawn members between them.
 DRAWS = 16
 _KNOWN: dict[bytes, int] = {}
-_MOST = 500_000
+_MOST = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -228,9 +228,63 @@ def _reaches(n: str, own: str, other: str) -> Column:
     return 100 * (F.col(n) - F.col(own)) >= 75 * (F.col(other) + F.col(own))
 
 
-def _crossed(docs: DataFrame, open_: DataFrame, keys: DataFrame) -> DataFrame:
-    """Pairs of different labels that may be similar, over whole sets of ``open_(node, label)``."""
-    texts = _texts(docs, materialize(keys.join(open_, "node", "left_semi"), "open-nodes"))
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[int, np.ndarray] = {}
+    for batch in batches:
+        shared = []
+        for hub, x, y in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            if hub not in known:
+                if len(known) > 500:
+                    known.clear()
+                known[hub] = shingle_hashes(y)
+            shared.append(len(np.intersect1d(shingle_hashes(x), known[hub], assume_unique=True)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(shared, pa.int64())], ["node", "hub", "shared"]
+        )
+
+
+def _met_hubs(texts: DataFrame, met: DataFrame) -> DataFrame:
+    """``node, hubs``: how many elements a set shares with each hub that it has met, itself too."""
+    left = texts.select("node", F.col("text").alias("left"))
+    right = texts.select(F.col("node").alias("hub"), F.col("text").alias("right"))
+    pairs = met.join(left, "node").join(right, "hub").select("node", "hub", "left", "right")
+    dealt = pairs.repartition("node").sortWithinPartitions("hub")
+    shared = dealt.mapInArrow(_overlaps, "node bigint, hub bigint, shared bigint")
+    return shared.groupBy("node").agg(F.collect_list(F.struct("hub", "shared")).alias("hubs"))
+
+
+def _room_beside_hubs(x: str, y: str) -> Column:
+    """Whether two sets can be similar, by each hub that both have met.
+
+    What they share lies in the hub, where it is at most what either shares with the hub, or outside,
+    where it is at most what either has there besides its own elements. It must be 3/7 of both
+    sizes. A set that isn't similar to the hub of a group of copies is thereby kept apart from all
+    copies that differ from the hub in elements of their own.
+    """
+
+    def outside(member: Column, side: str) -> Column:
+        return F.col(f"n_{side}") - member["shared"] - F.col(f"own_{side}")
+
+    def too_few(a: Column, b: Column) -> Column:
+        most = F.least(a["shared"], b["shared"]) + F.least(outside(a, x), outside(b, y))
+        return (a["hub"] == b["hub"]) & (7 * most < 3 * (F.col(f"n_{x}") + F.col(f"n_{y}")))
+
+    return ~F.exists(f"hubs_{x}", lambda a: F.exists(f"hubs_{y}", lambda b: too_few(a, b)))
+
+
+def _crossed(docs: DataFrame, open_: DataFrame, hubs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Pairs of different labels that may be similar, over whole sets of ``open_(node, label)``.
+
+    ``hubs(node, hub)`` are those that the sets have met. Hubs count among the sets, so that an element
+    which a set shares with one isn't its own.
+    """
+    met = hubs.join(open_.select("node"), "node", "left_semi")
+    met = met.unionByName(met.select(F.col("hub").alias("node"), "hub"))
+    met = met.unionByName(open_.select("node", F.col("node").alias("hub"))).distinct()
+    met = materialize(met, "met")
+    sets = met.select("node").distinct()
+    texts = _texts(docs, materialize(keys.join(sets, "node", "left_semi"), "open-nodes"))
+    met_hubs = materialize(_met_hubs(texts, met), "met-hubs")
     values = texts.mapInArrow(_sets, "node bigint, whole array<bigint>").select(
         "node", F.size("whole").alias("n"), F.explode("whole").alias("value")
     )
@@ -246,14 +300,15 @@ def _crossed(docs: DataFrame, open_: DataFrame, keys: DataFrame) -> DataFrame:
     )
     place = F.col("own") + F.col("place")
     longer = placed.where(place <= F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1)
-    longer = materialize(longer.join(open_, "node"), "open-postings")
+    longer = materialize(longer.join(open_, "node").join(met_hubs, "node"), "open-postings")
     shorter = longer.where(place <= F.col("n") - F.ceil(F.col("n") * 6 / 7) + 1)
-    left = shorter.select("value", *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "own", "label")))
-    right = longer.select("value", *(F.col(c).alias(f"{c}_y") for c in ("node", "n", "own", "label")))
+    names = ("node", "n", "own", "label", "hubs")
+    left = shorter.select("value", *(F.col(c).alias(f"{c}_x") for c in names))
+    right = longer.select("value", *(F.col(c).alias(f"{c}_y") for c in names))
     sized = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y")))
     met = left.join(right, "value").where(
         (F.col("label_x") != F.col("label_y")) & sized & _reaches("n_x", "own_x", "n_y") & _reaches("n_y", "own_y", "n_x")
-    )
+    ).where(_room_beside_hubs("x", "y"))
     return _pairs(met.select(F.col("node_x").alias("x"), F.col("node_y").alias("y")))
 
 
@@ -296,7 +351,8 @@ def links_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     links = links.unionByName(verify(docs, more, keys))
 
     open_ = _open_lists(open_.select("value", "node"), links)
-    rest = _crossed(docs, open_.select("node", "label").distinct(), keys)
+    met_hubs = hubs.select(F.col("x").alias("node"), F.col("y").alias("hub")).where("node <> hub")
+    rest = _crossed(docs, open_.select("node", "label").distinct(), met_hubs.distinct(), keys)
     rest = rest.join(tried.unionByName(more), ["a", "b"], "left_anti")
     return links.unionByName(verify(docs, materialize(estimate(rest, sketches), "rest"), keys))
 
