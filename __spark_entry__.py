@@ -26,6 +26,7 @@ from tonewright.operators import (  # noqa: E402
     linear,
     sampling,
     split,
+    stored_models,
     tfidf,
     trees,
     vectors,
@@ -340,7 +341,64 @@ def vector_pipeline(spark, sf):
     fitted, weighted = _fitted(spark, sf)
     stored = vectors.to_vectors(weighted, vectors.index_terms(fitted))
     model = estimators.naive_bayes().fit(stored)
-    return estimators.predict(model, stored).select("doc_id", "label", "prediction")
+    scored = estimators.predict(model, stored).select("doc_id", "prediction")
+    held = stored.select("doc_id", "label", *vectors.digest(F.col("features")))
+    return held.join(scored, "doc_id")
+
+
+def vector_blocks(spark, sf):
+    """Vectors of at most 1,000 columns, where a corpus has more terms than a vector has columns."""
+    fitted, weighted = _fitted(spark, sf)
+    blocks = vectors.to_vector_blocks(weighted, vectors.index_terms(fitted), 1000)
+    return blocks.select("doc_id", "block", *vectors.digest(F.col("features")))
+
+
+# --- stored models ------------------------------------------------------------------------------
+
+
+def _halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two batches of a corpus: what came first, and what came later."""
+    early = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 > 0
+    return rows.where(early), rows.where(~early)
+
+
+def _stored_vocabulary(spark, counted: DataFrame) -> str:
+    folder = workspace.new_folder(spark, "vectorizer")
+    for name, batch in zip(("early", "late"), _halves(counted), strict=True):
+        stored_models.update_vocabulary(batch, folder, name)
+    return folder
+
+
+def vocabulary_update(spark, sf):
+    """The idf of a stored vocabulary that was updated by a second batch."""
+    counted = workspace.materialize(_counted(spark, sf), "counts")
+    folder = _stored_vocabulary(spark, counted)
+    return stored_models.load_vocabulary(spark, folder).terms.select("term", "df", _r("idf"))
+
+
+def tfidf_transform_stored(spark, sf):
+    """Weights of the unlabeled documents under a vectorizer that is read from its folder."""
+    folder = _stored_vocabulary(spark, workspace.materialize(_counted(spark, sf), "counts"))
+    unlabeled = tables.read_documents(spark, sf).join(
+        tables.read_labels(spark, sf).select("doc_id"), "doc_id", "left_anti"
+    )
+    weighted = stored_models.transform_stored(unlabeled, folder)
+    return tfidf.explode_entries(weighted).select("doc_id", "term", _r("w"))
+
+
+def committee_update(spark, sf):
+    """The second round of a stored committee that was updated by a second batch."""
+    fitted, rows = vote.bucketed_corpus(_labeled(spark, sf))
+    folder = workspace.new_folder(spark, "committee")
+    for name, batch in zip(("early", "late"), _halves(rows), strict=True):
+        stored_models.update_committee(batch, folder, name, fitted)
+    return _parameters(stored_models.load_committee(spark, folder))
+
+
+def _parameters(trained: committee.Committee) -> DataFrame:
+    return committee.parameters(trained).select(
+        "model_id", "term", *(_r(c, 9) for c in ("mu0", "var0", "mu1", "var1"))
+    )
 
 
 # --- classifiers --------------------------------------------------------------------------------
@@ -465,10 +523,7 @@ def gnb_bucket_stats(spark, sf):
 
 def gnb_second_round(spark, sf):
     fitted, rows = vote.bucketed_corpus(_labeled(spark, sf))
-    members = committee.fit_committee(rows, fitted).table.frame
-    return members.select("term", F.inline("members")).select(
-        "model_id", "term", *(_r(c, 9) for c in ("mu0", "var0", "mu1", "var1"))
-    )
+    return _parameters(committee.fit_committee(rows, fitted))
 
 
 def soft_vote(spark, sf):
@@ -547,6 +602,9 @@ def queries() -> dict[str, Query]:
         "dense_size_estimate": dense_size_estimate,
         "rows_from_triples": rows_from_triples,
         "vector_pipeline": vector_pipeline,
+        "vector_blocks": vector_blocks,
+        "vocabulary_update": vocabulary_update,
+        "tfidf_transform_stored": tfidf_transform_stored,
         "nb_train": nb_train,
         "nb_predict_unlabeled": nb_predict_unlabeled,
         "nb_predict_bigrams": nb_predict_bigrams,
@@ -575,6 +633,7 @@ def queries() -> dict[str, Query]:
         "prediction_sink": prediction_sink,
         "gnb_bucket_stats": gnb_bucket_stats,
         "gnb_second_round": gnb_second_round,
+        "committee_update": committee_update,
         "soft_vote": soft_vote,
         "hard_vote": hard_vote,
         "committee_predict_unlabeled": committee_predict_unlabeled,

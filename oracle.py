@@ -331,6 +331,20 @@ def _weight_ctes(
 
 _INDEX = ("indexed", "SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, df FROM vocab")
 
+
+def _vector_digest(keys: str, position: str, columns: str) -> str:
+    """A vector's size, positions and two sums over its values, from its entries one by one."""
+    return (
+        f"SELECT {keys}, CAST(any_value({columns}) AS INTEGER) AS n_columns, "
+        "CAST(count(w.w) AS INTEGER) AS n_entries, "
+        f"md5(coalesce(string_agg(CAST({position} AS VARCHAR), ',' ORDER BY idx), '')) AS positions, "
+        "round(coalesce(sum(w.w * w.w), 0), 6) AS squares, "
+        f"round(coalesce(sum(w.w * ({position} % 97 + 1)), 0), 6) AS placed "
+        "FROM docs LEFT JOIN w ON docs.doc_id = w.doc_id LEFT JOIN indexed ON w.term = indexed.term "
+        "GROUP BY ALL"
+    )
+
+
 # --- Naive Bayes --------------------------------------------------------------------------------
 
 
@@ -832,7 +846,22 @@ ORACLES: dict[str, str] = {
     ),
     "rows_from_triples": _sql([*_weight_ctes(), _INDEX], _TRIPLE_ROWS),
     "vector_pipeline": _sql(
-        _bayes_ctes(_weight_ctes()), "SELECT doc_id, label, prediction FROM predicted"
+        [*_bayes_ctes(_weight_ctes()), _INDEX],
+        "SELECT p.doc_id, p.label, p.prediction, v.* EXCLUDE (doc_id) FROM predicted p JOIN "
+        f"({_vector_digest('docs.doc_id', 'idx', '(SELECT count(*) FROM indexed)')}) v "
+        "ON p.doc_id = v.doc_id",
+    ),
+    "vector_blocks": _sql(
+        [*_weight_ctes(), _INDEX],
+        _vector_digest(
+            "docs.doc_id, coalesce(idx // 1000, 0) AS block",
+            "idx % 1000",
+            "least(1000, (SELECT count(*) FROM indexed) - coalesce(idx // 1000, 0) * 1000)",
+        ),
+    ),
+    "vocabulary_update": _sql(_weight_ctes(), "SELECT term, df, round(idf, 6) AS idf FROM vocab"),
+    "tfidf_transform_stored": _sql(
+        _weight_ctes(_EVERY), _WEIGHTS + " WHERE label IS NULL"
     ),
     "nb_train": _sql(
         _bayes_ctes(_weight_ctes()),
@@ -893,6 +922,11 @@ ORACLES: dict[str, str] = {
         "SELECT model_id, term, round(mu0, 9) AS mu0, round(var0, 9) AS var0, "
         "round(mu1, 9) AS mu1, round(var1, 9) AS var1 FROM params",
     ),
+    "committee_update": _sql(
+        _committee_ctes(2),
+        "SELECT model_id, term, round(mu0, 9) AS mu0, round(var0, 9) AS var0, "
+        "round(mu1, 9) AS mu1, round(var1, 9) AS var1 FROM params",
+    ),
     "soft_vote": _sql(
         [*_vote_ctes(_HELD_OUT), _SOFT],
         "SELECT doc_id, label, round(votes0, 3) AS votes0, round(votes1, 3) AS votes1, "

@@ -114,7 +114,13 @@ def fit_committee(
     held out."""
     n = document_counts(bucketed, models, rounds)
     stats = materialize(term_statistics(bucketed, models, rounds, n), "committee-sums")
+    return committee_of_sums(stats, n, vocabulary.size)
 
+
+def committee_of_sums(
+    stats: DataFrame, n: dict[int, tuple[int, int]], vocabulary_size: int
+) -> Committee:
+    """The committee with stored sums as of :func:`term_statistics` and ``n`` documents by model."""
     # Largest variance of a term over all rows of a model, zeros included.
     size = _by_model({m: c[0] + c[1] for m, c in n.items()})
     mean = (F.col("s0") + F.col("s1")) / size
@@ -146,7 +152,7 @@ def fit_committee(
         for r in parameters.groupBy("model_id").agg(*fixed, F.count("*").alias("seen")).collect()
     }
     members = {
-        m: Member(counts, epsilon[m], _bases(counts, epsilon[m], sums.get(m), vocabulary.size))
+        m: Member(counts, epsilon[m], _bases(counts, epsilon[m], sums.get(m), vocabulary_size))
         for m, counts in n.items()
     }
 
@@ -160,6 +166,14 @@ def fit_committee(
     return Committee(members, TermTable.of(table, extra=F.size("members") * 8 + F.col("df") * 40))
 
 
+def parameters(committee: Committee) -> DataFrame:
+    """``(model_id, term, mu0, var0, mu1, var1)``: the packed table, a row for each model and term."""
+    ids = F.array(*(F.lit(m).cast("int") for m in sorted(committee.members)))
+    places = F.zip_with(ids, "members", lambda m, v: F.struct(m.alias("model_id"), v.alias("of")))
+    rows = committee.table.frame.select("term", F.explode(places).alias("place"))
+    return rows.where("place.of IS NOT NULL").select("place.model_id", "term", "place.of.*")
+
+
 def _epsilon(widest: float | None) -> float:
     return SMOOTHING * widest if widest and widest > _NO_VARIANCE else SMOOTHING
 

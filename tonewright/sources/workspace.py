@@ -74,6 +74,11 @@ def materialize(
     return (reader or spark).read.schema(schema or frame.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared one, deleted with the tables of its scope."""
+    return _new_path(spark, name)
+
+
 def _new_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
     path = f"{shared_folder(spark)}/{name}-{new_name()}"
     scopes = _SCOPES.get()[:-1] if lasting else _SCOPES.get()
