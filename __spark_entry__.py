@@ -406,7 +406,7 @@ def _parameters(trained: committee.Committee) -> DataFrame:
 
 def nb_train(spark, sf):
     fitted, weighted = _fitted(spark, sf)
-    model = bayes.fit_naive_bayes(weighted, fitted)
+    model = bayes.fit_naive_bayes(weighted, fitted, documents=_labeled(spark, sf))
     return model.table.frame.select(
         "term",
         _r("theta0"),

@@ -43,14 +43,17 @@ def fit_naive_bayes(
     vocabulary: Vocabulary,
     smoothing: float = 1.0,
     train: Column | None = None,
+    documents: DataFrame | None = None,
 ) -> NaiveBayes:
     """Fits on a weighted corpus with labels, or on the part of it that ``train`` selects.
 
-    Class sizes come from the corpus itself: documents without terms count for the priors.
+    Documents without terms count for the priors. ``documents`` are the same documents in a form that
+    is cheaper to count, such as counted rows: a weighted corpus that isn't stored would be weighed once
+    more for its class sizes.
     """
     train = F.lit(True) if train is None else train
     n = [F.count(F.when(train & (F.col("label") == c), 1)).alias(f"n{c}") for c in (0, 1)]
-    sizes = weighted.agg(*n).first()
+    sizes = (weighted if documents is None else documents).agg(*n).first()
     sums = materialize(class_sums(weighted, train), "class-sums")
     totals = sums.agg(F.sum("s0").alias("s0"), F.sum("s1").alias("s1")).first()
 

@@ -66,7 +66,9 @@ def train_and_predict(
 ) -> DataFrame:
     """Class of each unlabeled document, in ``prediction``."""
     if classifier == "bayes":
-        model = fit_naive_bayes(corpus.weighted, corpus.vocabulary, **options)
+        model = fit_naive_bayes(
+            corpus.weighted, corpus.vocabulary, documents=corpus.labeled, **options
+        )
         return predict_counts(corpus.unlabeled, model, drop_empty)
     unlabeled = weigh(corpus.unlabeled, corpus.vocabulary)
     if classifier in ("svm", "logistic"):
