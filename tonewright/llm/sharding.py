@@ -4,6 +4,10 @@ Records are hashed into thousands of slots that never change. Only the small map
 shards is edited, so that adding a shard or evening out a hot one moves whole slots and nothing
 else. Everything is DataFrame work in built-in functions.
 
+Equal rows share a slot, so a row that is repeated more often than fits into a slot's share of all
+bytes is spread over the slots: its repeats, which nothing tells apart, are hashed by their places in
+the stored table. There are fewer such rows than slots.
+
 Defined results: a null text counts no bytes but its eight bytes of overhead; equal rows keep a
 place each; null keys hash like any other value; an empty table gives an empty map and no rows.
 """
@@ -63,6 +67,35 @@ def _deal(slots: DataFrame) -> DataFrame:
     return packed.select(pairs).select("pair.slots.*", F.col("pair.dealt").alias("shard"))
 
 
+def heavy_rows(records: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``doc_id, text_crc32`` of repeated rows that have more than a slot's even share of all bytes.
+
+    Only rows of slots that have twice that share are counted, so a table without such rows moves
+    little. Fewer rows than slots.
+    """
+    share = F.sum("slot_bytes").over(Window.partitionBy()) / slots  # over one row for each slot
+    crowded = slot_sizes(records).withColumn("share", share).where("slot_bytes > 2 * share")
+    rows = records.join(F.broadcast(crowded.select("virtual_slot", "share")), "virtual_slot")
+    alike = rows.groupBy("doc_id", "text_crc32").agg(
+        F.count("*").alias("rows"), F.sum("size").alias("bytes"), F.first("share").alias("share")
+    )
+    return alike.where("rows > 1 AND bytes > share").select("doc_id", "text_crc32")
+
+
+def spread_heavy(records: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Stored records with the repeats of heavy rows in slots of their own, stored again if there are any."""
+    heavy = materialize(heavy_rows(records, slots), "heavy-rows")
+    if heavy.isEmpty():
+        return records
+    heavy = heavy.select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"))
+    placed = records.withColumn("__at", F.monotonically_increasing_id())
+    same = placed["doc_id"].eqNullSafe(heavy["__id"]) & (placed["text_crc32"] == heavy["__crc"])
+    met = placed.join(F.broadcast(heavy), same, "left")
+    own = virtual_slot(F.col("doc_id"), F.col("text_crc32"), F.col("__at"), slots=slots)
+    slot = F.when(F.col("__crc").isNull(), F.col("virtual_slot")).otherwise(own)
+    return materialize(met.withColumn("virtual_slot", slot).select(records.columns), "spread-records")
+
+
 def first_map(sizes: DataFrame, shards: int) -> DataFrame:
     """Version 1 of the map ``(version, virtual_slot, shard, slot_bytes, slot_rows)``."""
     zeros = F.array_repeat(F.lit(0).cast("bigint"), shards)
@@ -142,6 +175,6 @@ def shard_records(
     records = docs.select(
         F.col(key).alias("doc_id"), record_size(body).alias("size"), checksum.alias("text_crc32")
     ).withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("text_crc32"), slots=slots))
-    stored = materialize(records, "records")
+    stored = spread_heavy(materialize(records, "records"), slots)
     slot_map = materialize(first_map(slot_sizes(stored), shards), "slot-map")
     return place(stored, slot_map), slot_map
