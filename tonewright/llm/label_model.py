@@ -79,16 +79,32 @@ class ConditionalModel:
         return 1 / (1 + exp(-max(-500.0, min(500.0, odds))))
 
 
-def fit_conditional(patterns: dict[str, int], labelers: int, rounds: int = 300) -> ConditionalModel:
+def fit_conditional(
+    patterns: dict[str, int],
+    labelers: int,
+    rounds: int = 300,
+    belief: dict[str, tuple[float, float]] | None = None,
+    weight: float = 0.1,
+) -> ConditionalModel:
     """Fits vote rates by class, so that a labeler that says the same of nearly all tells little.
 
     Starts from the number of votes against, which fixes the meaning of the classes: none is
     nearly sure for, two or more are nearly sure against. Rates are smoothed by one pseudo-vote.
     Without patterns the model is indifferent.
+
+    With ``belief``, the rates by class that each vote is expected to have, the start is what they
+    say, and they count as ``weight`` of the votes more. Rates and prior are then the most probable
+    ones instead of the likeliest, so a corpus in which one class is rare or missing doesn't split
+    the other.
     """
     total = sum(patterns.values())
     ordered = sorted(patterns.items())
-    chance = {v: {0: 0.98, 1: 0.6}.get(v.count(NO), 0.05) for v in patterns}
+    held = weight * total + 1
+    if belief:
+        believed = ConditionalModel(0.5, (belief,) * labelers)
+        chance = {v: believed.posterior(v) for v in patterns}
+    else:
+        chance = {v: {0: 0.98, 1: 0.6}.get(v.count(NO), 0.05) for v in patterns}
     model = ConditionalModel(0.5, ({v: (1.0, 1.0) for v in (NO, ABSTAIN, YES)},) * labelers)
     for _ in range(rounds if total else 0):
         yes = sum(n * chance[v] for v, n in ordered)
@@ -97,12 +113,14 @@ def fit_conditional(patterns: dict[str, int], labelers: int, rounds: int = 300)
             rate = {}
             for vote in (NO, ABSTAIN, YES):
                 cast = [(n, chance[v]) for v, n in ordered if v[i] == vote]
+                more, of = ([held * b for b in belief[vote]], held) if belief else ((1, 1), 3)
                 rate[vote] = (
-                    (sum(n * p for n, p in cast) + 1) / (yes + 3),
-                    (sum(n * (1 - p) for n, p in cast) + 1) / (total - yes + 3),
+                    (sum(n * p for n, p in cast) + more[0]) / (yes + of),
+                    (sum(n * (1 - p) for n, p in cast) + more[1]) / (total - yes + of),
                 )
             rates.append(rate)
-        model = ConditionalModel(min(0.999, max(0.001, yes / total)), tuple(rates))
+        share = (yes + held / 2) / (total + held) if belief else yes / total
+        model = ConditionalModel(min(0.999, max(0.001, share)), tuple(rates))
         new = {v: model.posterior(v) for v in patterns}
         moved = max(abs(new[v] - chance[v]) for v in patterns)
         chance = new

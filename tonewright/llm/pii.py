@@ -4,8 +4,8 @@ The base patterns always count. Beyond them, tokens that look as if they held so
 candidates. Labelers of three sorts vote on each candidate or abstain: patterns, a gazetteer of words
 that announce such data, and the context. Expectation-maximisation on the counts of vote patterns
 estimates how reliable the labelers are; the resulting chances train a span classifier (logistic
-regression on binary features), which decides by the features alone. Candidates that are base spans
-take part in the training and stay in any case.
+regression on binary features), which decides by the features alone. Base spans stay in any case and
+take no part in the training: they are certain, and would make all else look private.
 
 Votes and features have a fixed number of patterns, so only their counts go to the driver, however
 large the corpus.
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonewright.llm import label_model
+from tonewright.llm.batches import giving_back, parts
 
 #: In the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -45,6 +46,10 @@ ANNOUNCING = ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "
               "phone", "tel", "mobile", "fax", "email", "mail", "card", "iban", "account", "ssn")
 _ANNOUNCED = re.compile(r"(?i)\b(?:" + "|".join(ANNOUNCING) + r")\b[^A-Za-z]{0,6}$")
 _ASSIGNED = re.compile(r"[=:]\s{0,2}[\"']?$")
+#: What looks like a token and is none: dates, numbers, and names with numbers such as versions.
+_DATE = re.compile(r"[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}(?:T[0-9]+)?|[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{4}")
+_NUMBER = re.compile(r"[+-]?[0-9]+(?:[-/_][0-9]+)*")
+_NAMED = re.compile(r"[A-Za-z]+(?:[-_/][A-Za-z]+)*[-_/]?[0-9]+(?:[-_/](?:[A-Za-z]+|[0-9]+))*")
 _PLAIN = re.compile(r"[a-z]{2,}[,.]?\s$")
 
 
@@ -78,7 +83,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(kind, start, end)`` of the base patterns, by kind and start."""
     found = [(0, s, e) for s, e in _emails(text)]
     for match in _IP.finditer(text) if "." in text else ():
-        if all(len(p) < 400 and int(p) <= 255 for p in match[0].split(".")):
+        if all(len(p := part.lstrip("0")) < 4 and int(p or 0) <= 255 for part in match[0].split(".")):
             found.append((1, *match.span()))
     for match in _CARD.finditer(text):
         if match.end() - match.start() >= 13:
@@ -96,43 +101,61 @@ def _entropy(token: str) -> float:
     return -sum(c / n * log2(c / n) for c in (token.count(x) for x in set(token)))
 
 
-def votes_and_features(text: str, start: int, end: int, base: bool) -> tuple[str, int]:
+def votes_and_features(text: str, start: int, end: int) -> tuple[str, int]:
     """What the labelers say about a span, and its features as bits."""
-    token = text[start:end][:256]
+    token = text[start:end]
     before, after = text[max(0, start - 24) : start], text[end : end + 1]
     digits = sum(c.isdigit() for c in token)
-    letters = sum(c.isalpha() for c in token)
     upper = sum(c.isupper() for c in token)
     known = bool(_KNOWN.fullmatch(token))
     announced = bool(_ANNOUNCED.search(before))
     assigned = bool(_ASSIGNED.search(before))
     quoted = before[-1:] in "\"'" and after in "\"'" and bool(before and after)
-    surprising = len(token) >= 16 and _entropy(token) > 3.0 and digits >= 3
+    surprising = len(token) >= 16 and digits >= 3 and digits < len(token) and _entropy(token) > 3.0
     phone = bool(_LOCAL_PHONE.fullmatch(token))
+    date, number = bool(_DATE.fullmatch(token)), bool(_NUMBER.fullmatch(token)) and not phone
+    named = bool(_NAMED.fullmatch(token))
+    changes = sum(x.isdigit() != y.isdigit() for x, y in zip(token, token[1:], strict=False))
     yes, no, none = label_model.YES, label_model.NO, label_model.ABSTAIN
     votes = (
-        yes if known or base or phone else none,
+        yes if known or phone else none,
         yes if announced else none,
-        yes if assigned or quoted else no if _PLAIN.search(before) and digits < 3 else none,
-        yes if surprising else no if len(token) < 10 and not phone and not base else none,
-        no if letters and digits <= 1 and upper <= 1 and not base else none,
-        no if digits < 9 and letters == 0 and not base else none,
+        yes if assigned or quoted else no if _PLAIN.search(before) and not (known or phone) else none,
+        yes if surprising else no if len(token) < 16 and not phone else none,
+        no if date or number else none,
+        no if named else none,
+        no if phone is False and changes <= 2 else yes if changes >= 6 and not date else none,
     )
     features = (
-        "@" in token, digits >= 9, 2 * digits >= len(token), bool(_HEX.fullmatch(token)),
+        date or number, named, 2 * digits >= len(token), bool(_HEX.fullmatch(token)) and not number,
         upper >= 4 and digits >= 2, announced, assigned or quoted, len(token) >= 20, phone,
         surprising,
     )
     return "".join(votes), sum(1 << i for i, f in enumerate(features) if f)
 
 
-LABELERS, FEATURES = 6, 10
+LABELERS, FEATURES = 7, 10
+#: What a labeler's vote is taken to be worth before any is seen: how often it votes yes and no, for
+#: private spans and for others. It keeps the classes apart where the corpus has one of them only.
+BELIEF = {label_model.YES: (0.45, 0.05), label_model.NO: (0.05, 0.45), label_model.ABSTAIN: (0.5, 0.5)}
+
+
+def _union(base: list[tuple[int, int, int]]) -> list[list[int]]:
+    """The stretches that base spans cover, apart from each other and in order."""
+    out: list[list[int]] = []
+    for s, e in sorted((s, e) for _, s, e in base):
+        if out and s <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return out
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, int, bool]]:
-    """``(kind, start, end, votes, features, base)`` of base spans and of other suspicious tokens."""
-    out = [(k, s, e, *votes_and_features(text, s, e, True), True) for k, s, e in base]
-    taken = sorted((s, e) for _, s, e in base)
+    """``(kind, start, end, votes, features, base)`` of base spans, which have no votes, and of
+    suspicious tokens beside them."""
+    out = [(k, s, e, "", 0, True) for k, s, e in base]
+    taken = _union(base)
     at = 0
     for match in _CANDIDATE.finditer(text):
         s, e = match.span()
@@ -141,10 +164,10 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             continue
         while at < len(taken) and taken[at][1] <= s:
             at += 1
-        if any(b < e and s < f for b, f in taken[at : at + 4]):
+        if at < len(taken) and taken[at][0] < e:
             continue
         kind = 3 if _LOCAL_PHONE.fullmatch(token) else 4
-        out.append((kind, s, e, *votes_and_features(text, s, e, False), False))
+        out.append((kind, s, e, *votes_and_features(text, s, e), False))
     return out
 
 
@@ -154,6 +177,7 @@ _SCHEMA = (
 _DIGIT = re.compile(r"[0-9]")
 
 
+@giving_back
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ("kind", "start", "end", "votes", "features", "base")
     kind = pa.list_(
@@ -162,7 +186,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              ("features", pa.int32()), ("base", pa.bool_())]
         )
     )
-    for batch in batches:
+    for batch in (part for whole in batches for part in parts(whole, 1)):
         out = []
         for text in batch.column(1).to_pylist():
             if not text or not (_DIGIT.search(text) or "@" in text):
@@ -173,7 +197,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["row", "found"])
 
 
-def train(patterns: list[tuple[str, int, int]], rounds: int = 300) -> tuple[label_model.LabelModel, list[float]]:
+def train(patterns: list[tuple[str, int, int]], rounds: int = 300) -> tuple[label_model.ConditionalModel, list[float]]:
     """Label model and weights of the span classifier (features, then the intercept).
 
     ``patterns`` are ``(votes, features, count)``; the classifier takes gradient steps on the
@@ -182,7 +206,7 @@ def train(patterns: list[tuple[str, int, int]], rounds: int = 300) -> tuple[labe
     totals: dict[str, int] = {}
     for votes, _, n in patterns:
         totals[votes] = totals.get(votes, 0) + n
-    model = label_model.fit(totals, LABELERS, prior=0.5, start=0.8)
+    model = label_model.fit_conditional(totals, LABELERS, belief=BELIEF)
     weights = [0.0] * (FEATURES + 1)
     total = sum(n for _, _, n in patterns)
     rows = [
@@ -200,7 +224,7 @@ def train(patterns: list[tuple[str, int, int]], rounds: int = 300) -> tuple[labe
     return model, weights
 
 
-def accepted(weights: list[float], least: float = 0.8) -> list[int]:
+def accepted(weights: list[float], least: float = 0.5) -> list[int]:
     """The feature patterns that the classifier takes for private."""
     odds = log(least / (1 - least))
     return [
@@ -220,9 +244,9 @@ def find(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
     The texts are scanned twice, to train and to decide, and not stored or shuffled.
     """
-    seen = _found(docs, ("doc_id",)).select(F.explode("found").alias("c"))
+    seen = _found(docs, ("doc_id",)).select(F.explode("found").alias("c")).where("NOT c.base")
     counted = seen.groupBy("c.votes", "c.features").count()
-    _, weights = train([tuple(r) for r in counted.collect()])  # at most 3^6 * 2^10 patterns
+    _, weights = train([tuple(r) for r in counted.collect()])  # at most 3^7 * 2^10 patterns
     codes = F.lit([-1, *accepted(weights)])
     found = _found(docs, carry)
     plain = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
