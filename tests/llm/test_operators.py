@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 import re
 import zlib
 from collections import Counter
@@ -276,19 +277,45 @@ def longest_phrases(text, sample):
     return phrases
 
 
-def test_phrases_equal_a_search_for_longest_matches():
+def test_phrases_equal_a_search_for_longest_matches(monkeypatch):
+    monkeypatch.setattr(language_id, "BLOCK", 32)
+    monkeypatch.setattr(language_id, "LANES", 2)
     samples = {"a": "the cat sat on the mat and the rat " * 3, "b": "der hund und die katze im haus "}
     parser = language_id.Parser(samples)
-    text = "the cat and the hund im mat"
-    found = parser._symbols(text)[0]
+    texts = ["the cat and the hund im mat", "", "zebra" * 20, "die ratte im haus " * 9]
+    found = [parser._symbols(t)[0] for t in texts]
+    got = parser.phrases(found)
+    as_text = lambda xs: "".join(chr(200 + x) for x in xs)
     for l, name in enumerate(parser.names):
-        sample = parser._symbols(samples[name])[0].tolist()
-        state, count = parser.roots[l], 0
-        for s in found:
-            move = int(parser.table[state + s])
-            count, state = count + (move & 1), move >> 1
-        as_text = lambda xs: "".join(chr(200 + x) for x in xs)
-        assert count == longest_phrases(as_text(found.tolist()), as_text(sample))
+        sample = as_text(parser._symbols(samples[name])[0].tolist())
+        for i, symbols in enumerate(found):
+            blocks = [as_text(symbols[k : k + 32].tolist()) for k in range(0, len(symbols), 32)]
+            assert got[l, i] == sum(longest_phrases(block, sample) for block in blocks)
+
+
+def test_all_letters_of_the_samples_count_by_themselves():
+    han = "".join(map(chr, range(0x4E00, 0x4E00 + 3000)))
+    parser = language_id.Parser({"x": han, "y": han[::-1]})
+    assert len(set(parser._symbols(han)[0].tolist())) == 3000
+    assert parser.parse([han[500:900], han[900:500:-1], "\u9fa0"])[0] == ["x", "y", "x"]
+
+
+def test_long_texts_are_parsed_in_parts(monkeypatch):
+    parser = language_id.Parser({"a": "abcab " * 50, "b": "xyzzy " * 50})
+    texts = ["abcab " * 4000, "xyzzy", None, "12 34 " * 3000, "1" * 20_000 + "xyzzy"]
+    whole = parser.parse(texts)
+    monkeypatch.setattr(language_id, "CHARACTERS", 5120)
+    assert parser.parse(texts)[0] == whole[0] == ["a", "b", "und", "und", "b"]
+    assert parser.parse(texts)[2] == whole[2]
+
+
+def test_language_of_held_out_documents(spark):
+    draw = np.random.default_rng(5)
+    words = {"p": ["kato", "linu", "sepra", "mido"], "q": ["thrug", "wexly", "brond", "kelth"]}
+    made = [(i, " ".join(draw.choice(words["pq"[i % 2]], 30)), "pq"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame(made, "doc_id bigint, text string, lang string")
+    got = language_id.identify(docs).where(language_id.held_out(F.col("doc_id"))).collect()
+    assert len(got) > 60 and sum(r.identified.lang == r.lang for r in got) >= 0.98 * len(got)
 
 
 def test_language(docs):
@@ -512,6 +539,41 @@ def test_personal_data_in_nothing(no_docs):
     assert pii.find(no_docs).count() == 0
 
 
+def test_secrets_are_told_from_tokens_that_hold_nothing():
+    draw = random.Random(1)
+    hexes, upper, mixed = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijABCDEFGHIJ0123456789"
+    some = lambda letters, k: "".join(draw.choices(letters, k=k))
+    secret = [
+        lambda: f'token = "{some(hexes, 40)}"', lambda: f"key: AKIA{some(upper, 16)}", lambda: f"use ghp_{some(mixed, 36)}",
+        lambda: f"call (415) 555-{draw.randrange(1000, 9999)}", lambda: f'password="{some(mixed, 18)}"',
+    ]
+    benign = [
+        lambda: f"on 20{draw.randrange(10, 30)}-{draw.randrange(10, 13)}-{draw.randrange(10, 29)}",
+        lambda: f"see section-{draw.randrange(10, 99)}-{draw.randrange(10, 99)}",
+        lambda: f"by ISO{draw.randrange(1000, 9999)}-2015", lambda: f"number {draw.randrange(10**8, 10**11)}",
+        lambda: f"release version-{draw.randrange(10)}_{draw.randrange(10, 100)}", lambda: "about 1219538112535716",
+    ]
+    for n_secret, n_benign in ((300, 300), (300, 30), (30, 300), (300, 0), (0, 300)):
+        texts = [f"some words then {draw.choice(secret)()} and more" for _ in range(n_secret)]
+        texts += [f"some words then {draw.choice(benign)()} and more" for _ in range(n_benign)]
+        found = [[c for c in pii.candidates(t, pii.base_spans(t)) if not c[5]] for t in texts]
+        counts = Counter((c[3], c[4]) for each in found for c in each)
+        taken = set(pii.accepted(pii.train([(v, f, n) for (v, f), n in counts.items()])[1]))
+        caught = [any(c[4] in taken for c in each) for each in found]
+        right, wrong = sum(caught[:n_secret]), sum(caught[n_secret:])
+        assert right >= 0.9 * n_secret and right >= 0.9 * (right + wrong)
+        assert not n_benign or len(taken) < 1 << pii.FEATURES
+
+
+def test_all_base_spans_are_looked_at():
+    # a long address holds many phones; the candidate behind them lies in it, the last one doesn't
+    text = "+1234567890 " * 6 + "aB3dE5fG7h+1234567890123@x.com token=" + "a1b2c3d4e5" * 60
+    got = pii.candidates(text, pii.base_spans(text))
+    free = [(s, e) for _, s, e, _, _, base in got if not base]
+    assert free == [(text.index("a1b2c3d4e5"), len(text))]
+    assert pii.base_spans("0" * 500 + "1.2.3.4") == [(1, 0, 507)] and pii.base_spans("256.1.1.1") == []
+
+
 def test_long_runs_take_linear_time():
     assert pii.base_spans("a" * 300_000 + "@" + "1" * 300_000) == []
 
@@ -604,6 +666,23 @@ def test_shards_are_near_equal_and_move_little(spark):
     assert moved < 0.2 * sum(loads(first))
 
 
+def test_a_row_in_a_third_of_the_table_is_spread(spark):
+    hot = [(7, "x" * 40)] * 2000 + [(None, "y" * 40)] * 500
+    docs = spark.createDataFrame([*hot, *((i, "z" * 40) for i in range(100, 3600))], "doc_id bigint, text string")
+    placed, slot_map = sharding.shard_records(docs, shards=8)
+    rows = placed.collect()
+    assert Counter(r.doc_id for r in rows) == Counter(d for d, _ in [*hot, *((i, "") for i in range(100, 3600))])
+    sizes = Counter()
+    for r in rows:
+        sizes[r.shard] += r["size"]
+    assert max(sizes.values()) - min(sizes.values()) < 0.05 * max(sizes.values())
+    assert max(Counter(r.virtual_slot for r in rows).values()) < 20
+    for shard in range(8):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    shard_of = {r.virtual_slot: r.shard for r in slot_map.collect()}
+    assert all(shard_of[r.virtual_slot] == r.shard for r in rows)
+
+
 def test_sharding_of_nothing(no_docs):
     placed, slot_map = sharding.shard_records(no_docs, shards=4)
     assert placed.count() == 0 and slot_map.count() == 0

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tonewright.llm.batches import giving_back
+
 #: 4 MB, whatever the input.
 BITS = 1 << 25
 
@@ -32,6 +34,7 @@ def bits_of(keys: DataFrame, column: str) -> bytes:
     return bytes(bits)
 
 
+@giving_back
 def chosen(batches: Iterator[pa.RecordBatch], bits: bytes, present: bool = True) -> Iterator[pa.RecordBatch]:
     """Rows whose first column, a 64-bit hash, has its bit set, or not set."""
     mask = np.frombuffer(bits, dtype=np.uint8)

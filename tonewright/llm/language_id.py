@@ -8,11 +8,14 @@ and wins.
 
 Texts are parsed whole. They are cut into blocks of ``BLOCK`` symbols that start at the root, so
 that one step moves all blocks of a batch at once; a cut adds at most one phrase, the same for all
-languages. Letters count by themselves in lower case, all else as one gap.
+languages, and so does a cut of a long text after each ``CHARACTERS``, which bound the memory.
+Each letter of the samples counts by itself in lower case, whatever their number, letters that no
+sample has as one, and all else as one gap.
 
 The model is fitted on a bounded sample: of each of the ``LANGUAGES`` most frequent languages,
-``PIECES`` distinct texts with the smallest hashes give up to ``PIECE`` characters each, up to
-``SYMBOLS`` symbols, or ``TOTAL`` over all languages. Counting and choosing cover all rows.
+``PIECES`` distinct texts with the smallest hashes give up to ``PIECE`` characters each, from a place
+that the hash picks, up to ``SYMBOLS`` symbols, or ``TOTAL`` over all languages. Counting and choosing
+cover all rows. The arcs of the automata are kept sparse, at most three for each symbol.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is every text
 when nothing is labelled; ties go to the first language by name; repeated rows get equal results.
@@ -21,7 +24,6 @@ when nothing is labelled; ties go to the first language by name; repeated rows g
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from math import log2
 
@@ -31,60 +33,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tonewright.llm import batches as limits
+
 LANGUAGES = 256
 PIECES = 64
 PIECE = 1000
 SYMBOLS = 24_000
 TOTAL = 600_000
 BLOCK = 512
+LANES = 2048
+CHARACTERS = 1 << 20
 UNKNOWN = "und"
 
 _BUILT: dict[int, Parser] = {}
 
 
-class Parser:
-    """Suffix automata of all languages in one table, and the parsing of many texts at once."""
-
-    def __init__(self, samples: dict[str, str]):
-        self.names = sorted(samples)
-        self.is_letter = np.fromiter(
-            (unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)), bool, 0x110000
-        )
-        letters = Counter(c for text in samples.values() for c in text.lower() if c.isalpha())
-        # 0 is the gap, 1 any other letter, the last the padding
-        self.symbol = np.where(self.is_letter, 1, 0).astype(np.int32)
-        for i, (letter, _) in enumerate(sorted(letters.most_common(250), key=lambda x: x[0])):
-            self.symbol[ord(letter)] = i + 2
-        self.size = int(self.symbol.max()) + 2
-        limit = min(SYMBOLS, TOTAL // max(1, len(samples)))
-        tables, self.roots, self.bits, base = [], [], [], 0
-        for name in self.names:
-            sample = self._symbols(samples[name])[0][:limit]
-            table = self._table(sample.tolist(), base)
-            self.roots.append(base * self.size)
-            self.bits.append(log2(max(2, len(sample))))
-            base += len(table)
-            tables.append(table)
-        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int64)
-
-    @staticmethod
-    def of(samples: dict[str, str]) -> Parser:
-        key = hash(tuple(sorted(samples.items())))
-        if key not in _BUILT:
-            _BUILT.clear()
-            _BUILT[key] = Parser(samples)
-        return _BUILT[key]
-
-    def _symbols(self, text: str) -> tuple[np.ndarray, bool]:
-        """Symbols with single gaps, and whether there is a letter."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        symbols = self.symbol[points]
-        keep = symbols != 0
-        keep[1:] |= keep[:-1].copy()
-        return symbols[keep], bool((symbols != 0).any())
+class Automaton:
+    """A suffix automaton: its arcs in the order of state and symbol, those of the root apart."""
 
-    def _table(self, sample: list[int], base: int) -> np.ndarray:
-        """The automaton as a table: twice the offset of the next state, plus 1 if a phrase begins."""
+    def __init__(self, sample: list[int], size: int):
         link, length, moves = [-1], [0], [{}]
         last = 0
         for c in sample:
@@ -110,42 +77,103 @@ class Parser:
                         p = link[p]
                     link[q] = link[new] = copy
             last = new
-        root = np.full(self.size, base, dtype=np.int64)
+        self.size = size
+        self.root = np.zeros(size, dtype=np.int64)
         for c, to in moves[0].items():
-            root[c] = base + to
-        table = np.tile(root * self.size * 2 + 1, (len(moves), 1))
-        for state, arcs in enumerate(moves[1:], 1):  # at the root, any symbol begins a phrase
-            table[state, list(arcs)] = (np.array(list(arcs.values()), dtype=np.int64) + base) * self.size * 2
-        table[:, self.size - 1] = base * self.size * 2  # padding begins nothing
-        return table
+            self.root[c] = to
+        arcs = sorted((state * size + c, to) for state, found in enumerate(moves) if state for c, to in found.items())
+        # the last arc is none: it keeps a search from running over the end
+        self.arcs = np.array([*(arc for arc, _ in arcs), np.iinfo(np.int64).max], dtype=np.int64)
+        self.to = np.array([*(to for _, to in arcs), 0], dtype=np.int64)
+
+    def phrases(self, steps: np.ndarray) -> np.ndarray:
+        """How many phrases each lane has; a step holds a symbol of every lane, the last is padding."""
+        state = np.zeros(steps.shape[1], dtype=np.int64)
+        begun = np.zeros(steps.shape[1], dtype=np.int64)
+        for symbols in steps:
+            arc = state * self.size + symbols
+            at = self.arcs.searchsorted(arc)
+            goes_on = self.arcs.take(at) == arc
+            begun += ~goes_on
+            state = np.where(goes_on, self.to.take(at), self.root.take(symbols))
+        return begun - (steps == self.size - 1).sum(axis=0)
+
+
+class Parser:
+    """The automata of all languages, and the parsing of many texts at once."""
+
+    def __init__(self, samples: dict[str, str]):
+        self.names = sorted(samples)
+        # 0 is the gap, 1 a letter that no sample has, the last the padding
+        self.symbol = np.fromiter(
+            (unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)), np.int32, 0x110000
+        )
+        points = [self._points(text) for text in samples.values()]
+        letters = np.unique(np.concatenate(points)) if points else np.empty(0, dtype=np.uint32)
+        letters = letters[self.symbol[letters] == 1]
+        self.symbol[letters] = np.arange(2, len(letters) + 2)
+        self.size = len(letters) + 3
+        limit = min(SYMBOLS, TOTAL // max(1, len(samples)))
+        self.automata, self.bits = [], []
+        for name in self.names:
+            sample = self._symbols(samples[name])[0][:limit]
+            self.automata.append(Automaton(sample.tolist(), self.size))
+            self.bits.append(log2(max(2, len(sample))))
+
+    @staticmethod
+    def of(samples: dict[str, str]) -> Parser:
+        key = hash(tuple(sorted(samples.items())))
+        if key not in _BUILT:
+            _BUILT.clear()
+            _BUILT[key] = Parser(samples)
+        return _BUILT[key]
+
+    @staticmethod
+    def _points(text: str) -> np.ndarray:
+        return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+    def _symbols(self, text: str) -> tuple[np.ndarray, bool]:
+        """Symbols with single gaps, and whether there is a letter."""
+        symbols = self.symbol[self._points(text)]
+        keep = symbols != 0
+        keep[1:] |= keep[:-1].copy()
+        return symbols[keep], bool((symbols != 0).any())
+
+    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Phrases by language and text, for symbols of texts; ``LANES`` blocks at a time."""
+        blocks = np.array([-(-len(s) // BLOCK) for s in texts], dtype=np.int64)
+        owner = np.repeat(np.arange(len(texts)), blocks)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        counts = np.zeros((len(self.automata), len(texts)), dtype=np.int64)
+        for begin in range(0, len(owner), LANES):
+            own, at = owner[begin : begin + LANES], place[begin : begin + LANES]
+            steps = np.full((BLOCK, len(own)), self.size - 1, dtype=np.int32)
+            for lane, (i, k) in enumerate(zip(own.tolist(), at.tolist(), strict=True)):
+                block = texts[i][k * BLOCK : (k + 1) * BLOCK]
+                steps[: len(block), lane] = block
+            for l, automaton in enumerate(self.automata):
+                np.add.at(counts[l], own, automaton.phrases(steps))
+        return counts
 
     def parse(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
         """Language and score of each text, and whether it has a letter. The score is the share of
         the best language if each bit of code length halves the odds."""
-        found = [self._symbols(t or "") for t in texts]
-        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        letters = [letter for _, letter in found]
-        rows = [i for i, (s, letter) in enumerate(found) if letter]
+        names, scores, letters = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
+        sizes = np.zeros(len(texts), dtype=np.int64)
+        counts = np.zeros((len(self.names), len(texts)), dtype=np.int64)
+        for begin, end in limits.cuts([min(len(t or ""), CHARACTERS) for t in texts], len(texts), CHARACTERS):
+            longest = max(len(t or "") for t in texts[begin:end])
+            for at in range(0, longest, CHARACTERS):
+                found = [self._symbols((t or "")[at : at + CHARACTERS]) for t in texts[begin:end]]
+                sizes[begin:end] += [len(s) for s, _ in found]
+                letters[begin:end] = [a or b for a, (_, b) in zip(letters[begin:end], found, strict=True)]
+                if self.names:
+                    counts[:, begin:end] += self.phrases([s for s, _ in found])
+        rows = [i for i, letter in enumerate(letters) if letter]
         if not rows or not self.names:
             return names, scores, letters
-        sizes = np.array([len(found[i][0]) for i in rows])
-        blocks = -(-sizes // BLOCK)
-        first = np.cumsum(blocks) - blocks
-        lanes = np.full((int(blocks.sum()), BLOCK), self.size - 1, dtype=np.int64)
-        for at, i in zip(first, rows, strict=True):
-            lanes[at:].reshape(-1)[: len(found[i][0])] = found[i][0]
-        steps = np.ascontiguousarray(lanes.T)
-        counts = np.zeros((len(self.names), lanes.shape[0]), dtype=np.int64)
-        for l, root in enumerate(self.roots):
-            state = np.full(lanes.shape[0], root, dtype=np.int64)
-            count = counts[l]
-            for symbols in steps:
-                move = self.table.take(state + symbols)
-                count += move & 1
-                state = move >> 1
-        phrases = np.add.reduceat(counts, first, axis=1)
-        bits = phrases * np.array(self.bits)[:, None]
-        best = (bits / sizes).argmin(axis=0)
+        bits = counts[:, rows] * np.array(self.bits)[:, None]
+        best = (bits / sizes[rows]).argmin(axis=0)
         gap = np.minimum(bits - bits.min(axis=0), 1000.0)
         share = 1.0 / np.exp2(-gap).sum(axis=0)
         for i, b, s in zip(rows, best, share, strict=True):
@@ -175,7 +203,10 @@ def fit(labelled: DataFrame) -> dict[str, str]:
     )
     # at most LANGUAGES * PIECES rows
     texts = rows.join(F.broadcast(chosen.select("lang", "h")), ["lang", "h"])
-    pieces = texts.groupBy("lang", "h").agg(F.min(F.substring("text", 1, PIECE)).alias("piece"))
+    # a text begins like many others, so its piece is from anywhere
+    place = F.pmod("h", F.greatest(F.length("text") - PIECE + 1, F.lit(1))).cast("int")
+    piece = F.col("text").substr(place + 1, F.lit(PIECE))
+    pieces = texts.groupBy("lang", "h").agg(F.min(piece).alias("piece"))
     samples: dict[str, list[str]] = {}
     for row in pieces.orderBy("lang", "h").collect():
         samples.setdefault(row["lang"], []).append(row["piece"])
@@ -192,12 +223,13 @@ def language(text: Column, samples: dict[str, str]) -> Column:
             names: list[str] = []
             scores: list[float] = []
             letters: list[bool] = []
-            for begin in range(0, len(series), 1000):
-                found = parser.parse(series.iloc[begin : begin + 1000].tolist())
+            for begin, end in limits.cuts([len(t or "") for t in series], 1000, CHARACTERS):
+                found = parser.parse(series.iloc[begin:end].tolist())
                 names += found[0]
                 scores += found[1]
                 letters += found[2]
             yield pd.DataFrame({"lang": names, "score": scores, "letter": letters})
+        limits.give_back()
 
     return parsed(text.cast("string"))
 

@@ -28,8 +28,8 @@ are known by 64 bits of a hash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable, Iterator
+from functools import partial, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tonewright.llm import key_filter
+from tonewright.llm.batches import give_back, parts
 from tonewright.llm.components import components
 from tonewright.sources.workspace import materialize, temporary
 
@@ -87,16 +88,30 @@ def node_of(hashes: np.ndarray) -> int:
     return int(np.array(xxhash.xxh3_64_intdigest(hashes.tobytes()), dtype=np.uint64).view(np.int64))
 
 
+def forgetting(function: Callable) -> Callable:
+    """Words are remembered within a task only, and memory goes back at its end."""
+
+    @wraps(function)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _KNOWN.clear()
+            give_back()
+
+    return run
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
     values = np.concatenate(arrays) if arrays else np.empty(0, dtype=np.int64)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))
 
 
+@forgetting
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for begin in range(0, whole.num_rows, 2000):
-            batch = whole.slice(begin, 2000)
+        for batch in parts(whole, 2):
             sets = [shingle_hashes(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -122,10 +137,10 @@ def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return materialize(one.join(keys, "text_key").select("node", "text"), "texts")
 
 
+@forgetting
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for begin in range(0, whole.num_rows, 2000):
-            batch = whole.slice(begin, 2000)
+        for batch in parts(whole, 1):
             sets = [shingle_hashes(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(sets)], ["node", "whole"])
 
@@ -191,6 +206,7 @@ def estimate(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return met.where(common >= least_overlap(F.greatest("na", "nb"))).select("a", "b")
 
 
+@forgetting
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[int, np.ndarray] = {}
 
@@ -228,6 +244,7 @@ def _reaches(n: str, own: str, other: str) -> Column:
     return 100 * (F.col(n) - F.col(own)) >= 75 * (F.col(other) + F.col(own))
 
 
+@forgetting
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[int, np.ndarray] = {}
     for batch in batches:

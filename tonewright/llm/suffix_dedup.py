@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonewright.llm import key_filter
+from tonewright.llm.batches import giving_back, giving_back_after
 from tonewright.sources.workspace import materialize, temporary
 
 LENGTH = 50
@@ -209,6 +210,7 @@ def _utf8(column: pa.Array) -> list[bytes]:
 _MET = "bucket bigint, batch bigint, docs binary, keys binary, index binary, low binary, known binary"
 
 
+@giving_back
 def _send_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """For each bucket the anchors met, and for each batch its documents, below a bucket of its own.
 
@@ -351,6 +353,7 @@ def _opened(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, kind) for x in parts])
 
 
+@giving_back
 def _hot_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         low = [np.frombuffer(x, np.uint32) for x in batch.column(0).to_pylist()]
@@ -358,6 +361,7 @@ def _hot_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(at)], ["at"])
 
 
+@giving_back
 def _send_stretches(
     batches: Iterator[pa.RecordBatch], buckets: int, bits: bytes
 ) -> Iterator[pa.RecordBatch]:
@@ -482,6 +486,7 @@ def _by_row(table: pa.Table) -> pa.Table:
     )
 
 
+@giving_back_after
 def _sort_bucket(table: pa.Table, parts: int) -> pa.Table:
     opened = (zstandard.ZstdDecompressor().decompress(x) for x in table.column("ids").to_pylist())
     ids = np.concatenate([np.cumsum(np.frombuffer(x, np.int64)) for x in opened])
@@ -499,6 +504,7 @@ def _sort_bucket(table: pa.Table, parts: int) -> pa.Table:
     return _packed_runs(ids[which], keys[which], begin, begin + runs[:, 2] + LENGTH - 1, parts)
 
 
+@giving_back
 def _cut(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for begin in range(0, whole.num_rows, 1024):
@@ -579,6 +585,7 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     return packed.groupBy("part").applyInArrow(_by_row, _RUNS)
 
 
+@giving_back
 def _uncut(batches: Iterator[pa.RecordBatch], bits: bytes, as_text: bool) -> Iterator[pa.RecordBatch]:
     """Results of the rows that have no removed run for certain."""
     for batch in key_filter.chosen(batches, bits, present=False):
