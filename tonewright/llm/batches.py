@@ -39,6 +39,19 @@ def give_back() -> None:
         trim(0)
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def sole(key: tuple, build: Callable[[], object]) -> object:
+    """What an operator keeps in a worker from task to task, such as a model. A worker keeps one of
+    these: when another operator comes, the last one's is dropped."""
+    if key not in _HELD:
+        _HELD.clear()
+        give_back()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def giving_back(function: Callable) -> Callable:
     """A function on batches that gives memory back after its last one."""
 

@@ -15,7 +15,8 @@ sample has as one, and all else as one gap.
 The model is fitted on a bounded sample: of each of the ``LANGUAGES`` most frequent languages,
 ``PIECES`` distinct texts with the smallest hashes give up to ``PIECE`` characters each, from a place
 that the hash picks, up to ``SYMBOLS`` symbols, or ``TOTAL`` over all languages. Counting and choosing
-cover all rows. The arcs of the automata are kept sparse, at most three for each symbol.
+cover all rows. The arcs of the automata are kept sparse, at most three for each symbol,
+in an array of twice their number.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is every text
 when nothing is labelled; ties go to the first language by name; repeated rows get equal results.
@@ -45,8 +46,6 @@ LANES = 2048
 CHARACTERS = 1 << 20
 UNKNOWN = "und"
 
-_BUILT: dict[int, Parser] = {}
-
 
 class Automaton:
     """A suffix automaton: its arcs in the order of state and symbol, those of the root apart."""
@@ -81,19 +80,38 @@ class Automaton:
         self.root = np.zeros(size, dtype=np.int64)
         for c, to in moves[0].items():
             self.root[c] = to
-        arcs = sorted((state * size + c, to) for state, found in enumerate(moves) if state for c, to in found.items())
-        # the last arc is none: it keeps a search from running over the end
-        self.arcs = np.array([*(arc for arc, _ in arcs), np.iinfo(np.int64).max], dtype=np.int64)
-        self.to = np.array([*(to for _, to in arcs), 0], dtype=np.int64)
+        self._place(moves)
+
+    def _place(self, moves: list[dict[int, int]]) -> None:
+        """Puts the arcs of all states but the root into one array, each state's at its own shift by
+        symbol, so that no two arcs meet: the states with the most arcs first, at the first shift that is free."""
+        n = 2 * sum(map(len, moves)) + 2 * self.size
+        taken = bytearray(n + self.size)
+        self.shift = np.zeros(len(moves), dtype=np.int64)
+        self.owner = np.full(n + self.size, -1, dtype=np.int64)
+        self.to = np.zeros(n + self.size, dtype=np.int64)
+        begin = 0
+        for state in sorted(range(1, len(moves)), key=lambda x: (-len(moves[x]), x)):
+            arcs = list(moves[state])
+            shift = begin
+            while any(taken[shift + c] for c in arcs):
+                shift = (shift + 1) % n
+            if len(arcs) > 1 or shift != begin:
+                begin = (begin + 7919) % n  # free places are found soon if they aren't sought from the same end
+            self.shift[state] = shift
+            for c in arcs:
+                taken[shift + c] = 1
+                self.owner[shift + c] = state
+                self.to[shift + c] = moves[state][c]
 
     def phrases(self, steps: np.ndarray) -> np.ndarray:
         """How many phrases each lane has; a step holds a symbol of every lane, the last is padding."""
         state = np.zeros(steps.shape[1], dtype=np.int64)
         begun = np.zeros(steps.shape[1], dtype=np.int64)
         for symbols in steps:
-            arc = state * self.size + symbols
-            at = self.arcs.searchsorted(arc)
-            goes_on = self.arcs.take(at) == arc
+            at = self.shift.take(state)
+            at += symbols
+            goes_on = self.owner.take(at) == state
             begun += ~goes_on
             state = np.where(goes_on, self.to.take(at), self.root.take(symbols))
         return begun - (steps == self.size - 1).sum(axis=0)
@@ -122,11 +140,7 @@ class Parser:
 
     @staticmethod
     def of(samples: dict[str, str]) -> Parser:
-        key = hash(tuple(sorted(samples.items())))
-        if key not in _BUILT:
-            _BUILT.clear()
-            _BUILT[key] = Parser(samples)
-        return _BUILT[key]
+        return limits.sole(("language", tuple(sorted(samples.items()))), lambda: Parser(samples))
 
     @staticmethod
     def _points(text: str) -> np.ndarray:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import base64
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import tiktoken
 
+from tonewright.llm.batches import sole
+
 #: White space on both sides of a space, or two of it at the end: the pattern joins such runs.
 _RUN = re.compile(r"\s \s|\s \Z")
 _MOST = 600_000
@@ -46,9 +47,8 @@ class SpaceSplitEncoder:
         self.known: dict[str, bytes] = {}
 
     @staticmethod
-    @lru_cache(maxsize=4)
     def of(path: str) -> SpaceSplitEncoder:
-        return SpaceSplitEncoder(path)
+        return sole(("encoder", path), lambda: SpaceSplitEncoder(path))
 
     @staticmethod
     def _tokens(lines: list[list[bytes]]) -> list[bytes]:
