@@ -254,6 +254,45 @@ def test_descent_in_document_blocks(spark, corpus, fitted, loss, monkeypatch):
         assert not any("Exchange" in p for p in above(plan, "block_terms")[-3:])
 
 
+def test_descent_writes_no_table_for_a_step(fitted, monkeypatch):
+    """Steps are jobs on packed rows: what is written doesn't depend on their number."""
+    names = []
+    write = linear.materialize
+    monkeypatch.setattr(linear, "materialize", lambda f, name, *a, **b: names.append(name) or write(f, name, *a, **b))
+    model = linear.fit_gradient_descent(fitted[1], "hinge", iterations=6, tolerance=0.0)
+    assert model.steps == 6 and len(names) == 3
+
+
+@pytest.mark.parametrize("loss", ["hinge", "logistic"])
+def test_descent_on_packed_rows_equals_joins(spark, loss, monkeypatch):
+    """Labels that are NULL, ids that repeat with other labels, ids that are text or NULL, small blocks."""
+    rows = [
+        ("a", 1.0, {"x": 0.6, "y": 0.8}),
+        ("a", 0.0, {"y": 1.0}),
+        ("b", None, {"x": 0.8, "z": 0.6}),
+        ("c", 0.0, {"x": 1.0}),
+        ("d", None, {}),
+        (None, 1.0, {"u": 0.6, "x": 0.8}),
+    ]
+    rows = [(d, y, list(x.items())) for d, y, x in rows]
+    weighted = spark.createDataFrame(
+        rows, "doc_id string, label double, entries array<struct<term: string, w: double>>"
+    )
+    monkeypatch.setattr(linear, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(linear, "RANGE", 3)
+    tables = [
+        {r["term"]: (r["df"], r["coef"]) for r in model.table.frame.collect()}
+        for model in (
+            linear.fit_gradient_descent(weighted, loss, 5, tolerance=0.0),
+            linear.fit_gradient_descent(weighted, loss, 5, tolerance=0.0, limit=0),
+        )
+    ]
+    assert tables[0].keys() == tables[1].keys() and len(tables[0]) == 4
+    for term, (df, coef) in tables[1].items():
+        assert tables[0][term][0] == df
+        assert tables[0][term][1] == (None if coef is None else pytest.approx(coef, abs=1e-12))
+
+
 def test_scopes_belong_to_their_thread(spark):
     """A table written in one thread isn't deleted by the end of another's scope."""
     import threading

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonewright.sources.workspace import materialize
@@ -17,6 +17,23 @@ HOT_SHARE = 1000
 _ROW_OVERHEAD = 96
 
 
+def numbered(dealt: DataFrame, name: str) -> DataFrame:
+    """The rows of a dealt out table, written, with ``idx``: numbers from 0 without gaps.
+
+    A running number over all rows would sort them in one task. Here the rows are numbered within
+    each partition in the order of their terms, and shifted by the sizes of the partitions before
+    it. Only those sizes, one row for each partition, are ever in one place.
+    """
+    terms = materialize(dealt.withColumn("part", F.spark_partition_id()), name)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = terms.groupBy("part").agg(F.count("*").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    )
+    place = F.row_number().over(Window.partitionBy("part").orderBy("term"))
+    placed = terms.withColumn("place", place).join(F.broadcast(starts), "part")
+    return placed.withColumn("idx", F.col("start") + F.col("place") - 1).drop("part", "place", "start")
+
+
 @dataclass(frozen=True)
 class TermTable:
     """A written table unique on ``term`` with the number of documents ``df`` of each term.

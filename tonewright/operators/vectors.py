@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tonewright.operators.term_table import TermTable
+from tonewright.operators.term_table import TermTable, numbered
 from tonewright.operators.tfidf import Vocabulary, explode_entries
 from tonewright.sources.workspace import materialize
 
@@ -16,24 +16,10 @@ MOST_COLUMNS = (1 << 31) - 1
 
 
 def index_terms(vocabulary: Vocabulary) -> TermTable:
-    """Column number of each term in code-point order.
-
-    A running number over all terms would sort them in one task. Here the terms are sorted in
-    ranges, numbered within each range, and shifted by the sizes of the ranges before it. Only
-    those sizes, one row for each range, are ever in one place.
-    """
+    """Column number of each term in code-point order, from terms sorted in ranges."""
     ranged = vocabulary.terms.repartitionByRange("term").sortWithinPartitions("term")
-    terms = materialize(ranged.withColumn("part", F.spark_partition_id()), "term-ranges")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = terms.groupBy("part").agg(F.count("*").alias("n")).select(
-        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
-    )
-    place = F.row_number().over(Window.partitionBy("part").orderBy("term"))
-    indexed = terms.withColumn("place", place).join(F.broadcast(starts), "part")
-    index = F.col("start") + F.col("place") - 1
-    return TermTable.of(
-        materialize(indexed.select("term", index.alias("idx"), "df", "idf"), "term-index")
-    )
+    indexed = numbered(ranged, "term-ranges")
+    return TermTable.of(materialize(indexed.select("term", "idx", "df", "idf"), "term-index"))
 
 
 def to_vectors(weighted: DataFrame, index: TermTable) -> DataFrame:
