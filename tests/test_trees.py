@@ -146,6 +146,36 @@ def test_all_rounds_of_boosting(spark):
         assert got[d]["prediction"] == int(m > 0)
 
 
+def test_boosting_by_terms_is_one_job_a_level(spark, monkeypatch):
+    """Small blocks, documents without a label: the same trees as by rows, and no sums are exchanged."""
+    rows = documents(5, n=60, size=12)
+    rows += [(100 + i, None, x) for i, (_, _, x) in enumerate(rows[:6])]
+    weighted = frame(spark, rows).repartition(3)
+    by_rows = trees.fit_boosting(weighted, iterations=4, limit=0)
+    counted = []
+    monkeypatch.setattr(trees, "_best_splits", lambda *a: counted.append(a) or [])
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 7)
+    by_terms = trees.fit_boosting(weighted, iterations=4)
+    assert table(by_terms, weighted) == table(by_rows, weighted)
+    assert not counted and any(len(t.nodes) > 3 for t in by_terms.trees)
+
+
+def test_a_forest_in_blocks(spark, monkeypatch):
+    """Copies are drawn once, not once a level, and a level isn't walked in expressions."""
+    rows = documents(4, n=50)
+    rows += [(100 + i, None, x) for i, (_, _, x) in enumerate(rows[:6])]
+    weighted = frame(spark, rows).repartition(3)
+    drawn = []
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 9)
+    draw = trees.copies
+    monkeypatch.setattr(trees, "copies", lambda *a: drawn.append(a) or draw(*a))
+    monkeypatch.setattr(trees, "_literal", None)
+    blocked = trees.fit_forest(weighted, 20, 5, DEPTH)
+    assert len(drawn) == 1
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 1 << 20)
+    assert table(blocked, weighted) == table(trees.fit_forest(weighted, 20, 5, DEPTH), weighted)
+
+
 def test_equal_splits_go_by_term(spark):
     rows = [(i, float(i % 2), {"b": 0.5, "a": 0.5} if i % 2 else {}) for i in range(10)]
     model = trees.fit_boosting(frame(spark, rows), iterations=1, depth=1)
