@@ -503,6 +503,30 @@ def test_bytes_that_are_no_text(spark, tmp_path):
     assert stored.count() == len(contents)
 
 
+def test_files_are_written_by_the_tasks(spark, tmp_path):
+    """Not through Hadoop's local file system, which starts a process for each file; bytes as they are,
+    NULL as an empty line, none for no rows."""
+    rows = [(bytearray(b"\xffa"),), (bytearray("Être\n".encode()),), (None,), (bytearray(b""),)]
+    texts = spark.createDataFrame(rows, "raw binary").select(F.col("raw").cast("string").alias("text"))
+    files.write_texts(texts.repartition(2), str(tmp_path / "few"))
+    found = list((tmp_path / "few").iterdir())
+    assert sorted(p.read_bytes() for p in found) == sorted([b"\n", b"\n", b"\xffa\n", "Être\n\n".encode()])
+    assert all(p.suffix == ".txt" for p in found)
+    files.write_texts(texts.limit(0), str(tmp_path / "none"))
+    assert files.read_unlabeled(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_many_splits_of_small_files_make_fewer_tasks(spark, tmp_path, monkeypatch):
+    files.write_texts(spark.range(99).select(F.col("id").cast("string").alias("text")), str(tmp_path / "many"))
+    monkeypatch.setattr(files, "SPLITS_PER_SLOT", 0)
+    monkeypatch.setattr(files, "SPLITS_OF_A_TASK", 3)
+    monkeypatch.setattr(files, "spread", lambda scan, key: scan)
+    raw = spark.read.format("binaryFile").load(str(tmp_path / "many")).rdd.getNumPartitions()
+    back = files.read_unlabeled(spark, str(tmp_path / "many"))
+    assert back.rdd.getNumPartitions() == -(-raw // 3) < raw
+    assert sorted(int(r["text"]) for r in back.collect()) == list(range(99))
+
+
 def test_small_files_share_tasks(spark, tmp_path):
     files.write_texts(spark.range(200).select(F.col("id").cast("string").alias("text")), str(tmp_path / "many"))
     many = [p for p in (tmp_path / "many").iterdir() if p.suffix == ".txt"]

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import os
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonewright.sources.parallelism import spread
 
 
+# A split holds at most 32 small files, since Spark takes opening a file for 4 MB. With very many, a task
+# reads several splits, as many as this at most, once each slot has tasks enough.
+SPLITS_OF_A_TASK = 32
+SPLITS_PER_SLOT = 8
+
+
 def document_name(file_name: Column) -> Column:
     """File name up to its first dot."""
     return F.substring_index(file_name, ".", 1)
@@ -50,6 +60,8 @@ def _read_texts(spark: SparkSession, *paths: str, malformed: str = "replace") ->
     text = decoded(F.col("content"))
     if malformed == "null":
         text = F.when(~is_malformed(F.col("content")), text)
+    splits = files.rdd.getNumPartitions()
+    files = files.coalesce(max(SPLITS_PER_SLOT * spark.sparkContext.defaultParallelism, -(-splits // SPLITS_OF_A_TASK)))
     documents = files.select(F.col("path").alias("doc_id"), _name().alias("name"), text.alias("text"))
     return spread(documents, "doc_id")
 
@@ -70,8 +82,44 @@ def read_unlabeled(spark: SparkSession, path: str, malformed: str = "replace") -
 
 
 def write_texts(texts: DataFrame, path: str) -> None:
-    """One file for each row of a ``text`` column (its bytes and a line feed), all in one folder."""
-    texts.select("text").write.option("maxRecordsPerFile", 1).text(path)
+    """One file for each row of a ``text`` column (its bytes and a line feed), all in one new folder.
+
+    Hadoop's local file system starts a process for each file that it makes, to set its mode, so in a shared
+    folder that is mounted the tasks write the files themselves. Elsewhere tasks move their files to the
+    folder, since the driver would move them one by one. The folder is whole once this has returned.
+    """
+    spark = texts.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.getUri().getScheme() == "file":
+        _write_mounted(texts, store.makeQualified(place).toUri().getPath())
+        return
+    writer = texts.select("text").write.option("maxRecordsPerFile", 1)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+
+
+def _write_mounted(texts: DataFrame, folder: str) -> None:
+    """Files are named by partition and attempt. Those of an attempt that failed are deleted."""
+    os.makedirs(folder)
+
+    def write(batches):
+        task = TaskContext.get()
+        part = f"part-{task.partitionId():05d}-{task.taskAttemptId()}"
+        n = 0
+        for batch in batches:
+            for text in batch["text"]:
+                with open(f"{folder}/{part}-c{n:06d}.txt", "wb") as file:
+                    file.write((text.as_py() or b"") + b"\n")
+                n += 1
+        if n:
+            yield pa.RecordBatch.from_pydict({"part": [part], "n": [n]})
+
+    raw = texts.select(F.col("text").cast("binary").alias("text"))
+    whole = {r["part"]: r["n"] for r in raw.mapInArrow(write, "part string, n bigint").collect()}
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            if entry.name.rsplit("-", 1)[0] not in whole:
+                os.remove(entry.path)
 
 
 def compact(documents: DataFrame, path: str) -> DataFrame:
