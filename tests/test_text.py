@@ -95,3 +95,19 @@ def test_clean_is_idempotent_and_equals_its_steps(spark, texts):
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     for row in frame.select(once, text.clean(once), steps).collect():
         assert row[0] == row[1] == row[2]
+
+
+def test_batches_of_words_get_the_stems_of_the_steps(spark):
+    """Endings of every step, short and irregular words, NULL; whole batches take one Python evaluation."""
+    words = "caresses ponies dies cats feed agreed plastered motoring sky flying happy say hopping falling".split()
+    words += "filing yyed relationalli conditionalli formalli apologi rational triplicate hopeful revival".split()
+    words += "adoption controll rate cease us a é été skies dying innings allied ties".split() + ["", "#", "##"]
+    rows = spark.createDataFrame([(words, [words[:9], [], words[9:]]), ([None, "cats"], None), (None, [["cats"], None])],
+                                 "ws array<string>, wss array<array<string>>")
+    flat = rows.select(stem.stem_array(F.col("ws")).alias("a"), stem.stem_by_steps(F.col("ws")).alias("b"))
+    assert "ArrowEvalPython" in flat.select("a")._jdf.queryExecution().executedPlan().toString()
+    for r in flat.collect():
+        assert r["a"] == r["b"]
+    nested = F.transform("wss", lambda ws: stem.stem_by_steps(ws))
+    for r in rows.select(stem.stem_arrays(F.col("wss")).alias("a"), nested.alias("b")).collect():
+        assert r["a"] == r["b"]

@@ -11,8 +11,11 @@ consonant, ``alli`` and ``fulli``, and two-letter stems such as ``us(e)``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -215,8 +218,9 @@ def finish(word: Column, stemmed: Column) -> Column:
     )
 
 
-def stem_array(words: Column) -> Column:
-    """Stem of every element of an array of lower-cased words."""
+def stem_by_steps(words: Column) -> Column:
+    """Stem of every element of an array of lower-cased words, as expressions: what :func:`stem_array`
+    is held against."""
 
     def stems(bound: Column) -> Column:
         stemmed = bound
@@ -227,10 +231,146 @@ def stem_array(words: Column) -> Column:
     return let(words, stems)
 
 
-def stem_word(word: Column) -> Column:
-    """Stem of one word.
+def python_stemmer() -> Callable[[str], str]:
+    """The steps for a single word. All is inside, so that workers need no package to run it."""
+    has_vowel, short_end = (re.compile(x.replace(r"\z", r"\Z")).search for x in (_HAS_VOWEL, _SHORT_END))
+    one_group, two_groups = re.compile(_ONE_GROUP).search, re.compile(_TWO_GROUPS).search
+    exactly_one = re.compile(_EXACTLY_ONE.replace(r"\z", r"\Z")).search
+    mend = re.compile(r"(?:at|bl|iz)#\Z").search
+    double_y = re.compile(r"[^aeiouy]yy#\Z").search
+    turned = re.compile(r".(?:[^aeiouy]|[aeiou]y)y\Z|^.[^aeiouy]y\Z").search
+    irregular = dict(IRREGULAR_STEMS)
+    two, three = dict(STEP2_SUFFIXES), dict(STEP3_SUFFIXES)
+
+    def by_ending(suffixes: Iterable[str]) -> dict[str, list[str]]:
+        groups: dict[str, list[str]] = {}
+        for suffix in suffixes:
+            groups.setdefault(suffix[-2:], []).append(suffix)
+        return groups
+
+    second = by_ending([*two, "alli", "logi"])
+    third, fourth = by_ending(three), by_ending([*STEP4_SUFFIXES, "sion", "tion"])
+
+    def suffix_of(w: str, groups: dict[str, list[str]]) -> str | None:
+        return next((s for s in groups.get(w[-2:], ()) if w.endswith(s)), None)
+
+    def cut(w: str, n: int) -> str:
+        return w[: max(len(w) - n, 0)]
+
+    def without(w: str, suffix: str, fits: Callable, new: str = "") -> str:
+        rest = cut(w, len(suffix))
+        return rest + new if fits(rest) else w
+
+    def plural(w: str) -> str:
+        if not w.endswith("s") or w.endswith("ss") and not w.endswith("sses"):
+            return w
+        if w.endswith("sses"):
+            return cut(w, 2)
+        return cut(w, 2) if w.endswith("ies") and len(w) != 4 else cut(w, 1)
+
+    def past(w: str) -> str:
+        if w.endswith("ied"):
+            return cut(w, 1 if len(w) == 4 else 2)
+        if w.endswith("eed"):
+            return cut(w, 1) if one_group(cut(w, 3)) else w
+        if w.endswith("ed") and has_vowel(cut(w, 2)):
+            return cut(w, 2) + "#"
+        if w.endswith("ing") and has_vowel(cut(w, 3)):
+            return cut(w, 3) + "#"
+        return w
+
+    def repair(w: str) -> str:
+        if not w.endswith("#"):
+            return w
+        if mend(w):
+            return cut(w, 1) + "e"
+        last, before = w[-2:-1], w[-3:-2]
+        if last == before and (last not in tuple("aeiouy") or double_y(w)) and len(w) > 2:
+            return cut(w, 1) if last in tuple("lsz") else cut(w, 2)
+        return cut(w, 1) + "e" if short_end(cut(w, 1)) else cut(w, 1)
+
+    def step_2(w: str) -> str:
+        suffix = suffix_of(w, second)
+        if suffix is None:
+            return w
+        if suffix == "logi":
+            return cut(w, 1) if one_group(cut(w, 3)) else w
+        if suffix == "alli":
+            again = w
+            if w.endswith("ationalli"):
+                again = without(w, "ationalli", one_group, "ate")
+            elif w.endswith("tionalli"):
+                again = without(w, "tionalli", one_group, "tion")
+            return again if again != w else without(w, "alli", one_group, "al")
+        return without(w, suffix, one_group, two[suffix])
+
+    def stem(word: str) -> str:
+        if len(word) <= 2:
+            return word
+        if word in irregular:
+            return irregular[word]
+        w = repair(past(plural(word)))
+        if w.endswith("y") and turned(w):
+            w = cut(w, 1) + "i"
+        w = step_2(w)
+        suffix = suffix_of(w, third)
+        if suffix is not None:
+            w = without(w, suffix, one_group, three[suffix])
+        suffix = suffix_of(w, fourth)
+        if suffix is not None:
+            w = without(w, "ion" if suffix in ("sion", "tion") else suffix, two_groups)
+        rest = cut(w, 1)
+        if w.endswith("e") and (two_groups(rest) or exactly_one(rest) and not short_end(rest)):
+            w = rest
+        return cut(w, 1) if w.endswith("ll") and two_groups(w) else w
+
+    return stem
+
+
+#: Words whose stems a task keeps.
+_KEPT = 500_000
+
+
+def _stem_batches(depth: int) -> Callable[[pa.Array], pa.Array]:
+    """Stems of the words of a batch of arrays, ``depth`` deep; each word that a task meets is stemmed once."""
+    stem, known, most = python_stemmer(), {}, _KEPT
+
+    def stems(words: pa.Array) -> pa.Array:
+        coded = words.dictionary_encode()
+        if len(known) > most:
+            known.clear()
+        found = []
+        for word in coded.dictionary.to_pylist():
+            if word not in known:
+                known[word] = stem(word)
+            found.append(known[word])
+        return pa.array(found, pa.string()).take(coded.indices)
+
+    def mapped(arrays: pa.Array, depth: int) -> pa.Array:
+        if not depth:
+            return stems(arrays)
+        lengths = arrays.value_lengths().fill_null(0)
+        ends = pc.cumulative_sum(lengths)
+        offsets = pa.concat_arrays([pa.array([0], ends.type), ends]).cast(pa.int32())
+        inner = mapped(arrays.flatten(), depth - 1)
+        return pa.ListArray.from_arrays(offsets, inner, mask=arrays.is_null())
+
+    def stemmed(arrays: pa.Array) -> pa.Array:
+        return mapped(arrays, depth)
+
+    return stemmed
 
-    It goes through an array of one, because a chain of plain projections would be copied into
-    itself nine times over whenever the optimizer moves a filter below it.
-    """
+
+def stem_array(words: Column) -> Column:
+    """Stem of every element of an array of lower-cased words. Not for use inside a lambda."""
+    return F.arrow_udf(_stem_batches(1), "array<string>")(words)
+
+
+def stem_arrays(words: Column) -> Column:
+    """As :func:`stem_array`, for an array of arrays."""
+    return F.arrow_udf(_stem_batches(2), "array<array<string>>")(words)
+
+
+def stem_word(word: Column) -> Column:
+    """Stem of one word."""
     return F.get(stem_array(F.array(word)), F.lit(0))

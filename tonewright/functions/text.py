@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tonewright.functions.binding import let
-from tonewright.functions.stem import stem_array
+from tonewright.functions.stem import stem_array, stem_arrays
 from tonewright.functions.wordlists import (
     ASCII_SPACE,
     CONTRACTIONS,
@@ -124,10 +124,8 @@ def adjacent_pairs(words: Column) -> Column:
 
 def sentence_terms(text: Column) -> Column:
     """Stemmed terms as an array for each sentence."""
-    return F.transform(
-        sentence_tokens(text),
-        lambda s: F.filter(stem_array(drop_stop_words(s)), lambda t: t != ""),
-    )
+    words = F.transform(sentence_tokens(text), lambda s: drop_stop_words(s))
+    return F.transform(stem_arrays(words), lambda s: F.filter(s, lambda t: t != ""))
 
 
 def bigrams(text: Column) -> Column:
