@@ -407,6 +407,59 @@ def test_committee_in_document_blocks_moves_no_rows(spark, corpus, fitted, monke
     assert "explode(members" not in plans[1] and plans[1].count("Exchange hashpartitioning(doc_id") == 1
 
 
+def test_committee_lets_dealt_documents_lie(corpus, monkeypatch):
+    """Documents in blocks go nowhere after their counts, nor do the committee's sums, and terms that
+    many blocks have are broadcast; scores are those of the plain corpus."""
+    written, plans = [], []
+    fold, write = committee._folded, blocks.materialize_buckets
+
+    def named(frame, name, key, buckets):
+        written.append(name)
+        return write(frame, name, key, buckets)
+
+    def seen(*args):
+        folded = fold(*args)
+        plans.append(folded._jdf.queryExecution().executedPlan().toString())
+        return folded
+
+    monkeypatch.setattr(blocks, "materialize_buckets", named)
+    monkeypatch.setattr(committee, "_folded", seen)
+
+    def known(scored):
+        assert "block" not in scored.columns
+        return {(r["doc_id"], r["model_id"]): (r["score0"], r["score1"]) for r in scored.collect()}
+
+    counted = workspace.materialize(tfidf.count_terms(corpus), "counts").withColumn(
+        "bucket", (F.col("doc_id") % 5).cast("int")
+    )
+    vocabulary = tfidf.fit_vocabulary(counted)
+    plain = tfidf.weigh(counted, vocabulary)
+    trained = committee.fit_committee(plain, vocabulary, models=4)
+    want = known(committee.score_members(plain, trained))
+    assert len(want) == 7 * 4
+    weights = {r["doc_id"]: dict(r["entries"]) for r in plain.collect()}
+    for vocabulary_limit in (0, 1 << 20):
+        counts = blocks.deal(counted, 20, "block-counts")
+        dealt = tfidf.weigh_dealt(counts, vocabulary, vocabulary_limit)
+        got = {r["doc_id"]: dict(r["entries"]) for r in dealt.frame.collect()}
+        assert got.keys() == weights.keys()
+        assert all(got[d] == pytest.approx(weights[d]) for d in got)
+    trained = committee.fit_committee(dealt, vocabulary, models=4)
+    size = trained.table.size
+    for limit in (0, size - 1, size):
+        del plans[:], written[:]
+        scores = known(committee.score_members(dealt, trained, limit))
+        assert scores.keys() == want.keys()
+        for key, pair in scores.items():
+            assert all(g is None if w is None else g == pytest.approx(w, rel=1e-9) for g, w in zip(pair, want[key]))
+        assert written == ([] if limit == size else ["block-terms"])
+        path = above(plans[0], "block_weights")
+        assert not any("Exchange" in p for p in path)
+        assert ("Broadcast" in plans[0]) == (limit > 0)
+    some = committee.score_members(dealt.where(F.col("bucket") >= 4), trained, 0)
+    assert {r["doc_id"] for r in some.collect()} == {4}
+
+
 def test_votes_tie_for_class_zero(spark):
     scored = spark.createDataFrame(
         [(1, 0, -1.0, -2.0), (1, 1, -2.0, -1.0), (2, 0, -1.0, -1.0), (3, 0, None, -1.0)],

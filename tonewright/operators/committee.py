@@ -14,11 +14,12 @@ from math import log, pi
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonewright.operators.blocks import DocumentBlocks
+from tonewright.functions.binding import let
+from tonewright.operators.blocks import DealtCorpus, DocumentBlocks
 from tonewright.operators.split import stable_bucket
 from tonewright.operators.term_table import BROADCAST_LIMIT, TermTable
 from tonewright.operators.tfidf import Vocabulary, explode_entries
-from tonewright.sources.workspace import materialize
+from tonewright.sources.workspace import Buckets, forget, materialize, materialize_dealt
 
 BUCKETS = 50
 TRAIN_BUCKETS = 40
@@ -26,6 +27,10 @@ TRAIN_BUCKETS = 40
 # document, or of copies of one, has no variance to take a share of and gets the value itself.
 SMOOTHING = 1e-9
 _NO_VARIANCE = 1e-12
+_SUMS = "array<struct<s0: double, ss0: double, s1: double, ss1: double>>"
+_MEMBERS = "array<struct<mu0: double, var0: double, mu1: double, var1: double>>"
+# Part of the broadcast limit for the terms that most blocks of documents have.
+COMMON_SHARE = 1.0
 
 
 def with_bucket(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -50,11 +55,20 @@ class Committee:
     """Members by model id, and ``table(term, df, members)`` of means and variances.
 
     The array of a term has a place for each member, in the order of their ids; it is NULL for a
-    model that didn't see the term.
+    model that didn't see the term. ``laid`` is where the sums behind the table lie by term, in as
+    many buckets as the corpus has blocks, and ``places`` makes the array of them.
     """
 
     members: dict[int, Member]
     table: TermTable
+    laid: Buckets | None = None
+    blocks: int = 0
+    places: Column | None = None
+
+    def close(self) -> None:
+        """Takes the sums out of the catalog; their files stay until their scope ends."""
+        if self.laid:
+            forget(self.table.frame.sparkSession, self.laid)
 
 
 def _models_of(bucket: Column, models: int, rounds: int) -> Column:
@@ -101,77 +115,165 @@ def term_statistics(
     return rows.groupBy("model_id", "term").agg(*sums)
 
 
-def _by_model(values: dict[int, float | int | None]) -> Column:
-    """Literal lookup of a number by model id; as many entries as there are models."""
-    pairs = [x for m, v in values.items() for x in (F.lit(m), F.lit(v).cast("double"))]
-    return F.element_at(F.create_map(*pairs), F.col("model_id"))
-
-
 def fit_committee(
-    bucketed: DataFrame, vocabulary: Vocabulary, models: int = TRAIN_BUCKETS, rounds: int = 2
+    bucketed: DataFrame | DealtCorpus,
+    vocabulary: Vocabulary,
+    models: int = TRAIN_BUCKETS,
+    rounds: int = 2,
 ) -> Committee:
     """Trains on a weighted corpus with ``label`` and ``bucket``; buckets from ``models`` on are
-    held out."""
+    held out.
+
+    Rows are added up by their own bucket only; in round two a model adds the sums of two buckets.
+    Sums of a corpus in blocks are written in as many buckets, where the blocks look them up.
+    """
+    blocks = 0
+    if isinstance(bucketed, DealtCorpus):
+        bucketed, blocks = bucketed.frame, bucketed.blocks
     n = document_counts(bucketed, models, rounds)
-    stats = materialize(term_statistics(bucketed, models, rounds, n), "committee-sums")
-    return committee_of_sums(stats, n, vocabulary.size)
+    own = term_statistics(bucketed, models, rounds=1)
+    trained = {m: (m, (m + 1) % models) if rounds == 2 and models > 1 else (m,) for m in n}
+    return committee_of_sums(own, n, vocabulary.size, trained, blocks)
 
 
 def committee_of_sums(
-    stats: DataFrame, n: dict[int, tuple[int, int]], vocabulary_size: int
+    stats: DataFrame,
+    n: dict[int, tuple[int, int]],
+    vocabulary_size: int,
+    trained: dict[int, tuple[int, ...]] | None = None,
+    blocks: int = 0,
 ) -> Committee:
-    """The committee with stored sums as of :func:`term_statistics` and ``n`` documents by model."""
-    # Largest variance of a term over all rows of a model, zeros included.
-    size = _by_model({m: c[0] + c[1] for m, c in n.items()})
-    mean = (F.col("s0") + F.col("s1")) / size
-    spread = (F.col("ss0") + F.col("ss1")) / size - mean * mean
-    widest = {
-        r["model_id"]: r["widest"]
-        for r in stats.groupBy("model_id").agg(F.max(spread).alias("widest")).collect()
-    }
-    epsilon = {m: _epsilon(widest.get(m)) for m in n}
+    """The committee with sums as of :func:`term_statistics` and ``n`` documents by model.
 
-    columns: list[Column] = []
-    for c in (0, 1):
-        # A class without documents has NULL parameters.
-        count = _by_model({m: k[c] or None for m, k in n.items()})
-        mu = F.col(f"s{c}") / count
-        var = F.col(f"ss{c}") / count - mu * mu
-        widened = F.greatest(var, F.lit(0.0)) + _by_model(epsilon)
-        columns += [mu.alias(f"mu{c}"), widened.alias(f"var{c}")]
-    parameters = materialize(
-        stats.select("model_id", "term", *columns), "committee-parameters"
+    ``trained`` names the one or two ``model_id`` of the sums that a model is made of; without it
+    the sums are those of the models. They are read once and written packed by term. Parameters are
+    derived from the packed sums wherever they are read.
+    """
+    ids = sorted(n)
+    trained = trained or {m: (m,) for m in ids}
+    buckets = sorted({b for m in ids for b in trained[m]})
+    values = F.struct("s0", "ss0", "s1", "ss1")
+    dealt = stats.repartition(blocks, "term") if blocks else stats
+    packed = dealt.groupBy("term").agg(
+        F.map_from_entries(F.collect_list(F.struct("model_id", values.alias("values")))).alias("of")
     )
+    places = F.array(*(F.try_element_at("of", F.lit(b).cast("int")) for b in buckets))
+    packed = packed.select("term", places.cast(_SUMS).alias("sums"))
+    laid = materialize_dealt(packed, "committee-sums", "term", blocks) if blocks else None
+    sums = stats.sparkSession.table(laid.name) if laid else materialize(packed, "committee-sums")
+
+    known, members = {}, F.array()
+    if ids:
+        known, members = _fitted(sums, n, vocabulary_size, {m: [buckets.index(b) for b in trained[m]] for m in ids})
+    members = members.cast(_MEMBERS)
+    table = TermTable.of(_packed_table(sums, members), extra=_row_size())
+    return Committee(known, table, laid, blocks, members)
+
+
+def _packed_table(sums: DataFrame, members: Column) -> DataFrame:
+    table = sums.select("term", members.alias("members"))
+    df = F.size(F.filter("members", lambda v: v.isNotNull())).cast("bigint")
+    return table.select("term", df.alias("df"), "members")
+
+
+def _fitted(
+    sums: DataFrame, n: dict[int, tuple[int, int]], vocabulary_size: int, places: dict[int, list[int]]
+) -> tuple[dict[int, Member], Column]:
+    """The members, and the array of their parameters as an expression of the packed ``sums``.
+
+    ``places`` has where in the array the sums of each model are.
+    """
+    ids = sorted(n)
+
+    def models(*facts: dict) -> Column:
+        """What is known of each model, as one literal array: the places of its sums, then numbers."""
+        rows = []
+        for m in ids:
+            at = [F.lit(place).cast("int") for place in (*places[m], None)]
+            numbers = [F.lit(f[m]).cast("double").alias(f"x{i}") for i, f in enumerate(facts)]
+            rows.append(F.struct(at[0].alias("own"), at[1].alias("other"), *numbers))
+        return F.array(*rows)
+
+    # Largest variance of a term over all rows of a model, zeros included.
+    spread = _by_model(models({m: sum(n[m]) for m in ids}), _spread)
+    widest = _unpacked(sums, ids, spread).groupBy("model_id").agg(F.max("of").alias("widest"))
+    found = {r["model_id"]: r["widest"] for r in widest.collect()}
+    epsilon = {m: _epsilon(found.get(m)) for m in ids}
+    # A class without documents has NULL parameters.
+    counts = [{m: n[m][c] or None for m in ids} for c in (0, 1)]
+    members = _by_model(models(*counts, epsilon), _parameters)
 
     fixed = []
     for c in (0, 1):
-        mu, var = F.col(f"mu{c}"), F.col(f"var{c}")
+        mu, var = F.col(f"of.mu{c}"), F.col(f"of.var{c}")
         fixed.append(F.sum(F.log(2 * pi * var) + mu * mu / var).alias(f"fixed{c}"))
-    sums = {
-        r["model_id"]: r
-        for r in parameters.groupBy("model_id").agg(*fixed, F.count("*").alias("seen")).collect()
-    }
-    members = {
-        m: Member(counts, epsilon[m], _bases(counts, epsilon[m], sums.get(m), vocabulary_size))
-        for m, counts in n.items()
+    seen = _unpacked(sums, ids, members).groupBy("model_id").agg(*fixed, F.count("*").alias("seen"))
+    totals = {r["model_id"]: r for r in seen.collect()}
+    known = {
+        m: Member(n[m], epsilon[m], _bases(n[m], epsilon[m], totals.get(m), vocabulary_size))
+        for m in ids
     }
+    return known, members
 
-    values = F.struct("mu0", "var0", "mu1", "var1")
-    seen = parameters.groupBy("term").agg(
-        F.count("*").alias("df"),
-        F.map_from_entries(F.collect_list(F.struct("model_id", values.alias("values")))).alias("by_model"),
-    )
-    places = F.array(*(F.try_element_at("by_model", F.lit(m).cast("int")) for m in sorted(members)))
-    table = materialize(seen.select("term", "df", places.alias("members")), "committee")
-    return Committee(members, TermTable.of(table, extra=F.size("members") * 8 + F.col("df") * 40))
+
+def _row_size() -> Column:
+    """Bytes of the parameters in a row of a committee's table."""
+    return F.size("members") * 8 + F.col("df") * 40
+
+
+def _sums_size(models: int) -> Column:
+    """As :func:`_row_size`, from packed sums; a bucket's sums make two models at most."""
+    seen = F.size(F.filter("sums", lambda v: v.isNotNull()))
+    return models * 8 + F.least(2 * seen, F.lit(models)) * 40
+
+
+def _by_model(models: Column, made) -> Column:
+    """An array with what ``made`` makes of the sums of each of ``models``, NULL for one that didn't
+    see the term.
+
+    The expression is as long for many models as for one.
+    """
+
+    def of(model: Column) -> Column:
+        own, other = F.get("sums", model["own"]), F.get("sums", model["other"])
+        both = F.struct(
+            *(
+                (F.coalesce(own[x], F.lit(0.0)) + F.coalesce(other[x], F.lit(0.0))).alias(x)
+                for x in ("s0", "ss0", "s1", "ss1")
+            )
+        )
+        seen = own.isNotNull() | other.isNotNull()
+        return F.when(seen, let(both, lambda total: made(total, model)))
+
+    return F.transform(models, of)
+
+
+def _spread(total: Column, model: Column) -> Column:
+    mean = (total["s0"] + total["s1"]) / model["x0"]
+    return (total["ss0"] + total["ss1"]) / model["x0"] - mean * mean
+
+
+def _parameters(total: Column, model: Column) -> Column:
+    columns: list[Column] = []
+    for c in (0, 1):
+        mu = total[f"s{c}"] / model[f"x{c}"]
+        var = total[f"ss{c}"] / model[f"x{c}"] - mu * mu
+        columns += [mu.alias(f"mu{c}"), (F.greatest(var, F.lit(0.0)) + model["x2"]).alias(f"var{c}")]
+    return F.struct(*columns)
+
+
+def _unpacked(frame: DataFrame, ids: list[int], places: Column) -> DataFrame:
+    """``(term, model_id, of)``: a row for each model that saw a term, in the order of ``ids``."""
+    named = F.array(*(F.lit(m).cast("int") for m in ids))
+    pairs = F.zip_with(named, places, lambda m, v: F.struct(m.alias("model_id"), v.alias("of")))
+    rows = frame.select("term", F.explode(pairs).alias("place")).select("term", "place.*")
+    return rows.where("of IS NOT NULL")
 
 
 def parameters(committee: Committee) -> DataFrame:
     """``(model_id, term, mu0, var0, mu1, var1)``: the packed table, a row for each model and term."""
-    ids = F.array(*(F.lit(m).cast("int") for m in sorted(committee.members)))
-    places = F.zip_with(ids, "members", lambda m, v: F.struct(m.alias("model_id"), v.alias("of")))
-    rows = committee.table.frame.select("term", F.explode(places).alias("place"))
-    return rows.where("place.of IS NOT NULL").select("place.model_id", "term", "place.of.*")
+    rows = _unpacked(committee.table.frame, sorted(committee.members), F.col("members"))
+    return rows.select("model_id", "term", "of.*")
 
 
 def _epsilon(widest: float | None) -> float:
@@ -191,7 +293,7 @@ def _bases(counts, epsilon, sums, vocabulary_size) -> tuple[float | None, float
 
 
 def member_scores(
-    rows: DataFrame, committee: Committee, limit: int = BROADCAST_LIMIT
+    rows: DataFrame | DealtCorpus, committee: Committee, limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
     """``scores``, an array of ``(model_id, score0, score1)``: each document's log probabilities by
     all models.
@@ -200,22 +302,40 @@ def member_scores(
     place: four sums for each model and document. So what leaves a task is one row for each
     document, whatever the number of models. A table of parameters within ``limit`` bytes is
     broadcast. Beyond it, blocks of documents get the parameters of their terms, and nothing is
-    exchanged between the rows and the sums.
-
-    A term the model has not seen takes the same form for every model, so it is taken from what is
-    missing of the document's squared length.
+    exchanged between the rows and the sums. Terms that most blocks have would be sent over and over:
+    the most widespread ones, up to ``COMMON_SHARE`` of the limit, are broadcast all the same. Where
+    the sums lie by term as the blocks need them, the sums are sent, which are shorter, and made
+    parameters where they arrive.
+
+    Rows that already lie in blocks (:func:`tonewright.operators.blocks.deal`) stay there. A term the
+    model has not seen takes the same form for every model, so it is taken from what is missing of
+    the document's squared length.
     """
-    keys = [c for c in rows.columns if c != "entries"]
+    dealt = rows if isinstance(rows, DealtCorpus) else None
+    frame = dealt.frame if dealt else rows
+    keys = [c for c in frame.columns if c != "entries"]
     ids = sorted(committee.members)
-    exploded = explode_entries(rows, outer=True)
+    exploded = explode_entries(frame, outer=True)
     if committee.table.size <= limit:
-        return _folded(committee.table.attach(exploded, limit=limit), keys, ids, committee)
-    total = rows.agg(F.sum(F.greatest(F.size("entries"), F.lit(1)))).first()[0] or 0
-    blocks = DocumentBlocks(exploded, total)
+        return _folded(committee.table.attach(exploded, limit=limit), keys, ids, committee).drop("block")
+    if dealt:
+        blocks = DocumentBlocks.over(dealt, lambda f: explode_entries(f, outer=True))
+    else:
+        total = frame.agg(F.sum(F.greatest(F.size("entries"), F.lit(1)))).first()[0] or 0
+        blocks = DocumentBlocks(exploded, total)
+        keys.append("block")
     try:
-        known = blocks.send(blocks.store(committee.table.frame), "members")
-        scored = _folded(known, [*keys, "block"], ids, committee).drop("block")
-        return materialize(scored, "scores", lasting=True, reader=rows.sparkSession)
+        common = int(limit * COMMON_SHARE)
+        if committee.laid and committee.blocks == blocks.blocks:
+            arrived = {"members": committee.places}
+            known = blocks.send(
+                committee.laid, "sums", common=common, width=_sums_size(len(ids)), arrived=arrived
+            )
+        else:
+            stored = blocks.store(committee.table.frame)
+            known = blocks.send(stored, "members", common=common, width=_row_size())
+        scored = _folded(known, keys, ids, committee).drop("block")
+        return materialize(scored, "scores", lasting=True, reader=frame.sparkSession)
     finally:
         blocks.close()
 

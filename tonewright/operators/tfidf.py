@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tonewright.functions.binding import let
 from tonewright.functions.text import Analyzer, analyzer
-from tonewright.operators.term_table import TermTable
+from tonewright.operators.blocks import DealtCorpus, DocumentBlocks, rewrite
+from tonewright.operators.term_table import BROADCAST_LIMIT, TermTable
 from tonewright.sources.workspace import materialize
 
 
@@ -124,8 +125,12 @@ def weigh(counted: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     terms stays, with no entries. The regrouping by document is the only shuffle when the
     vocabulary is broadcast.
     """
-    keys = _keys(counted, "counts")
     rows = vocabulary.table.attach(explode_counts(counted, outer=True))
+    return _weighed(rows, _keys(counted, "counts"))
+
+
+def _weighed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows ``(keys, term, tf, idf)`` put together by document, as weights of length one."""
     raw = F.col("tf") * F.col("idf")
     entry = F.when(F.col("idf").isNotNull(), F.struct("term", raw.alias("w")))
     grouped = rows.groupBy(*keys).agg(
@@ -137,6 +142,24 @@ def weigh(counted: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return grouped.select(*keys, unit.alias("entries"))
 
 
+def weigh_dealt(
+    counted: DealtCorpus, vocabulary: Vocabulary, limit: int = BROADCAST_LIMIT
+) -> DealtCorpus:
+    """As :func:`weigh`, for documents in blocks: written, and neither they nor their terms are moved.
+
+    A vocabulary beyond ``limit`` bytes goes to the blocks, one row for each of their terms.
+    """
+    if vocabulary.table.size <= limit:
+        return rewrite(counted, weigh(counted.frame, vocabulary), "block-weights")
+    blocks = DocumentBlocks.over(counted, lambda f: explode_counts(f, outer=True))
+    try:
+        known = blocks.send(blocks.store(vocabulary.terms.select("term", "idf")), "idf")
+        keys = _keys(counted.frame, "counts")
+        return rewrite(counted, _weighed(known, keys), "block-weights")
+    finally:
+        blocks.close()
+
+
 def fit_transform(
     corpus: DataFrame, analyze: str | Analyzer = "unigram"
 ) -> tuple[Vocabulary, DataFrame]:

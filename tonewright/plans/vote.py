@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonewright.functions.text import Analyzer
+from tonewright.operators.blocks import DealtCorpus, deal
 from tonewright.operators.committee import (
     BUCKETS,
     TRAIN_BUCKETS,
@@ -17,7 +18,13 @@ from tonewright.operators.committee import (
     with_bucket,
 )
 from tonewright.operators.evaluate import accuracy
-from tonewright.operators.tfidf import Vocabulary, fit_transform, weigh
+from tonewright.operators.tfidf import (
+    Vocabulary,
+    count_terms,
+    fit_transform,
+    fit_vocabulary,
+    weigh_dealt,
+)
 from tonewright.plans.train_predict import PreparedCorpus
 from tonewright.sources.workspace import materialize
 
@@ -29,32 +36,54 @@ def bucketed_corpus(
     return vocabulary, materialize(with_bucket(weighted, buckets), "bucketed")
 
 
+def dealt_corpus(counted: DataFrame, vocabulary: Vocabulary) -> DealtCorpus:
+    """The weighted documents in blocks.
+
+    They go to their blocks as counts, the smallest form that they have, and are weighed there.
+    """
+    total = counted.agg(F.sum(F.greatest(F.size("counts"), F.lit(1)))).first()[0] or 0
+    counts = deal(counted, total, "block-counts")
+    weighted = weigh_dealt(counts, vocabulary)
+    counts.close()
+    return weighted
+
+
 def committee_of(
     labeled: DataFrame, analyze: str | Analyzer = "unigram", models: int = TRAIN_BUCKETS
-) -> tuple[Committee, DataFrame]:
-    """The committee after its second round, and the corpus it came from."""
-    vocabulary, rows = bucketed_corpus(labeled, analyze)
+) -> tuple[Committee, DealtCorpus]:
+    """The committee after its second round, and the corpus it came from, in blocks."""
+    counted = materialize(count_terms(labeled, analyze), "counts")
+    vocabulary = fit_vocabulary(counted)
+    rows = dealt_corpus(with_bucket(counted), vocabulary)
     return fit_committee(rows, vocabulary, models), rows
 
 
 def vote_on_holdout(labeled: DataFrame, vote=soft_vote, models: int = TRAIN_BUCKETS) -> DataFrame:
     """Votes on the documents of the buckets held out."""
     committee, rows = committee_of(labeled, models=models)
-    return vote(member_scores(rows.where(F.col("bucket") >= models), committee))
+    return _votes(rows, committee, vote, F.col("bucket") >= models)
 
 
 def vote_on_all(labeled: DataFrame, vote=hard_vote) -> DataFrame:
     """Votes on every document, those trained on too."""
     committee, rows = committee_of(labeled)
-    return vote(member_scores(rows, committee))
+    return _votes(rows, committee, vote)
 
 
 def vote_on_unlabeled(corpus: PreparedCorpus, vote=hard_vote) -> DataFrame:
     """Votes of the whole committee on the documents without a label."""
-    rows = materialize(with_bucket(corpus.weighted, BUCKETS), "bucketed")
+    rows = dealt_corpus(with_bucket(corpus.labeled), corpus.vocabulary)
     committee = fit_committee(rows, corpus.vocabulary, TRAIN_BUCKETS)
-    unlabeled = materialize(weigh(corpus.unlabeled, corpus.vocabulary), "unlabeled-weights")
-    return vote(member_scores(unlabeled, committee))
+    rows.close()
+    return _votes(dealt_corpus(corpus.unlabeled, corpus.vocabulary), committee, vote)
+
+
+def _votes(rows: DealtCorpus, committee: Committee, vote, chosen: Column | None = None) -> DataFrame:
+    """Votes on the chosen documents; the tables are in the catalog no longer than needed."""
+    voted = vote(member_scores(rows if chosen is None else rows.where(chosen), committee))
+    rows.close()
+    committee.close()
+    return voted
 
 
 def voted_accuracy(labeled: DataFrame) -> DataFrame:

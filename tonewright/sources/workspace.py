@@ -101,10 +101,14 @@ def materialize_buckets(frame: DataFrame, name: str, key: str, buckets: int) ->
 
     Spark keeps the layout in its catalog; :func:`forget` takes the entry out again.
     """
-    spark = frame.sparkSession
+    return materialize_dealt(frame.repartition(buckets, key), name, key, buckets)
+
+
+def materialize_dealt(frame: DataFrame, name: str, key: str, buckets: int) -> Buckets:
+    """As :func:`materialize_buckets`, for a frame that is dealt out so already: it is not moved."""
     table = f"{name.replace('-', '_')}_{new_name()}"
-    path = _new_path(spark, name)
-    writer = frame.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    path = _new_path(frame.sparkSession, name)
+    writer = frame.write.bucketBy(buckets, key).sortBy(key)
     writer.option("path", path).saveAsTable(table)
     return Buckets(table, path)
 
