@@ -4,11 +4,13 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -166,6 +168,62 @@ def test_cut_characters_leave_nothing_in_text(spark):
     assert {r.row.doc_id: r.kept for r in got} == {1: rows[0][1], 2: "a", 3: ""}
 
 
+def _bucket(anchors, members):
+    """Distinct stretches, all those of an anchor with the same string of 50 bytes somewhere inside."""
+    draw = np.random.default_rng(3)
+    stretches, groups, ids = [], [], []
+    for anchor in range(anchors):
+        common = draw.integers(97, 123, 50, dtype=np.uint8).tobytes()
+        for _ in range(members):
+            left, right = (draw.integers(65, 91, int(draw.integers(1, 18)), dtype=np.uint8).tobytes() for _ in "xy")
+            stretches.append(left + common + right)
+            groups.append(anchor)
+            ids.append(int(draw.integers(0, 1000)))
+    order = draw.permutation(len(ids))
+    return [stretches[i] for i in order], np.array(groups)[order], np.array(ids)[order]
+
+
+def test_a_bucket_is_refined_in_parts_with_the_same_runs(monkeypatch):
+    stretches, groups, ids = _bucket(60, 5)
+    whole = sorted(suffix_dedup.repeated_starts(stretches, groups, ids))
+    seen = {}
+    for text, doc in zip(stretches, ids, strict=True):
+        for at in range(len(text) - 49):
+            seen[text[at : at + 50]] = min(doc, seen.get(text[at : at + 50], doc))
+    starts = {(i, at) for i, first, n in whole for at in range(first, first + n)}
+    assert starts == {
+        (i, at) for i, text in enumerate(stretches) for at in range(len(text) - 49) if seen[text[at : at + 50]] < ids[i]
+    }
+    assert starts
+    monkeypatch.setattr(suffix_dedup, "AT_ONCE", 700)
+    assert sorted(suffix_dedup.repeated_starts(stretches, groups, ids)) == whole
+
+
+def test_a_bucket_takes_bounded_memory():
+    bucket = _bucket(8000, 5)
+    tracemalloc.start()
+    suffix_dedup.repeated_starts(*bucket)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 * sum(map(len, bucket[0]))
+
+
+def test_texts_are_hashed_in_parts_of_bounded_bytes(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "AT_ONCE", 1000, raising=False)
+    most, anchors = [], suffix_dedup.anchors
+    monkeypatch.setattr(suffix_dedup, "anchors", lambda texts: most.append(sum(map(len, texts))) or anchors(texts))
+    texts = [f"{i} a text of some length that no other has {i * i} " * 6 for i in range(40)]
+    low = [np.unique((anchors([t.encode()])[3] & np.uint64(0xFFFFFFFF)).astype(np.uint32)).tobytes() for t in texts]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(40), pa.int64()), pa.array(range(40), pa.int64()), pa.array(texts), pa.array(low, pa.binary())],
+        ["id", "key", "text", "low"],
+    )
+    bits = bytes(suffix_dedup.key_filter.BITS // 8)
+    assert sum(b.num_rows for b in suffix_dedup._send_stretches(iter([batch]), 4, bits)) >= 4
+    assert max(most) <= 1000
+    assert sum(most) == sum(map(len, texts))
+
+
 def test_suffix_dedup_of_nothing(no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 

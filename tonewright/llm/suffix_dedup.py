@@ -36,6 +36,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonewright.llm import key_filter
-from tonewright.llm.batches import giving_back, giving_back_after
+from tonewright.llm.batches import cuts, giving_back, giving_back_after
 from tonewright.sources.workspace import materialize, temporary
 
 LENGTH = 50
@@ -51,6 +52,8 @@ GRAM = 16
 BATCH = 8192
 #: Stretches below one anchor, as all batches met them, from which its strings are sent one by one.
 HOT = 2048
+#: Bytes of text that are hashed or refined at once, which takes about 100 bytes of memory for each.
+AT_ONCE = 1 << 19
 LAST = np.iinfo(np.int64).max
 _ODD = 0x9E3779B97F4A7C15
 
@@ -166,7 +169,23 @@ def repeated_starts(
     open_ = first[count[inverse] > 1]
     if not len(open_):
         return runs
-    texts = [stretches[i] for i in open_]
+    members: dict[int, list[int]] = {}
+    for i in np.flatnonzero(docs == least[which]):
+        members.setdefault(int(which[i]), []).append(int(i))
+    # whole anchors at a time: a bucket is bounded, but the arrays of its refinement are far larger
+    open_ = open_[np.argsort(groups[open_], kind="stable")]
+    edges = np.append(np.unique(groups[open_], return_index=True)[1], len(open_))
+    sizes = np.add.reduceat([len(stretches[i]) for i in open_], edges[:-1]).tolist()
+    for begin, end in cuts(sizes, len(sizes), AT_ONCE):
+        part = open_[edges[begin] : edges[end]]
+        for at, first_start, n in _repeated([stretches[i] for i in part], least[which[part]]):
+            runs += [(i, first_start, n) for i in members[int(which[part[at]])]]
+    return runs
+
+
+def _repeated(texts: list[bytes], least: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Runs ``(text, first, number)`` of starts in distinct stretches whose string is in one with a
+    smaller ``least`` document."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     begins = np.cumsum(sizes) - sizes
     buffer = np.frombuffer(b"".join(texts), dtype=np.uint8)
@@ -177,21 +196,16 @@ def repeated_starts(
     # the smallest document of each string; members of a distinct stretch share its fate or are
     # removed already, but a stretch's own smallest document decides for the others
     lowest = np.full(number.max() + 1, LAST, dtype=np.int64)
-    np.minimum.at(lowest, number, least[which[open_]][owner])
-    repeated = lowest[number] < least[which[open_]][owner]
+    np.minimum.at(lowest, number, least[owner])
+    repeated = lowest[number] < least[owner]
     change = np.flatnonzero(
         np.concatenate([[True], (repeated[1:] != repeated[:-1]) | (owner[1:] != owner[:-1])])
     )
     length = np.diff(np.append(change, len(repeated)))
-    members: dict[int, list[int]] = {}
-    for i in np.flatnonzero(docs == least[which]):
-        members.setdefault(int(which[i]), []).append(int(i))
     for at, n in zip(change, length, strict=True):
         if repeated[at]:
-            t = owner[at]
-            begin = int(starts[at] - begins[t])
-            runs += [(i, begin, int(n)) for i in members[int(which[open_[t]])]]
-    return runs
+            t = int(owner[at])
+            yield t, int(starts[at] - begins[t]), int(n)
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -207,6 +221,10 @@ def _utf8(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
+def _sizes(column: pa.Array) -> list[int]:
+    return pc.fill_null(pc.binary_length(column), 0).to_pylist()
+
+
 _MET = "bucket bigint, batch bigint, docs binary, keys binary, index binary, low binary, known binary"
 
 
@@ -220,10 +238,11 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
     number = TaskContext.get().partitionId() << 24
     for whole in batches:
         for batch in _parts(whole):
-            texts = _utf8(batch.column(1))
-            found = [anchors(texts[i : i + 512]) for i in range(0, len(texts), 512)]
-            index = np.concatenate([f[0] + 512 * i for i, f in enumerate(found)]).astype(np.uint16)
-            hashes = np.concatenate([f[3] for f in found])
+            body = batch.column(1)
+            edges = list(cuts(_sizes(body), 512, AT_ONCE))
+            found = [anchors(_utf8(body.slice(i, j - i)))[::3] for i, j in edges]
+            index = np.concatenate([f[0] + i for f, (i, _) in zip(found, edges, strict=True)]).astype(np.uint16)
+            hashes = np.concatenate([f[1] for f in found])
             order = np.lexsort((index, hashes))
             hashes, index = hashes[order], index[order]
             many = np.unique(hashes, return_counts=True)[1]
@@ -378,8 +397,9 @@ def _send_stretches(
         pieces: list[bytes] = []
         sent: list[list] = [[], []]
         order = np.argsort(ids, kind="stable")
-        for begin in range(0, batch.num_rows, 512):
-            part = order[begin : begin + 512]
+        sizes = np.array(_sizes(batch.column(2)))[order].tolist()
+        for begin, end in cuts(sizes, 512, AT_ONCE):
+            part = order[begin:end]
             rows = batch.take(pa.array(part))
             texts = _utf8(rows.column(2))
             lows = [np.frombuffer(x, np.uint32) for x in rows.column(3).to_pylist()]
