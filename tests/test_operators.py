@@ -1,5 +1,6 @@
 import math
 import os
+import time
 from collections import Counter
 
 import pytest
@@ -25,7 +26,7 @@ from tonewright.operators import (
 )
 from tonewright.operators.term_table import TermTable
 from tonewright.plans import train_predict
-from tonewright.sources import files, workspace
+from tonewright.sources import files, tables, workspace
 
 
 @pytest.fixture(scope="module")
@@ -318,6 +319,81 @@ def test_gradient_descent_stops_when_settled(fitted):
     assert model.steps == 2
 
 
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+
+def soon(holds, seconds=20):
+    """Whether something holds before long; Spark deletes files in the background."""
+    until = time.time() + seconds
+    while not holds() and time.time() < until:
+        time.sleep(0.2)
+    return holds()
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before, conf = shuffle_files(spark), spark.conf.get(workspace._CLEANUP, None)
+    sums = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))
+    written = workspace.materialize(sums.repartition(3, "s"), "sums")
+    assert soon(lambda: shuffle_files(spark) <= before)
+    assert written.count() == 7 and spark.conf.get(workspace._CLEANUP, None) == conf
+
+
+@pytest.mark.parametrize("loss", ["hinge", "logistic"])
+def test_a_descent_leaves_its_model_only(spark, fitted, loss):
+    """The tables it was made of go, and more steps leave no more shuffle files."""
+    fitted[1].count()
+    folder = workspace.shared_folder(spark)
+    kept, files_at = set(os.listdir(folder)), [shuffle_files(spark)]
+    for steps in (2, 9):
+        linear.fit_gradient_descent(fitted[1], loss, iterations=steps, tolerance=0.0)
+        files_at.append(shuffle_files(spark))
+
+    def left(i):
+        return len((files_at[i] & shuffle_files(spark)) - files_at[i - 1])
+
+    assert soon(lambda: left(2) <= left(1))
+    tables_left = sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - kept)
+    assert tables_left == [f"{loss}-2", f"{loss}-9"]
+
+
+@pytest.mark.parametrize("classifier", ["svm", "logistic"])
+def test_linear_predictions_shuffle_no_entries(spark, corpus, classifier):
+    """The same as from weighted rows, also for repeated and empty documents and unknown terms; what is
+    exchanged are sums of documents."""
+    new = [(11, "good dull words"), (11, "good dull words"), (11, "bad"), (12, ""), (None, "moving story"), (13, "xyz")]
+    unlabeled = spark.createDataFrame(new, "doc_id bigint, text string")
+    corpus = train_predict.prepare(corpus, unlabeled)
+    got = train_predict.train_and_predict(corpus, classifier, iterations=3)
+    loss = "hinge" if classifier == "svm" else "logistic"
+    weighed = tfidf.weigh(corpus.unlabeled, corpus.vocabulary)
+    expected = linear.predict_linear(weighed, linear.fit_gradient_descent(corpus.weighted, loss, 3))
+    rows = [{r["doc_id"]: (r["margin"], r["prediction"]) for r in x.collect()} for x in (got, expected)]
+    assert rows[0].keys() == {11, 12, 13, None} and got.columns == expected.columns
+    for doc, (margin, prediction) in rows[1].items():
+        assert rows[0][doc] == (pytest.approx(margin, abs=1e-12), prediction)
+    assert "collect_list" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_labels_come_to_the_documents(spark, corpus, monkeypatch):
+    """Documents are not exchanged for their labels, unless those are beyond the limit."""
+    documents = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1.0), (1, 0.0), (3, 0.0), (None, 1.0)], "doc_id bigint, label double")
+    monkeypatch.setattr(tables, "_LABEL_BYTES", tables.LABELS_LIMIT)
+    far = tables.with_label_if_known(documents, labels)
+    monkeypatch.undo()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = tables.with_label_if_known(documents, labels)
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (near, far)]
+        assert "SortMergeJoin" not in plans[0] and "SortMergeJoin" in plans[1]
+        rows = [Counter(tuple(r) for r in x.collect()) for x in (near, far)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows[0] == rows[1] and rows[0][(1, "a", 0.0)] == rows[0][(None, "d", None)] == 1
+
+
 def gaussian(rows, terms, x):
     """Log joint of a dense Gaussian model, by class."""
     n = len(rows)

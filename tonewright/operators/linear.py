@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tonewright.operators.blocks import DocumentBlocks
-from tonewright.operators.scoring import score_entries
+from tonewright.operators.scoring import score_counts, score_entries
 from tonewright.operators.term_table import BROADCAST_LIMIT, TermTable, numbered
-from tonewright.operators.tfidf import explode_entries
-from tonewright.sources.workspace import materialize
+from tonewright.operators.tfidf import Vocabulary, explode_entries
+from tonewright.sources.workspace import materialize, temporary
 
 
 def hinge_residual(margin: Column, label: Column) -> Column:
@@ -61,28 +61,31 @@ def fit_gradient_descent(
     Terms are numbered once and the rows packed into arrays, which stay where they are for the whole
     training (:func:`pack`). An iteration is one job: the coefficients, a number for each term, are
     broadcast; each task goes over its blocks and gives one partial sum for each of its terms; these
-    are added up by ranges of terms. Coefficients of more than ``limit`` bytes stay in tables, and blocks
+    are added up by ranges of terms. Of the tables written here only the model's stays. Coefficients of more than ``limit`` bytes stay in tables, and blocks
     of documents get the ones that they need (:class:`DocumentBlocks`).
     """
-    stored = materialize(weighted.select("doc_id", "label", "entries"), "train")
-    n = stored.count()
-    counts = explode_entries(stored).groupBy("term").agg(F.count("*").alias("df"))
-    index = TermTable.of(materialize(numbered(counts, "train-terms"), "train-index"))
-    if 8 * index.rows > limit:
-        return _descend_by_joins(stored, n, loss, iterations, step, reg, tolerance, limit)
-    packed = pack(stored, index)
-    coef, taken = np.zeros(index.rows), 0
-    try:
-        for k in range(1, iterations + 1):
-            rate = step / sqrt(k)
-            old, coef = coef, coef * (1 - rate * reg) - rate * (_gradient(packed, coef, loss) / max(n, 1))
-            taken = k
-            moved, length = sqrt(np.nansum((coef - old) ** 2)), sqrt(np.nansum(coef * coef))
-            if k > 1 and moved < tolerance * max(length, 1.0):
-                break
-    finally:
-        packed.unpersist()
-    written = materialize(_with_numbers(index.frame, coef), f"{loss}-{taken}")
+    with temporary(weighted.sparkSession):
+        stored = materialize(weighted.select("doc_id", "label", "entries"), "train")
+        n = stored.count()
+        counts = explode_entries(stored).groupBy("term").agg(F.count("*").alias("df"))
+        index = TermTable.of(materialize(numbered(counts, "train-terms"), "train-index"))
+        if 8 * index.rows > limit:
+            return _descend_by_joins(stored, n, loss, iterations, step, reg, tolerance, limit)
+        packed = pack(stored, index)
+        coef, taken = np.zeros(index.rows), 0
+        try:
+            for k in range(1, iterations + 1):
+                rate = step / sqrt(k)
+                old, coef = coef, coef * (1 - rate * reg) - rate * (_gradient(packed, coef, loss) / max(n, 1))
+                taken = k
+                if k == 1:  # the blocks are persisted now
+                    packed.cleanShuffleDependencies()
+                moved, length = sqrt(np.nansum((coef - old) ** 2)), sqrt(np.nansum(coef * coef))
+                if k > 1 and moved < tolerance * max(length, 1.0):
+                    break
+        finally:
+            packed.unpersist()
+        written = materialize(_with_numbers(index.frame, coef), f"{loss}-{taken}", lasting=True)
     return LinearModel(TermTable(written, index.rows, index.size, index.total), taken)
 
 
@@ -211,6 +214,7 @@ def _gradient(packed: RDD, coef: np.ndarray, loss: str) -> np.ndarray:
         gradient = np.full(ranges * width, np.nan)
         for place, values in sums.mapValues(added).collect():
             gradient[place * width : (place + 1) * width] = values
+        sums.cleanShuffleDependencies()
         return gradient[:size]
     finally:
         sent.destroy()
@@ -301,15 +305,27 @@ def _descend_by_joins(
         rows.unpersist()
         if blocks is not None:
             blocks.close()
-    if blocks is not None:  # for the caller's session, without the layout
-        plain = stored.sparkSession.read.parquet(sent.path)
-        table = TermTable.measured(plain.select("term", "df", "coef"), change.asDict())
-    return LinearModel(table, taken)
+    last = table.frame if blocks is None else stored.sparkSession.read.parquet(sent.path)
+    last = materialize(last.select("term", "df", "coef"), f"{loss}-model", lasting=True)
+    return LinearModel(TermTable.measured(last, change.asDict()), taken)
 
 
 def predict_linear(weighted: DataFrame, model: LinearModel, drop_empty: bool = False) -> DataFrame:
     """Margin and class (an integer) of each document."""
-    scored = score_entries(weighted, model.table, "coef")
+    return _decided(score_entries(weighted, model.table, "coef"), model, drop_empty)
+
+
+def predict_linear_counts(
+    counted: DataFrame, vocabulary: Vocabulary, model: LinearModel, drop_empty: bool = False
+) -> DataFrame:
+    """As :func:`predict_linear`, for counted documents: weighed and scored in one pass, in which nothing
+    but sums of documents is shuffled. The coefficients go to all terms of the vocabulary."""
+    known = vocabulary.terms.join(model.table.frame.drop("df"), "term", "left")
+    table = TermTable.of(materialize(known, "coefficients"))
+    return _decided(score_counts(counted, table, "coef"), model, drop_empty)
+
+
+def _decided(scored: DataFrame, model: LinearModel, drop_empty: bool) -> DataFrame:
     kept = scored.where("n_terms > 0") if drop_empty else scored
     return kept.withColumnRenamed("coef", "margin").withColumn(
         "prediction", (F.col("margin") > model.threshold).cast("int")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonewright.sources.workspace import materialize
+from tonewright.sources.workspace import materialize, temporary
 
 # Largest table to send to every executor, in bytes.
 BROADCAST_LIMIT = 256 << 20
@@ -92,8 +92,10 @@ class TermTable:
         hot = self._hot(self.frame.select("term", F.col("df").alias("n")), self.total)
         if not fitted:
             counts = rows.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("n"))
-            counts = materialize(counts, "row-counts")
-            hot = self._hot(counts, counts.agg(F.sum("n")).first()[0] or 0)
+            with temporary(rows.sparkSession):
+                counts = materialize(counts, "row-counts")
+                hot = self._hot(counts, counts.agg(F.sum("n")).first()[0] or 0)
+                hot = materialize(hot, "common-terms", lasting=True)
         unmatched = F.when(F.col("term").isNull(), HOT_SHARE).otherwise(1)
         salted = rows.join(F.broadcast(hot), "term", "left").withColumn(
             "salt",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tonewright.functions.text import Analyzer
 from tonewright.operators.bayes import fit_naive_bayes, predict_counts
-from tonewright.operators.linear import fit_gradient_descent, predict_linear
+from tonewright.operators.linear import fit_gradient_descent, predict_linear_counts
 from tonewright.operators.tfidf import (
     Vocabulary,
     count_terms,
@@ -70,14 +70,13 @@ def train_and_predict(
             corpus.weighted, corpus.vocabulary, documents=corpus.labeled, **options
         )
         return predict_counts(corpus.unlabeled, model, drop_empty)
-    unlabeled = weigh(corpus.unlabeled, corpus.vocabulary)
     if classifier in ("svm", "logistic"):
         loss = "hinge" if classifier == "svm" else "logistic"
-        return predict_linear(
-            unlabeled, fit_gradient_descent(corpus.weighted, loss, **options), drop_empty
-        )
+        model = fit_gradient_descent(corpus.weighted, loss, **options)
+        return predict_linear_counts(corpus.unlabeled, corpus.vocabulary, model, drop_empty)
     if classifier not in CLASSIFIERS:
         raise ValueError(f"no such classifier: {classifier}")
+    unlabeled = weigh(corpus.unlabeled, corpus.vocabulary)
     model = fit_trees(corpus.vocabulary, corpus.weighted, classifier, **options)
     return predict_trees(unlabeled, model, drop_empty)
 

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from tonewright.sources.parallelism import spread
 
+# Most labels to send to every executor, and about what one takes there.
+LABELS_LIMIT = 256 << 20
+_LABEL_BYTES = 64
+
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(
@@ -34,7 +38,13 @@ def with_label(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def with_label_if_known(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """All rows; the label is NULL for documents to be predicted."""
+    """All rows; the label is NULL for documents to be predicted.
+
+    Labels within ``LABELS_LIMIT`` bytes are broadcast, since the rows hold whole documents and are many
+    times as large as their labels.
+    """
+    if _LABEL_BYTES * labels.count() <= LABELS_LIMIT:
+        labels = F.broadcast(labels)
     return rows.join(labels, "doc_id", "left")
 
 

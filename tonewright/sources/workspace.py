@@ -15,6 +15,10 @@ from pyspark.sql.types import StructType
 _LOCAL_FOLDERS: dict[str, str] = {}
 #: Open scopes of this thread or task, the innermost last.
 _SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+#: Spark deletes the shuffle files of a query at its end (from 4.1 on).
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Tables are written once and read a few times; their size counts more than the time to unpack them.
+_COMPRESSION = "zstd"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,6 +58,21 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """The files that a write shuffles go as soon as its table is there, not when the driver happens to
+    collect its garbage: nothing reads them again."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def materialize(
     frame: DataFrame,
     name: str,
@@ -70,7 +89,8 @@ def materialize(
     """
     spark = frame.sparkSession
     path = _new_path(spark, name, lasting)
-    frame.write.parquet(path)
+    with _shuffles_deleted(spark):
+        frame.write.option("compression", _COMPRESSION).parquet(path)
     return (reader or spark).read.schema(schema or frame.schema).parquet(path)
 
 
@@ -104,12 +124,15 @@ def materialize_buckets(frame: DataFrame, name: str, key: str, buckets: int) ->
     return materialize_dealt(frame.repartition(buckets, key), name, key, buckets)
 
 
-def materialize_dealt(frame: DataFrame, name: str, key: str, buckets: int) -> Buckets:
+def materialize_dealt(
+    frame: DataFrame, name: str, key: str, buckets: int, lasting: bool = False
+) -> Buckets:
     """As :func:`materialize_buckets`, for a frame that is dealt out so already: it is not moved."""
     table = f"{name.replace('-', '_')}_{new_name()}"
-    path = _new_path(frame.sparkSession, name)
-    writer = frame.write.bucketBy(buckets, key).sortBy(key)
-    writer.option("path", path).saveAsTable(table)
+    path = _new_path(frame.sparkSession, name, lasting)
+    writer = frame.write.option("compression", _COMPRESSION).bucketBy(buckets, key).sortBy(key)
+    with _shuffles_deleted(frame.sparkSession):
+        writer.option("path", path).saveAsTable(table)
     return Buckets(table, path)
 
 
