@@ -536,6 +536,23 @@ def test_committee_lets_dealt_documents_lie(corpus, monkeypatch):
     assert {r["doc_id"] for r in some.collect()} == {4}
 
 
+def test_committee_scores_a_corpus_of_other_blocks(corpus, monkeypatch):
+    """Documents that lie in more blocks than the committee's sums, as many unlabeled ones do."""
+    counted = workspace.materialize(tfidf.count_terms(corpus), "counts").withColumn(
+        "bucket", (F.col("doc_id") % 5).cast("int")
+    )
+    vocabulary = tfidf.fit_vocabulary(counted)
+    dealt = tfidf.weigh_dealt(blocks.deal(counted, 20, "block-counts"), vocabulary)
+    trained = committee.fit_committee(dealt, vocabulary, models=4)
+    want = {(r["doc_id"], r["model_id"]): r["score1"] for r in committee.score_members(dealt, trained).collect()}
+    monkeypatch.setattr(blocks.DocumentBlocks, "ROWS", 1)
+    more = tfidf.weigh_dealt(blocks.deal(counted, 20, "block-counts"), vocabulary)
+    assert more.blocks > dealt.blocks
+    got = {(r["doc_id"], r["model_id"]): r["score1"] for r in committee.score_members(more, trained, trained.table.size - 1).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] is None if v is None else got[k] == pytest.approx(v, rel=1e-9) for k, v in want.items())
+
+
 def test_votes_tie_for_class_zero(spark):
     scored = spark.createDataFrame(
         [(1, 0, -1.0, -2.0), (1, 1, -2.0, -1.0), (2, 0, -1.0, -1.0), (3, 0, None, -1.0)],

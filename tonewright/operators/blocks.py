@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tonewright.sources.workspace import (
     Buckets,
+    delete,
     forget,
     materialize_buckets,
     materialize_dealt,
@@ -37,6 +38,11 @@ class DealtCorpus:
         """Takes the table out of the catalog; its files stay until their scope ends."""
         forget(self.frame.sparkSession, self.table)
 
+    def discard(self) -> None:
+        """Deletes the table and its files; nothing may be read from it after."""
+        self.close()
+        delete(self.frame.sparkSession, self.table.path)
+
 
 def _block_ids(spark: SparkSession, blocks: int) -> list[int]:
     """A number for each block, such that no two blocks are dealt to the same file."""
@@ -45,14 +51,20 @@ def _block_ids(spark: SparkSession, blocks: int) -> list[int]:
     return sorted(r["id"] for r in places.collect())
 
 
+def blocks_for(spark: SparkSession, total: int) -> int:
+    """Blocks of a corpus with ``total`` entries, about. Every block is sent its terms, so there are no more
+    than keep the slots busy and their size in bounds."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-total // DocumentBlocks.ROWS))
+
+
 def deal(corpus: DataFrame, total: int, name: str) -> DealtCorpus:
     """Moves the documents of a corpus to their blocks and writes them there.
 
-    ``total`` is the number of entries in its rows, about. Every block is sent its terms, so there are
-    no more blocks than keep the slots busy and their size in bounds.
+    ``total`` is the number of entries in its rows, about, or in those of a larger corpus that is to
+    have as many blocks.
     """
     spark = corpus.sparkSession
-    blocks = max(2 * spark.sparkContext.defaultParallelism, -(-total // DocumentBlocks.ROWS))
+    blocks = blocks_for(spark, total)
     ids = _block_ids(spark, blocks)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(len(ids))).cast("int")
     block = F.get(F.array(*(F.lit(i) for i in ids)), place)

@@ -19,7 +19,7 @@ from tonewright.operators.blocks import DealtCorpus, DocumentBlocks
 from tonewright.operators.split import stable_bucket
 from tonewright.operators.term_table import BROADCAST_LIMIT, TermTable
 from tonewright.operators.tfidf import Vocabulary, explode_entries
-from tonewright.sources.workspace import Buckets, forget, materialize, materialize_dealt
+from tonewright.sources.workspace import Buckets, forget, materialize, materialize_dealt, temporary
 
 BUCKETS = 50
 TRAIN_BUCKETS = 40
@@ -217,8 +217,8 @@ def _fitted(
 
 
 def _row_size() -> Column:
-    """Bytes of the parameters in a row of a committee's table."""
-    return F.size("members") * 8 + F.col("df") * 40
+    """Bytes of the parameters in a row of a committee's table, which may have nothing but them."""
+    return F.size("members") * 8 + F.size(F.filter("members", lambda v: v.isNotNull())) * 40
 
 
 def _sums_size(models: int) -> Column:
@@ -318,26 +318,27 @@ def member_scores(
     exploded = explode_entries(frame, outer=True)
     if committee.table.size <= limit:
         return _folded(committee.table.attach(exploded, limit=limit), keys, ids, committee).drop("block")
-    if dealt:
-        blocks = DocumentBlocks.over(dealt, lambda f: explode_entries(f, outer=True))
-    else:
-        total = frame.agg(F.sum(F.greatest(F.size("entries"), F.lit(1)))).first()[0] or 0
-        blocks = DocumentBlocks(exploded, total)
-        keys.append("block")
-    try:
-        common = int(limit * COMMON_SHARE)
-        if committee.laid and committee.blocks == blocks.blocks:
-            arrived = {"members": committee.places}
-            known = blocks.send(
-                committee.laid, "sums", common=common, width=_sums_size(len(ids)), arrived=arrived
-            )
+    with temporary(frame.sparkSession):
+        if dealt:
+            blocks = DocumentBlocks.over(dealt, lambda f: explode_entries(f, outer=True))
         else:
-            stored = blocks.store(committee.table.frame)
-            known = blocks.send(stored, "members", common=common, width=_row_size())
-        scored = _folded(known, keys, ids, committee).drop("block")
-        return materialize(scored, "scores", lasting=True, reader=frame.sparkSession)
-    finally:
-        blocks.close()
+            total = frame.agg(F.sum(F.greatest(F.size("entries"), F.lit(1)))).first()[0] or 0
+            blocks = DocumentBlocks(exploded, total)
+            keys.append("block")
+        try:
+            common = int(limit * COMMON_SHARE)
+            if committee.laid and committee.blocks == blocks.blocks:
+                arrived = {"members": committee.places}
+                known = blocks.send(
+                    committee.laid, "sums", common=common, width=_sums_size(len(ids)), arrived=arrived
+                )
+            else:
+                stored = blocks.store(committee.table.frame)
+                known = blocks.send(stored, "members", common=common, width=_row_size())
+            scored = _folded(known, keys, ids, committee).drop("block")
+            return materialize(scored, "scores", lasting=True, reader=frame.sparkSession)
+        finally:
+            blocks.close()
 
 
 def _folded(known: DataFrame, keys: list[str], ids: list[int], committee: Committee) -> DataFrame:

@@ -36,15 +36,20 @@ def bucketed_corpus(
     return vocabulary, materialize(with_bucket(weighted, buckets), "bucketed")
 
 
-def dealt_corpus(counted: DataFrame, vocabulary: Vocabulary) -> DealtCorpus:
-    """The weighted documents in blocks.
+def _entries(counted: DataFrame) -> int:
+    return counted.agg(F.sum(F.greatest(F.size("counts"), F.lit(1)))).first()[0] or 0
+
+
+def dealt_corpus(
+    counted: DataFrame, vocabulary: Vocabulary, total: int | None = None
+) -> DealtCorpus:
+    """The weighted documents in blocks, as many as ``total`` entries take.
 
     They go to their blocks as counts, the smallest form that they have, and are weighed there.
     """
-    total = counted.agg(F.sum(F.greatest(F.size("counts"), F.lit(1)))).first()[0] or 0
-    counts = deal(counted, total, "block-counts")
+    counts = deal(counted, _entries(counted) if total is None else total, "block-counts")
     weighted = weigh_dealt(counts, vocabulary)
-    counts.close()
+    counts.discard()
     return weighted
 
 
@@ -71,11 +76,15 @@ def vote_on_all(labeled: DataFrame, vote=hard_vote) -> DataFrame:
 
 
 def vote_on_unlabeled(corpus: PreparedCorpus, vote=hard_vote) -> DataFrame:
-    """Votes of the whole committee on the documents without a label."""
-    rows = dealt_corpus(with_bucket(corpus.labeled), corpus.vocabulary)
+    """Votes of the whole committee on the documents without a label.
+
+    Both corpora lie in as many blocks, so that the committee's sums are where the second one looks them up.
+    """
+    total = max(_entries(corpus.labeled), _entries(corpus.unlabeled))
+    rows = dealt_corpus(with_bucket(corpus.labeled), corpus.vocabulary, total)
     committee = fit_committee(rows, corpus.vocabulary, TRAIN_BUCKETS)
-    rows.close()
-    return _votes(dealt_corpus(corpus.unlabeled, corpus.vocabulary), committee, vote)
+    rows.discard()
+    return _votes(dealt_corpus(corpus.unlabeled, corpus.vocabulary, total), committee, vote)
 
 
 def _votes(rows: DealtCorpus, committee: Committee, vote, chosen: Column | None = None) -> DataFrame:

@@ -53,9 +53,14 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPES.reset(before)
-        for path in own:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete(spark, *own)
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Deletes tables that this library wrote below the shared folder."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @contextmanager
