@@ -20,6 +20,7 @@ from tonewright.operators import (
     evaluate,
     linear,
     sampling,
+    scoring,
     split,
     tfidf,
     vectors,
@@ -553,6 +554,29 @@ def test_committee_scores_a_corpus_of_other_blocks(corpus, monkeypatch):
     assert all(got[k] is None if v is None else got[k] == pytest.approx(v, rel=1e-9) for k, v in want.items())
 
 
+def test_bayes_on_a_vocabulary_in_parts(spark, monkeypatch):
+    """Beyond the limit the model comes from the counts, a part of the vocabulary at a time, and the weights
+    are not put together; repeated, empty and unknown documents as in the plain way."""
+    rows = [(1, "good film good", 1.0), (1, "bad film", 1.0), (2, "bad end", 0.0), (None, "moving story", 0.0), (3, "", 1.0), (1, "dull", 0.0)]
+    corpus = train_predict.prepare(
+        spark.createDataFrame(rows, "doc_id bigint, text string, label double"),
+        spark.createDataFrame([(7, "good end"), (7, "dull film xyz"), (8, ""), (None, "bad"), (9, "xyz")], "doc_id bigint, text string"),
+    )
+    plain = bayes.fit_naive_bayes(corpus.weighted, corpus.vocabulary, documents=corpus.labeled)
+    never = corpus.weighted.withColumn("entries", F.raise_error(F.lit("weighed")).cast(corpus.weighted.schema["entries"].dataType))
+    monkeypatch.setattr("tonewright.operators.term_table.PART_ROWS", 2)
+    assert len(corpus.vocabulary.table.parts(0)) > 2
+    model = bayes.fit_naive_bayes(never, corpus.vocabulary, documents=corpus.labeled, limit=0)
+    assert model.pi == plain.pi
+    got, want = ({r["term"]: (r["df"], *map(r.__getitem__, ("idf", "theta0", "theta1"))) for r in m.table.frame.collect()} for m in (model, plain))
+    assert got.keys() == want.keys()
+    assert all(got[t] == pytest.approx(want[t], rel=1e-12) for t in want)
+    columns = ("theta0", "theta1", "n_terms")
+    got, want = ({r["doc_id"]: [r[c] for c in columns] for r in scoring.score_counts(corpus.unlabeled, plain.table, *columns[:2], limit=limit).collect()} for limit in (0, 1 << 30))
+    assert got.keys() == want.keys() == {7, 8, 9, None}
+    assert all(got[d] == pytest.approx(want[d], rel=1e-12) for d in want)
+
+
 def test_votes_tie_for_class_zero(spark):
     scored = spark.createDataFrame(
         [(1, 0, -1.0, -2.0), (1, 1, -2.0, -1.0), (2, 0, -1.0, -1.0), (3, 0, None, -1.0)],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,9 @@ from tonewright.sources.workspace import materialize, temporary
 BROADCAST_LIMIT = 256 << 20
 # A term in more than one of this many rows is split before a shuffle join.
 HOT_SHARE = 1000
+# Rows that one part of a large table is for, about, and the most parts.
+PART_ROWS = 1_000_000
+MOST_PARTS = 8
 # What a row takes in a hashed relation besides its term.
 _ROW_OVERHEAD = 96
 
@@ -107,6 +111,26 @@ class TermTable:
         met = salted.drop("salts").join(copies.drop("salts", *drop), ["term", "salt"], how)
         return met.drop("salt")
 
+    def parts(self, limit: int = BROADCAST_LIMIT) -> list[tuple[TermTable, Callable[[DataFrame], DataFrame]]]:
+        """The table in parts by a hash of the term, each with a function that takes the part's rows of a
+        corpus. Rows without a term are in the first part.
+
+        What a join by shuffle writes grows with the rows. One part after the other, it writes a fraction at
+        a time, and the rows are read as often. A table within ``limit`` is one part.
+        """
+        n = 1 if self.size <= limit else min(MOST_PARTS, max(1, -(-self.total // PART_ROWS)))
+        if n == 1:
+            return [(self, lambda rows: rows)]
+
+        def taken(i: int) -> Callable[[DataFrame], DataFrame]:
+            part = F.pmod(F.xxhash64(F.lit("part"), "term"), F.lit(n))
+            part = F.when(F.col("term").isNull(), 0).otherwise(part)
+            return lambda rows: rows.where(part == i)
+
+        takes = [taken(i) for i in range(n)]
+        of = [TermTable(take(self.frame), self.rows // n, self.size // n, self.total // n) for take in takes]
+        return list(zip(of, takes, strict=True))
+
     @staticmethod
     def _hot(counts: DataFrame, total: int) -> DataFrame:
         """Terms in more rows than one share, fewer than ``HOT_SHARE``, and their salts."""

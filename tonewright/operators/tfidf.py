@@ -118,14 +118,14 @@ def fit_vocabulary(counted: DataFrame) -> Vocabulary:
     return Vocabulary(n, TermTable.of(materialize(terms, "vocabulary")))
 
 
-def weigh(counted: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def weigh(counted: DataFrame, vocabulary: Vocabulary, fitted: bool = False) -> DataFrame:
     """TF-IDF weights of length one for each document.
 
     Terms outside the vocabulary are dropped before the length is taken. A document left without
     terms stays, with no entries. The regrouping by document is the only shuffle when the
-    vocabulary is broadcast.
+    vocabulary is broadcast. ``fitted`` says that the vocabulary is that of these documents.
     """
-    rows = vocabulary.table.attach(explode_counts(counted, outer=True))
+    rows = vocabulary.table.attach(explode_counts(counted, outer=True), fitted=fitted)
     return _weighed(rows, _keys(counted, "counts"))
 
 

@@ -58,7 +58,7 @@ def prepare_tables(
 
 def _prepared(labeled: DataFrame, unlabeled: DataFrame) -> PreparedCorpus:
     vocabulary = fit_vocabulary(labeled)
-    return PreparedCorpus(labeled, unlabeled, vocabulary, weigh(labeled, vocabulary))
+    return PreparedCorpus(labeled, unlabeled, vocabulary, weigh(labeled, vocabulary, fitted=True))
 
 
 def train_and_predict(

@@ -99,6 +99,18 @@ def materialize(
     return (reader or spark).read.schema(schema or frame.schema).parquet(path)
 
 
+def materialize_parts(frames: Iterable[DataFrame], name: str, lasting: bool = False) -> DataFrame:
+    """Frames of the same columns as one table, written one after the other: the shuffle files of one go
+    before the next begins."""
+    path = None
+    for frame in frames:
+        spark, schema = frame.sparkSession, frame.schema
+        path = path or _new_path(spark, name, lasting)
+        with _shuffles_deleted(spark):
+            frame.write.option("compression", _COMPRESSION).mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder in the shared one, deleted with the tables of its scope."""
     return _new_path(spark, name)
